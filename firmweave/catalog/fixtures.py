@@ -10,6 +10,8 @@ Each source is given once as a Spark plan and once as SQL.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +20,24 @@ from firmweave.catalog import duck
 
 DATE = "2026-01-15"
 
+# The columns in use, so that opening a table needs no look into its files.
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_discount double",
+    "documents": "doc_id bigint, text string",
+}
+
 # The most suppliers any customer lists: 3 + the largest remainder below.
 _MOST_SUPPLIERS = 8
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: Column | str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
 def _purchases(spark: SparkSession, sf_dir: str, *columns: Column | str) -> DataFrame:
@@ -33,8 +47,9 @@ def _purchases(spark: SparkSession, sf_dir: str, *columns: Column | str) -> Data
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
 
 
-def _money(column: str, precision: int) -> Column:
-    return F.col(column).cast(f"decimal({precision},2)")
+def _hundredths(column: str) -> Column:
+    """A value of two decimals as a whole number, which adds up exactly."""
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 def _parts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
@@ -44,14 +59,15 @@ def _parts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 def _top_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers by spend. The rank bound lets Spark cut each task's rows before the shuffle."""
     spend = (
-        _purchases(spark, sf_dir, "l_suppkey", _money("l_extendedprice", 12).alias("ext"))
+        _purchases(spark, sf_dir, "l_suppkey", _hundredths("l_extendedprice").alias("cents"))
+        .groupBy("ck", "l_suppkey")
+        .agg(F.sum("cents").alias("spend"))
         .join(table(spark, sf_dir, "supplier", "s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .groupBy("ck", "s_name")
-        .agg(F.sum("ext").alias("spend"))
     )
     by_spend = Window.partitionBy("ck").orderBy(F.desc("spend"), "s_name")
     return (
-        spend.withColumn("rn", F.row_number().over(by_spend))
+        spend.select("ck", "s_name", "spend")
+        .withColumn("rn", F.row_number().over(by_spend))
         .filter((F.col("rn") <= _MOST_SUPPLIERS) & (F.col("rn") <= 3 + F.col("ck") % 6))
         .groupBy("ck")
         .agg(F.array_sort(F.collect_list(F.struct("rn", "s_name")))["s_name"].alias("top_suppliers"))
@@ -74,25 +90,32 @@ def _finances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend and discounts, and brands by spend, out of one pass over the line items.
 
     Sums per brand come first, so a customer brings at most one row per brand of the catalogue
-    to its final group.
+    to its final group. Money is summed as decimals, which a customer with very many line items
+    cannot overflow.
     """
-    ext, disc = F.col("ext"), F.col("disc")
+    cents, percent = F.col("cents"), F.col("percent")
+
+    def total(units: Column, name: str) -> Column:
+        return F.sum(units.cast("decimal(18,0)")).alias(name)
+
     per_brand = (
         _purchases(
             spark, sf_dir, "l_partkey",
-            _money("l_extendedprice", 12).alias("ext"), _money("l_discount", 4).alias("disc"),
+            _hundredths("l_extendedprice").alias("cents"), _hundredths("l_discount").alias("percent"),
         )
         .join(_parts(spark, sf_dir, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("ck", "p_brand")
-        .agg(
-            F.sum("ext").alias("spend"),
-            F.sum(ext * (1 - disc)).alias("net"),
-            F.sum(ext * disc).alias("discount"),
-        )
+        .agg(total(cents * 100, "gross"), total(cents * percent, "discount"))
     )
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("spend")).alias("order"), "p_brand")))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("gross")).alias("order"), "p_brand")))
+
+    def money(units: Column) -> Column:
+        return (units * F.lit(Decimal("0.0001"))).cast("decimal(38,4)")
+
     return per_brand.groupBy("ck").agg(
-        F.sum("net").alias("net"), F.sum("discount").alias("discount"), ranked["p_brand"].alias("brands")
+        money(F.sum(F.col("gross") - F.col("discount"))).alias("net"),
+        money(F.sum("discount")).alias("discount"),
+        ranked["p_brand"].alias("brands"),
     )
 
 

@@ -142,9 +142,11 @@ def _sides(train: DataFrame, test: DataFrame) -> DataFrame:
     )
 
 
-@QUERIES.add("split_random")
+@QUERIES.add("split_random", with_views("SELECT corporate_id FROM features", "features"))
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sides(*training.split_random(_engineered(spark, sf_dir)))
+    """Which side a row falls on is chance; that each row falls on exactly one is not."""
+    rows = stage(_engineered(spark, sf_dir), "features")
+    return _sides(*training.split_random(rows)).select("corporate_id")
 
 
 @QUERIES.add("split_stable", with_views(
@@ -182,7 +184,9 @@ def predict_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fixed score, with ties, in place of a fitted one."""
     score = F.floor(F.col("revenue") / 50) / (F.floor(F.col("revenue") / 50) + 20)
-    scored = _engineered(spark, sf_dir).select("corporate_id", "high_profit", score.alias("score"))
+    scored = _engineered(spark, sf_dir).select(
+        "corporate_id", "revenue_category", "num_activity_places", "high_profit", score.alias("score")
+    )
     return scored.withColumn("prediction", F.when(F.col("score") > 0.5, 1.0).otherwise(0.0))
 
 
@@ -245,15 +249,18 @@ def register_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@QUERIES.add("load_model")
+_SQL_TEST_IDS = "('0x' || substr(corporate_id, 1, 8))::BIGINT % 1000 >= 800"
+
+
+@QUERIES.add("load_model", with_views(
+    f"SELECT corporate_id, true AS same FROM features WHERE {_SQL_TEST_IDS}", "features"))
 def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows the reloaded model scores, and whether it scores them as the fitted one did."""
     root, predictions = _register(spark, sf_dir)
     fitted = predictions.select("corporate_id", "features", F.col("probability").alias("fitted"))
     again = tracking.load_model(spark, root, _MODEL).transform(fitted)
-    return again.select(
-        "corporate_id", "prediction", (vector_to_array("fitted") == vector_to_array("probability")).alias("same")
-    )
+    same = vector_to_array("fitted") == vector_to_array("probability")
+    return again.select("corporate_id", same.alias("same"))
 
 
 @QUERIES.add("model_metadata")
@@ -272,11 +279,8 @@ def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     "features"))
 def runs_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per revenue bucket (the model) and number of activity places (its version)."""
-    scored = _scored(spark, sf_dir).join(
-        fixtures.registry(spark, sf_dir).select("corporate_id", "revenue_category", "num_activity_places"), "corporate_id"
-    )
     hit = F.when(F.col("high_profit") == F.col("prediction"), 1.0).otherwise(0.0)
-    runs = scored.groupBy(
+    runs = _scored(spark, sf_dir).groupBy(
         F.col("revenue_category").alias("model_name"), F.col("num_activity_places").alias("model_version")
     ).agg(F.create_map(F.lit("accuracy"), F.avg(hit)).alias("metrics"))
     return tracking.compare_runs(runs, "accuracy").select(
@@ -284,13 +288,17 @@ def runs_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@QUERIES.add("ml_job")
+@QUERIES.add("ml_job", with_views(
+    f"SELECT corporate_id, high_profit, true AS registered FROM features WHERE {_SQL_TEST_IDS}", "features"))
 def ml_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = registry_table(spark)
     append_table(fixtures.registry(spark, sf_dir), lake)
     conf = MlConfig(table_name=lake.name, table_root=lake.root, tracking_root=scratch_dir(spark, "tracking"))
     result = run_ml(spark, conf)
-    return result.predictions.select("corporate_id", "high_profit", "prediction")
+    registered = tracking.load_model(spark, conf.tracking_root, conf.model_name)
+    scored = result.predictions.select("corporate_id", "high_profit", "features", F.col("prediction").alias("fitted"))
+    again = registered.transform(scored)
+    return again.select("corporate_id", "high_profit", (F.col("fitted") == F.col("prediction")).alias("registered"))
 
 
 # --- generator ---------------------------------------------------------------------------------

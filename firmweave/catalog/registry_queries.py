@@ -16,7 +16,7 @@ from firmweave.operators.clean import clean_source1, clean_source2
 from firmweave.operators.harmonize import fill_defaults, harmonize
 from firmweave.operators.quality import null_profile, quality_report, stage_counts
 from firmweave.operators.resolve import match_diagnostics, resolve_entities
-from firmweave.plans.etl import EtlResult, run_etl
+from firmweave.plans.etl import EtlResult, build_registry, run_etl
 from firmweave.schemas import REGISTRY, SOURCE1, SOURCE2
 from firmweave.sinks.files import load_dataset, load_registry, prepare_for_export, write_dataset
 from firmweave.sources import files
@@ -49,6 +49,24 @@ _SQL_SOURCE2 = with_views(
 )
 
 
+def source_files(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, DataFrame]]:
+    """Both sources written as the input files of a job, by name with their scans."""
+    base = scratch_dir(spark, "input")
+    uris = {"source1": join_uri(base, EtlConfig.source1_uri), "source2": join_uri(base, EtlConfig.source2_uri)}
+    write_dataset(fixtures.source1(spark, sf_dir), uris["source1"])
+    write_dataset(fixtures.source2(spark, sf_dir), uris["source2"])
+    return {
+        "source1": (uris["source1"], files.extract_source1(spark, uris["source1"])),
+        "source2": (uris["source2"], files.extract_source2(spark, uris["source2"])),
+    }
+
+
+def written_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as an ETL run leaves it, for what reads it more than once."""
+    uri = load_registry(fixtures.registry(spark, sf_dir), scratch_dir(spark, "registry"), timestamp=STAMP)
+    return files.read_parquet(spark, uri)
+
+
 # --- scans -------------------------------------------------------------------------------------
 
 
@@ -213,19 +231,6 @@ def query_match_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(*[F.col(c).cast("bigint") for c in ("matched", "s1_only", "s2_only", "neither")])
 
 
-@QUERIES.add("stage_counts", with_views(
-    " UNION ALL ".join(
-        f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"
-        for stage, view in [("source1", "src1"), ("source2", "src2"), ("resolved", "resolved"), ("registry", "registry")]
-    ), "registry"))
-def query_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source1, source2 = fixtures.source1(spark, sf_dir), fixtures.source2(spark, sf_dir)
-    resolved = resolve_entities(clean_source1(source1), clean_source2(source2))
-    return stage_counts(
-        {"source1": source1, "source2": source2, "resolved": resolved, "registry": harmonize(resolved, DATE)}
-    )
-
-
 _GAPS = {"address": "0", "main_customers": "1", "revenue_category": "23"}
 
 
@@ -257,10 +262,9 @@ def query_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" UNION ALL SELECT 'registry', 'nulls_{c}', {_sql_null_count(c)} FROM registry" for c in REGISTRY.fieldNames()
     ), "registry"))
 def query_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source1, source2 = (df for _, df in source_files(spark, sf_dir).values())
     return quality_report(
-        clean_source1(fixtures.source1(spark, sf_dir)),
-        clean_source2(fixtures.source2(spark, sf_dir)),
-        _with_gaps(fixtures.registry(spark, sf_dir)),
+        clean_source1(source1), clean_source2(source2), _with_gaps(build_registry(source1, source2, DATE))
     )
 
 
@@ -325,8 +329,9 @@ def src_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT {REGISTRY_COLUMNS} FROM registry UNION ALL SELECT {REGISTRY_COLUMNS} FROM registry", "registry"))
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = registry_table(spark)
-    append_table(fixtures.registry(spark, sf_dir), lake, "processed_date")
-    append_table(fixtures.registry(spark, sf_dir), lake, "processed_date")
+    rows = written_registry(spark, sf_dir)
+    append_table(rows, lake, "processed_date")
+    append_table(rows, lake, "processed_date")
     return read_table(spark, lake).select(*REGISTRY.fieldNames())
 
 
@@ -370,7 +375,7 @@ def query_load_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"UNION ALL SELECT {REGISTRY_COLUMNS}, 'default', 'registry' FROM registry", "registry"))
 def table_ident(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
-    rows = fixtures.registry(spark, sf_dir)
+    rows = written_registry(spark, sf_dir)
     for name in ("corporate_db.registry.v1", "registry"):
         append_table(rows, LakeTable(name, root))
 
@@ -387,17 +392,11 @@ def table_ident(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _etl(spark: SparkSession, sf_dir: str, **settings) -> EtlResult:
-    base = scratch_dir(spark, "etl")
-    uris = {
-        "source1_uri": join_uri(base, EtlConfig.source1_uri),
-        "source2_uri": join_uri(base, EtlConfig.source2_uri),
-    }
-    write_dataset(fixtures.source1(spark, sf_dir), uris["source1_uri"])
-    write_dataset(fixtures.source2(spark, sf_dir), uris["source2_uri"])
-    conf = EtlConfig(
-        **uris, output_uri=join_uri(base, "processed"), processed_date=DATE, timestamp=STAMP, **settings
+    uris = {f"{name}_uri": uri for name, (uri, _) in source_files(spark, sf_dir).items()}
+    output = scratch_dir(spark, "processed")
+    return run_etl(
+        spark, EtlConfig(**uris, output_uri=output, processed_date=DATE, timestamp=STAMP, **settings)
     )
-    return run_etl(spark, conf)
 
 
 @QUERIES.add("etl_job", SQL_REGISTRY)
@@ -407,6 +406,16 @@ def etl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, LakeTable(EtlConfig.table_name, root))
 
 
+@QUERIES.add("stage_counts", with_views(
+    " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"
+        for stage, view in [("source1", "src1"), ("source2", "src2"), ("registry", "registry")]
+    ), "registry"))
+def query_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted over the files that the job read and wrote."""
+    return _etl(spark, sf_dir).counts
+
+
 @QUERIES.add("checkpoints", with_views(
     " UNION ALL ".join(
         f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"

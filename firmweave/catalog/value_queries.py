@@ -53,15 +53,19 @@ _SQL_PADDED = _sql_case(
 )
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer", "c_custkey", "c_name")
+# The rewritten value, a column of its own before the function under check sees it.
+_V = F.col("v")
+
+
+def _customers(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    return table(spark, sf_dir, "customer", "c_custkey", "c_name").select("c_custkey", value.alias("v"))
 
 
 @QUERIES.add("name_clean", f"SELECT c_custkey, {duck.name_clean('v')} AS name_clean "
                            f"FROM (SELECT c_custkey, {_SQL_PADDED} AS v FROM customer)")
 def name_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = _case(_KEY, _PADDED, _NAME)
-    return _customers(spark, sf_dir).select("c_custkey", text.name_clean(value).alias("name_clean"))
+    return _customers(spark, sf_dir, value).select("c_custkey", text.name_clean(_V).alias("name_clean"))
 
 
 _SQL_PLACES = """SELECT c_custkey, concat(' ', n_name, ',   ', r_name, '  ') AS address, c_name
@@ -85,8 +89,8 @@ _SQL_DECORATED = _sql_case(
 @QUERIES.add("name_key", f"SELECT c_custkey, {duck.key('v')} AS name_key "
                          f"FROM (SELECT c_custkey, {_SQL_DECORATED} AS v FROM customer)")
 def name_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = text.match_key(decorated_name(_KEY, _NAME))
-    return _customers(spark, sf_dir).select("c_custkey", key.alias("name_key"))
+    value = decorated_name(_KEY, _NAME)
+    return _customers(spark, sf_dir, value).select("c_custkey", text.match_key(_V).alias("name_key"))
 
 
 @QUERIES.add("address_key", f"SELECT c_custkey, {duck.key(duck.squeeze('address'))} AS address_key "
@@ -118,7 +122,7 @@ _SQL_TOKENS = _sql_case(
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     shapes = [F.lit(t) for t in _TOKEN_TEXTS] + [F.lit(None), F.concat(F.lit("nan"), _NAME)]
     value = _case(_KEY, shapes, F.concat(F.lit(" "), _NAME, F.lit("  ")))
-    return _customers(spark, sf_dir).select("c_custkey", text.null_tokens(value).alias("scrubbed"))
+    return _customers(spark, sf_dir, value).select("c_custkey", text.null_tokens(_V).alias("scrubbed"))
 
 
 # --- lists -------------------------------------------------------------------------------------
@@ -127,8 +131,14 @@ _PART = F.col("p_partkey")
 _NONE = F.lit(None)
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+def _parts(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return parts.select("p_partkey", value.alias("v"))
+
+
+def _listed(df: DataFrame, key: str, items: Column) -> DataFrame:
+    """The cleaned list as text, and its size."""
+    return df.select(key, items.alias("c")).select(key, shown(F.col("c")).alias("items"), F.size("c").alias("n"))
 
 
 def _padded(column: str) -> Column:
@@ -153,11 +163,7 @@ _SQL_ITEMS = """CASE WHEN p_partkey%11 <> 0 THEN [concat('  ', p_name, chr(9)),
                                  f"FROM (SELECT p_partkey, {duck.list_array('v')} AS c "
                                  f"FROM (SELECT p_partkey, {_SQL_ITEMS} AS v FROM part))")
 def list_clean_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _parts(spark, sf_dir)
-        .select("p_partkey", lists.list_clean_array(_ITEMS).alias("c"))
-        .select("p_partkey", shown(F.col("c")).alias("items"), F.size("c").alias("n"))
-    )
+    return _listed(_parts(spark, sf_dir, _ITEMS), "p_partkey", lists.list_clean_array(_V))
 
 
 def _piece(separator: str) -> Column:
@@ -198,22 +204,14 @@ _SQL_DELIMITED_PARTS = f"(SELECT p_partkey, {_SQL_DELIMITED} AS v FROM part)"
 @QUERIES.add("list_clean_delim", f"SELECT p_partkey, {duck.shown('c')} AS items, CAST(len(c) AS INTEGER) AS n "
                                  f"FROM (SELECT p_partkey, {duck.list_delim('v')} AS c FROM {_SQL_DELIMITED_PARTS})")
 def list_clean_delim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _parts(spark, sf_dir)
-        .select("p_partkey", lists.list_clean_delim(_DELIMITED).alias("c"))
-        .select("p_partkey", shown(F.col("c")).alias("items"), F.size("c").alias("n"))
-    )
+    return _listed(_parts(spark, sf_dir, _DELIMITED), "p_partkey", lists.list_clean_delim(_V))
 
 
 @QUERIES.add("list_clean_scalar", """SELECT p_partkey, coalesce(CAST(v AS VARCHAR), '') AS items,
   CAST(v IS NOT NULL AS INTEGER) AS n FROM (SELECT p_partkey, CASE WHEN p_partkey%11 <> 0 THEN p_size END AS v FROM part)""")
 def list_clean_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(_PART % 11 != 0, F.col("p_size"))
-    return (
-        _parts(spark, sf_dir)
-        .select("p_partkey", lists.list_clean_scalar(value).alias("c"))
-        .select("p_partkey", shown(F.col("c")).alias("items"), F.size("c").alias("n"))
-    )
+    return _listed(_parts(spark, sf_dir, value), "p_partkey", lists.list_clean_scalar(_V))
 
 
 _CUSTOMER_ITEMS = F.when(
@@ -236,11 +234,7 @@ _SQL_CUSTOMER_ITEMS = """CASE WHEN p_partkey%11 <> 0 THEN [concat('  ', p_name,
                                 f"FROM (SELECT p_partkey, {duck.customers_array('v')} AS c "
                                 f"FROM (SELECT p_partkey, {_SQL_CUSTOMER_ITEMS} AS v FROM part))")
 def customers_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _parts(spark, sf_dir)
-        .select("p_partkey", lists.customers_array(_CUSTOMER_ITEMS).alias("c"))
-        .select("p_partkey", shown(F.col("c")).alias("items"), F.size("c").alias("n"))
-    )
+    return _listed(_parts(spark, sf_dir, _CUSTOMER_ITEMS), "p_partkey", lists.customers_array(_V))
 
 
 # Whole document texts, as they are and rewritten with other separators.
@@ -281,34 +275,31 @@ _SQL_FREE_TEXT = _sql_case(
                                  f"FROM (SELECT doc_id, {duck.customers_string('v')} AS c "
                                  f"FROM (SELECT doc_id, {_SQL_FREE_TEXT} AS v FROM documents))")
 def customers_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "documents", "doc_id", "text")
-        .select("doc_id", lists.customers_string(_FREE_TEXT).alias("c"))
-        .select("doc_id", shown(F.col("c")).alias("items"), F.size("c").alias("n"))
-    )
+    texts = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", _FREE_TEXT.alias("v"))
+    return _listed(texts, "doc_id", lists.customers_string(_V))
 
 
 @QUERIES.add("list_join", f"SELECT p_partkey, {duck.join_array('a')} AS from_list, {duck.join_text('v')} AS from_text "
                           f"FROM (SELECT p_partkey, {_SQL_ITEMS} AS a, {_SQL_DELIMITED} AS v FROM part)")
 def list_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parts(spark, sf_dir).select(
+    both = F.struct(_ITEMS.alias("items"), _DELIMITED.alias("text"))
+    return _parts(spark, sf_dir, both).select(
         "p_partkey",
-        lists.list_join(_ITEMS, T.ArrayType(T.StringType())).alias("from_list"),
-        lists.list_join(_DELIMITED, T.StringType()).alias("from_text"),
+        lists.list_join(F.col("v.items"), T.ArrayType(T.StringType())).alias("from_list"),
+        lists.list_join(F.col("v.text"), T.StringType()).alias("from_text"),
     )
 
 
 @QUERIES.add("list_count", f"SELECT p_partkey, {duck.count_items('v')} AS n FROM {_SQL_DELIMITED_PARTS}")
 def list_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parts(spark, sf_dir).select("p_partkey", lists.list_count(_DELIMITED).alias("n"))
+    return _parts(spark, sf_dir, _DELIMITED).select("p_partkey", lists.list_count(_V).alias("n"))
 
 
 @QUERIES.add("parse_list_column", f"SELECT p_partkey, {duck.count_items_unstripped('v')} AS items_count "
                                   f"FROM {_SQL_DELIMITED_PARTS}")
 def parse_list_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lists.parse_list_column(
-        _parts(spark, sf_dir).select("p_partkey", _DELIMITED.alias("items")), "items"
-    ).drop("items")
+    parts = _parts(spark, sf_dir, _DELIMITED).withColumnRenamed("v", "items")
+    return lists.parse_list_column(parts, "items").drop("items")
 
 
 # --- numbers -----------------------------------------------------------------------------------
@@ -317,8 +308,9 @@ _ORDER, _PRICE = F.col("o_orderkey"), F.col("o_totalprice")
 _PRICE_TEXT = _PRICE.cast("decimal(18,2)").cast("string")
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+def _orders(spark: SparkSession, sf_dir: str, value: Column) -> DataFrame:
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+    return orders.select("o_orderkey", "o_totalprice", value.alias("v"))
 
 
 _BAD_NUMBERS = ["nan", "1d", "1_000", "1e400", "True", "", "0x1p3", "1 2"]
@@ -352,8 +344,8 @@ def to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("-Infinity"),
         *[F.lit(bad) for bad in _BAD_NUMBERS],
     ]
-    value = numbers.to_number(_case(_ORDER, shapes, _PRICE_TEXT), T.StringType())
-    return _orders(spark, sf_dir).select("o_orderkey", value.alias("number"))
+    value = _case(_ORDER, shapes, _PRICE_TEXT)
+    return _orders(spark, sf_dir, value).select("o_orderkey", numbers.to_number(_V, T.StringType()).alias("number"))
 
 
 _REVENUE = _case(_ORDER, [F.lit(0.0), -_PRICE, _NONE.cast("double"), _PRICE / 100, _PRICE / 1000], _PRICE / 10000)
@@ -369,31 +361,31 @@ _SQL_REVENUES = f"(SELECT o_orderkey, o_totalprice, {_SQL_REVENUE} AS r FROM ord
                               f"CASE WHEN o_orderkey%13 <> 0 THEN o_totalprice / 7::DOUBLE END AS p FROM {_SQL_REVENUES})")
 def profit_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     profit = F.when(_ORDER % 13 != 0, _PRICE / 7)
-    return _orders(spark, sf_dir).select(
-        "o_orderkey", numbers.profit_margin(_REVENUE, profit).alias("profit_margin")
+    return _orders(spark, sf_dir, _REVENUE).select(
+        "o_orderkey", numbers.profit_margin(_V, profit).alias("profit_margin")
     )
 
 
 @QUERIES.add("revenue_category", f"SELECT o_orderkey, {duck.category('r')} AS revenue_category FROM {_SQL_REVENUES}")
 def revenue_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).select(
-        "o_orderkey", numbers.revenue_category(_REVENUE).alias("revenue_category")
+    return _orders(spark, sf_dir, _REVENUE).select(
+        "o_orderkey", numbers.revenue_category(_V).alias("revenue_category")
     )
 
 
 @QUERIES.add("revenue_log", f"SELECT o_orderkey, CASE WHEN r > -1 THEN round(ln(r + 1), 6) END AS revenue_log "
                             f"FROM {_SQL_REVENUES}")
 def revenue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).select(
-        "o_orderkey", F.round(numbers.revenue_log(_REVENUE), 6).alias("revenue_log")
+    return _orders(spark, sf_dir, _REVENUE).select(
+        "o_orderkey", F.round(numbers.revenue_log(_V), 6).alias("revenue_log")
     )
 
 
 @QUERIES.add("margin_norm", f"SELECT o_orderkey, coalesce(r / 100::DOUBLE, 0.0) AS profit_margin_normalized "
                             f"FROM {_SQL_REVENUES}")
 def margin_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).select(
-        "o_orderkey", numbers.margin_normalized(_REVENUE).alias("profit_margin_normalized")
+    return _orders(spark, sf_dir, _REVENUE).select(
+        "o_orderkey", numbers.margin_normalized(_V).alias("profit_margin_normalized")
     )
 
 
@@ -401,11 +393,11 @@ def margin_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT p_partkey, p_size::DOUBLE AS s, CASE WHEN p_partkey%9 <> 0 THEN CAST(p_partkey%5 AS INTEGER) END AS c FROM part)""")
 def sup_cust_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = F.when(_PART % 9 != 0, (_PART % 5).cast("int"))
-    return _parts(spark, sf_dir).select(
-        "p_partkey", numbers.supplier_customer_ratio(F.col("p_size"), customers).alias("ratio")
-    )
+    counts = F.struct(F.col("p_size").alias("suppliers"), customers.alias("customers"))
+    ratio = numbers.supplier_customer_ratio(F.col("v.suppliers"), F.col("v.customers"))
+    return _parts(spark, sf_dir, counts).select("p_partkey", ratio.alias("ratio"))
 
 
 @QUERIES.add("processed_date", f"SELECT c_custkey, '{DATE}' AS processed_date FROM customer")
 def processed_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customers(spark, sf_dir).select("c_custkey", numbers.load_date(DATE).alias("processed_date"))
+    return _customers(spark, sf_dir, _NAME).select("c_custkey", numbers.load_date(DATE).alias("processed_date"))

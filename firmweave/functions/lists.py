@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firmweave.functions.text import WS, is_missing_text, strip
+from firmweave.functions.text import NULL_TOKENS, UNICODE, WS, is_missing_text, strip
 
 SEPARATOR = "; "
 
 # A piece between semicolons that holds something besides white space.
-_FILLED_PIECE = f"[^;{WS}][^;]*"
+_FILLED_PIECE = f"{UNICODE}[^;{WS}][^;]*"
 
 
 def _empty() -> Column:
@@ -19,7 +19,8 @@ def _empty() -> Column:
 
 
 def _filled(items: Column) -> Column:
-    return F.filter(F.transform(items, strip), lambda x: x != "")
+    """Stripped items without the blank ones."""
+    return F.array_remove(F.transform(items, strip), "")
 
 
 def list_clean_array(c: Column) -> Column:
@@ -51,11 +52,11 @@ def _quoted_tokens(s: Column) -> Column:
 def customers_array(c: Column) -> Column:
     """Strip items, drop blank and NULL ones, expand an item that is itself a quoted list."""
 
-    def expand(item: Column) -> Column:
-        s = strip(item.cast("string"))
+    def expand(s: Column) -> Column:
         return F.when(_is_bracketed(s), _quoted_tokens(s)).otherwise(F.array(s))
 
-    return F.coalesce(_filled(F.flatten(F.transform(c, expand))), _empty())
+    stripped = F.transform(F.array_compact(c), lambda x: strip(x.cast("string")))
+    return F.coalesce(_filled(F.flatten(F.transform(stripped, expand))), _empty())
 
 
 def customers_string(c: Column) -> Column:
@@ -69,7 +70,7 @@ def customers_string(c: Column) -> Column:
     pieces = (
         F.when(_is_bracketed(s), _quoted_tokens(s))
         .when(flat.rlike("[;,|]"), F.split(flat, "[;,|]"))
-        .when(flat.rlike(f"[{WS}]{{2}}"), F.split(flat, f"[{WS}]{{2,}}"))
+        .when(flat.rlike(f"{UNICODE}[{WS}]{{2}}"), F.split(flat, f"{UNICODE}[{WS}]{{2,}}"))
         .otherwise(F.split(flat, " "))
     )
     return F.coalesce(_filled(pieces), _empty())
@@ -107,9 +108,9 @@ def list_join(c: Column, dtype: T.DataType) -> Column:
 
 
 def list_count(c: Column) -> Column:
-    """Number of filled pieces in a registry list text."""
-    s = strip(c)
-    return F.when(c.isNull() | is_missing_text(s), F.lit(0)).otherwise(F.regexp_count(s, F.lit(_FILLED_PIECE)))
+    """Number of filled pieces in a registry list text; 0 for a null token in any letter case."""
+    missing = F.lower(strip(c)).isin(*NULL_TOKENS)
+    return F.when(c.isNull() | missing, F.lit(0)).otherwise(F.regexp_count(c, F.lit(_FILLED_PIECE)))
 
 
 def list_count_unstripped(c: Column) -> Column:

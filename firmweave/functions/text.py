@@ -11,8 +11,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# The same set inside a Java character class.
-WS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same set as regular expressions: Java's \s, made Unicode-aware by (?U), lacks \x1c-\x1f.
+WS = r"\s\x1c-\x1f"
+UNICODE = "(?U)"
 
 # Texts that stand for a missing value.
 NULL_TOKENS = ("nan", "none", "null")
@@ -29,7 +30,7 @@ def name_clean(c: Column) -> Column:
 
 def address_clean(c: Column) -> Column:
     """Strip, and squeeze each inner run of white space to one space."""
-    return F.regexp_replace(name_clean(c), f"[{WS}]+", " ")
+    return F.regexp_replace(name_clean(c), f"{UNICODE}[{WS}]+", " ")
 
 
 def match_key(c: Column) -> Column:

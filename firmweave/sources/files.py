@@ -10,6 +10,12 @@ from firmweave.schemas import SOURCE1, SOURCE2, text_numbers
 
 FORMATS = ("parquet", "csv", "json")
 
+# CSV cells that mean a missing value.
+CSV_MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 
 def resolve_format(uri: str, file_format: str = "auto") -> str:
     """Explicit format, or by suffix, Parquet where the suffix says nothing."""
@@ -33,9 +39,10 @@ def read_csv(spark: SparkSession, uri: str, multiline: bool = False) -> DataFram
     ``multiline`` allows line breaks inside quoted values. It keeps a file from being split
     across tasks, so it is off unless the data needs it.
     """
-    return spark.read.csv(
+    df = spark.read.csv(
         uri, header=True, quote='"', escape='"', multiLine=multiline, encoding="UTF-8", mode="FAILFAST"
     )
+    return df.select(*[F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
 def _is_json_array(spark: SparkSession, uri: str) -> bool:
