@@ -90,14 +90,9 @@ def _finances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend and discounts, and brands by spend, out of one pass over the line items.
 
     Sums per brand come first, so a customer brings at most one row per brand of the catalogue
-    to its final group. Money is summed as decimals, which a customer with very many line items
-    cannot overflow.
+    to its final group.
     """
     cents, percent = F.col("cents"), F.col("percent")
-
-    def total(units: Column, name: str) -> Column:
-        return F.sum(units.cast("decimal(18,0)")).alias(name)
-
     per_brand = (
         _purchases(
             spark, sf_dir, "l_partkey",
@@ -105,17 +100,17 @@ def _finances(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .join(_parts(spark, sf_dir, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("ck", "p_brand")
-        .agg(total(cents * 100, "gross"), total(cents * percent, "discount"))
+        .agg(F.sum("cents").alias("spend"), F.sum(cents * percent).alias("discount"))
     )
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("gross")).alias("order"), "p_brand")))
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("spend")).alias("order"), "p_brand")))
 
     def money(units: Column) -> Column:
-        return (units * F.lit(Decimal("0.0001"))).cast("decimal(38,4)")
+        """A sum of ten-thousandths as a decimal, which no number of brands overflows."""
+        return (F.sum(units) * F.lit(Decimal("0.0001"))).cast("decimal(38,4)")
 
+    spend, discount = (F.col(c).cast("decimal(20,0)") for c in ("spend", "discount"))
     return per_brand.groupBy("ck").agg(
-        money(F.sum(F.col("gross") - F.col("discount"))).alias("net"),
-        money(F.sum("discount")).alias("discount"),
-        ranked["p_brand"].alias("brands"),
+        money(spend * 100 - discount).alias("net"), money(discount).alias("discount"), ranked["p_brand"].alias("brands")
     )
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmweave.functions.numbers import (
@@ -27,7 +27,7 @@ DEFAULT_FEATURES = ("revenue", "num_suppliers", "profit_margin_normalized")
 def select_features(df: DataFrame) -> DataFrame:
     """The typed inputs; text that is no number, and NaN, become NULL."""
 
-    def double(name: str):
+    def double(name: str) -> Column:
         value = F.col(name).try_cast("double")
         return F.when(~F.isnan(value), value).alias(name)
 
@@ -40,8 +40,13 @@ def select_features(df: DataFrame) -> DataFrame:
     )
 
 
+def _all_present(columns: Sequence[str]) -> Column:
+    """A plain conjunction, which unlike ``dropna`` Spark pushes into the scan."""
+    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+
+
 def filter_required(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=list(REQUIRED))
+    return df.filter(_all_present(REQUIRED))
 
 
 def label_high_profit(df: DataFrame, profit_threshold: float = 100.0) -> DataFrame:
@@ -66,7 +71,7 @@ def engineer_features(df: DataFrame, profit_threshold: float = 100.0) -> DataFra
 def filter_features(df: DataFrame, feature_columns: Sequence[str] = DEFAULT_FEATURES) -> DataFrame:
     """Id, label and features of the rows that have them all."""
     kept = df.select("corporate_id", LABEL, *feature_columns)
-    return kept.filter(reduce(and_, [F.col(c).isNotNull() for c in (LABEL, *feature_columns)]))
+    return kept.filter(_all_present((LABEL, *feature_columns)))
 
 
 def assemble(df: DataFrame, feature_columns: Sequence[str] = DEFAULT_FEATURES) -> DataFrame:
