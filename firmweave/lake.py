@@ -26,7 +26,7 @@ from firmweave.storage import child_names, exists, join_uri
 
 KEY = "corporate_id"
 NEWEST_BY = ("processed_date",)
-FALLBACK_FOLDER = "lake_fallback"
+FALLBACK_FOLDER = "iceberg_fallback"
 
 _SNAPSHOT = "snapshot="
 
@@ -162,7 +162,7 @@ def upsert_table(
     if table.catalog:
         (
             latest.alias("s")
-            .mergeInto(table.identifier, F.expr(f"`{table.short_name}`.`{key}` = s.`{key}`"))
+            .mergeInto(table.identifier, F.expr(f"`{table.short_name.split('.')[-1]}`.`{key}` = s.`{key}`"))
             .whenMatched().updateAll()
             .whenNotMatched().insertAll()
             .merge()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-_local_roots: dict[str, str] = {}
+_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def join_uri(base: str, *parts: str) -> str:
@@ -29,8 +29,10 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="firmweave-")
-    return _local_roots[context.applicationId]
+        _local_roots[context.applicationId] = tempfile.TemporaryDirectory(
+            prefix="firmweave-", ignore_cleanup_errors=True
+        )
+    return _local_roots[context.applicationId].name
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:

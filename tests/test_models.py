@@ -210,7 +210,7 @@ def test_etl_falls_back(spark, uri):
     result = run_etl(spark, EtlConfig(
         source1_uri=written["source1_parquet"], source2_uri=written["source2_parquet"], output_uri=uri("out"),
         timestamp="ts", table_enabled=True, table_catalog="no_such_catalog"))
-    assert result.fallback_uri == uri("out/lake_fallback/corporate_registry_backup_ts.parquet")
+    assert result.fallback_uri == uri("out/iceberg_fallback/corporate_registry_backup_ts.parquet")
 
 
 def test_configs():

@@ -178,7 +178,7 @@ def test_fallback_writes_the_rows_elsewhere(spark, uri):
     rows = registry_rows(spark, [("a", 1.0, "d")])
     broken = LakeTable("db.t", catalog="no_such_catalog")
     where = lake.load_with_fallback(rows, broken, uri("out"), timestamp="ts")
-    assert where == uri("out/lake_fallback/t_backup_ts.parquet")
+    assert where == uri("out/iceberg_fallback/t_backup_ts.parquet")
     assert values(spark.read.parquet(where)) == values(rows)
     assert lake.load_with_fallback(rows, LakeTable("db.t", uri("lake")), uri("out")) is None
     with pytest.raises(ValueError, match="append or upsert"):
