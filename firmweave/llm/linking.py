@@ -57,9 +57,9 @@ def components(st: Stages, edges: DataFrame) -> DataFrame:
     return labels
 
 
-def shared_buckets(st: Stages, keys: DataFrame) -> DataFrame:
-    """(key, id) of the keys that at least two items have."""
-    keys = st.save(keys.select("key", "id"), "keys")
+def shared_buckets(st: Stages, keys: DataFrame, save_keys: bool = True) -> DataFrame:
+    """(key, id) of the keys that at least two items have. Keys that are cheap to make need not be saved first."""
+    keys = st.save(keys.select("key", "id"), "keys") if save_keys else keys.select("key", "id")
     multiple = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     return st.save(keys.join(st.save(multiple, "multiple"), "key"), "shared")
 

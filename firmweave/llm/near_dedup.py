@@ -261,3 +261,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         own = F.when(F.col("d1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         out = out.select("doc_id", "n_shingles", own.alias("component_id"))
         return st.save(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-duplicates", keep=True)
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The documents but for those linked to one of a smaller doc_id; columns as they are.
+
+    A document whose set of shingles is empty stays. Rows with one doc_id stay or go together; rows without doc_id stay."""
+    with Stages(docs.sparkSession) as st:
+        found = near_duplicates(docs, width, percent)
+        gone = st.save(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+        return st.save(docs.join(gone, docs.doc_id == gone._gone, "left_anti"), "near-deduplicated", keep=True)

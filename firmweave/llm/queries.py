@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmweave.llm import mixing, near_dedup, packing, quality_rules, token_files
+from firmweave.llm import language_id, license_scan, line_dedup, mixing, near_dedup, packing, quality_rules, substring_dedup, token_files, topk_search
 from firmweave.storage import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,38 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer(), keep_ids=False)
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.removed_lines(documents(spark, sf_dir)).drop("row")
+
+
+@query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, scale=64)
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_units(documents(spark, sf_dir))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
+    out = language_id.identify(docs, docs.where("not held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op6_exact_top_k"] = topk_search.SQL
+ORACLE_SQL["op7_substring_dedup"] = substring_dedup.SQL
+ORACLE_SQL["op9_license_scan"] = license_scan.SQL
