@@ -22,6 +22,11 @@ class _Config:
 class EtlConfig(_Config):
     source1_uri: str = "source1_supply_chain.parquet"
     source2_uri: str = "source2_financial.parquet"
+    source1_format: str = "auto"
+    source2_format: str = "auto"
+    multiline: bool = False
+    json_layout: str = "auto"
+    lists_as_text: bool = False
     output_uri: str = "processed/"
     output_format: str = "parquet"
     save_intermediate: bool = False

@@ -5,30 +5,41 @@ table API does the work. Without one a table is a folder of Parquet snapshots::
 
     <root>/<database>/<table>/snapshot=<n>/
 
-Readers take the newest snapshot whose write finished. An append adds files to it; an upsert
-writes the next one, because Spark cannot overwrite what it is reading. One job writes to a
+beside whose files ``_layout.json`` states the columns, their types and the partition column; it is
+written last, so a snapshot without it is a failed write. Readers take the newest finished snapshot.
+An append adds files to it, if its rows have the same layout; an upsert writes the next one, because
+Spark cannot overwrite what it is reading, and removes those before the last. One job writes to a
 table at a time.
 """
 
 from __future__ import annotations
 
+import json
+import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmweave.functions.numbers import load_date
+from firmweave.functions.text import match_key
 from firmweave.sinks.files import load_dataset
-from firmweave.storage import child_names, exists, join_uri
+from firmweave.storage import child_names, delete, exists, join_uri, read_text, write_text
 
 KEY = "corporate_id"
 NEWEST_BY = ("processed_date",)
+#: Which of two equally new rows wins: the one with more revenue, then profit.
+TIES = ("revenue", "profit")
 FALLBACK_FOLDER = "iceberg_fallback"
 
 _SNAPSHOT = "snapshot="
+_LAYOUT = "_layout.json"
+#: Finished snapshots that stay: the current one and the one that readers may still be on.
+SNAPSHOTS_KEPT = 2
 
 
 def split_table_name(name: str) -> tuple[str, str]:
@@ -71,14 +82,42 @@ def _snapshot_uri(table: LakeTable, number: int) -> str:
 
 
 def _current_uri(spark: SparkSession, table: LakeTable) -> str | None:
-    """Newest snapshot that finished; a folder without the success marker is a failed write."""
+    """Newest snapshot that finished; a folder without the layout is a failed write."""
     for number in reversed(_snapshots(spark, table)):
         uri = _snapshot_uri(table, number)
-        if exists(spark, join_uri(uri, "_SUCCESS")):
+        if exists(spark, join_uri(uri, _LAYOUT)):
             return uri
     return None
 
 
+def _layout(spark: SparkSession, uri: str) -> tuple[T.StructType, str]:
+    """Columns and partition column (or nothing) of a snapshot."""
+    found = json.loads(read_text(spark, join_uri(uri, _LAYOUT)))
+    return T.StructType.fromJson(found["schema"]), found["partition_key"]
+
+
+def _refuse_other_layout(rows: DataFrame, partition_key: str, stored: tuple[T.StructType, str], table: LakeTable) -> None:
+    """Rows that the table's readers would not see whole must not be written to it."""
+    schema, key = stored
+    has = {f.name: f.dataType for f in rows.schema}
+    wants = {f.name: f.dataType for f in schema}
+    if has != wants or partition_key != key:
+        odd = sorted(n for n in has.keys() | wants.keys() if has.get(n) != wants.get(n))
+        raise ValueError(
+            f"table {table.name} is partitioned by {key or 'nothing'} and the rows by {partition_key or 'nothing'}; "
+            f"columns that differ: {odd or 'none'}"
+        )
+
+
+def expire_snapshots(spark: SparkSession, table: LakeTable, keep: int = SNAPSHOTS_KEPT) -> None:
+    """Remove all finished snapshots but the newest ``keep``, and failed writes before them."""
+    numbers = _snapshots(spark, table)
+    done = [n for n in numbers if exists(spark, join_uri(_snapshot_uri(table, n), _LAYOUT))]
+    for number in numbers:
+        if len(done) > keep and number < done[-keep]:
+            delete(spark, _snapshot_uri(table, number))
+
+
 def _next_uri(spark: SparkSession, table: LakeTable) -> str:
     return _snapshot_uri(table, max(_snapshots(spark, table), default=0) + 1)
 
@@ -96,13 +135,7 @@ def read_table(spark: SparkSession, table: LakeTable) -> DataFrame:
     uri = _current_uri(spark, table)
     if uri is None:
         raise FileNotFoundError(f"table {table.name} has no finished snapshot under {table.uri}")
-    df = spark.read.parquet(uri)
-    keys = {name.split("=", 1)[0] for name in child_names(spark, uri) if "=" in name}
-    if not keys:
-        return df
-    # Spark guesses the type of partition values; they must stay the text they were written from.
-    fields = [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType, True) for f in df.schema]
-    return spark.read.schema(T.StructType(fields)).parquet(uri)
+    return spark.read.schema(_layout(spark, uri)[0]).parquet(uri)
 
 
 def _table_form(df: DataFrame, partition_key: str) -> DataFrame:
@@ -120,8 +153,18 @@ def _write_files(df: DataFrame, uri: str, mode: str, partition_key: str) -> None
     writer.parquet(uri)
 
 
+def _write_snapshot(df: DataFrame, table: LakeTable, partition_key: str) -> None:
+    spark, uri = df.sparkSession, _next_uri(df.sparkSession, table)
+    _write_files(df, uri, "errorifexists", partition_key)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+    write_text(spark, join_uri(uri, _LAYOUT), json.dumps({"schema": schema.jsonValue(), "partition_key": partition_key}))
+
+
 def append_table(df: DataFrame, table: LakeTable, partition_key: str = "") -> None:
-    """Add the rows to the table, creating a folder table that does not exist yet."""
+    """Add the rows to the table, creating a folder table that does not exist yet.
+
+    A ``ValueError`` and no write if the rows differ from the table in columns, types or partition column.
+    """
     spark = df.sparkSession
     rows = _table_form(df, partition_key)
     if table.catalog:
@@ -129,51 +172,74 @@ def append_table(df: DataFrame, table: LakeTable, partition_key: str = "") -> No
         return
     uri = _current_uri(spark, table)
     if uri is None:
-        _write_files(rows, _next_uri(spark, table), "errorifexists", partition_key)
+        _write_snapshot(rows, table, partition_key)
     else:
-        _write_files(rows, uri, "append", partition_key)
+        schema, key = stored = _layout(spark, uri)
+        _refuse_other_layout(rows, partition_key, stored, table)
+        _write_files(rows.select(*schema.names), uri, "append", key)
 
 
-def newest_per_key(df: DataFrame, key: str = KEY, newest_by: tuple[str, ...] = NEWEST_BY) -> DataFrame:
+def newest_per_key(df: DataFrame, key: str | Sequence[str] = KEY, newest_by: tuple[str, ...] = NEWEST_BY) -> DataFrame:
     """One row per key: the newest, ties settled by the other columns.
 
     The rank limit is also applied before the shuffle, so each task sends on one row per key
     however many rows a key has.
     """
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c != key and c not in newest_by]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c not in keys and c not in newest_by]
     order = [F.col(c).desc_nulls_last() for c in newest_by] + rest
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def _identity(df: DataFrame, key: str) -> dict[str, Column]:
+    """What makes two rows the same company: the id, and what it is a short hash of where the rows have it."""
+    parts = {"_key": F.col(key)}
+    if key == KEY and {"corporate_name", "address"} <= set(df.columns):
+        parts |= {"_name": match_key(F.col("corporate_name")), "_address": match_key(F.col("address"))}
+    return parts
+
+
 def upsert_table(
     df: DataFrame,
     table: LakeTable,
     key: str = KEY,
     newest_by: tuple[str, ...] = NEWEST_BY,
-    partition_key: str = "",
+    partition_key: str | None = None,
 ) -> None:
-    """Replace the rows whose key is in ``df`` and add the others, one row per key.
+    """Bring rows and table together and keep the newest row of each company, one row each.
 
-    ``df`` is read twice, so give a frame that is cheap to read again, such as a written dataset.
+    Newest is by ``newest_by``, so a late batch with older rows changes nothing. Where that ties, a row of the batch
+    goes before a stored one, then the higher ``revenue``, then the higher ``profit`` where there are such columns,
+    then the other columns in falling order. Rows whose key is NULL are refused. An existing table keeps
+    its partition column. ``df`` is read twice, so give a frame that is cheap to read again, such as a written dataset.
     """
     spark = df.sparkSession
-    latest = newest_per_key(_table_form(df, partition_key), key, newest_by)
+    uri = None if table.catalog else _current_uri(spark, table)
+    if uri is not None and partition_key is None:
+        partition_key = _layout(spark, uri)[1]
+    rows = _table_form(df, partition_key or "")
+    if not rows.filter(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"rows without {key} cannot be upserted")
+    ties = tuple(c for c in TIES if c in rows.columns)
     if table.catalog:
+        newest = " AND ".join(f"coalesce(s.`{c}` >= `{table.short_name.split('.')[-1]}`.`{c}`, true)" for c in newest_by)
         (
-            latest.alias("s")
+            newest_per_key(rows, key, (*newest_by, *ties)).alias("s")
             .mergeInto(table.identifier, F.expr(f"`{table.short_name.split('.')[-1]}`.`{key}` = s.`{key}`"))
-            .whenMatched().updateAll()
+            .whenMatched(F.expr(newest)).updateAll()
             .whenNotMatched().insertAll()
             .merge()
         )
         return
-    if _current_uri(spark, table) is None:
-        merged = latest
-    else:
-        kept = read_table(spark, table).join(df.select(key).distinct(), key, "left_anti")
-        merged = kept.unionByName(latest)
-    _write_files(merged, _next_uri(spark, table), "errorifexists", partition_key)
+    both = rows.withColumn("_batch", F.lit(1))
+    if uri is not None:
+        _refuse_other_layout(rows, partition_key or "", _layout(spark, uri), table)
+        both = both.unionByName(read_table(spark, table).withColumn("_batch", F.lit(0)))
+    identity = _identity(rows, key)
+    merged = newest_per_key(both.withColumns(identity), list(identity), (*newest_by, "_batch", *ties))
+    _write_snapshot(merged.drop("_batch", *identity), table, partition_key or "")
+    expire_snapshots(spark, table)
 
 
 def load_with_fallback(
@@ -184,15 +250,19 @@ def load_with_fallback(
     partition_key: str = "",
     timestamp: str | None = None,
 ) -> str | None:
-    """Append or upsert; if Spark cannot, write the rows as Parquet and return that URI."""
+    """Append or upsert; if Spark cannot, log why, write the rows as Parquet and return that URI.
+
+    Rows that do not fit the table (``ValueError``) are the caller's to mend and are not written elsewhere.
+    """
     if mode not in ("append", "upsert"):
         raise ValueError(f"table mode must be append or upsert, not {mode}")
     try:
         if mode == "append":
             append_table(df, table, partition_key)
         else:
-            upsert_table(df, table, partition_key=partition_key)
-    except (PySparkException, Py4JError):
+            upsert_table(df, table, partition_key=partition_key or None)
+    except (PySparkException, Py4JError) as error:
+        logging.getLogger(__name__).warning("table %s not written, falling back to Parquet: %s", table.name, error)
         folder = join_uri(fallback_uri, FALLBACK_FOLDER)
         return load_dataset(df, folder, f"{table.short_name}_backup", timestamp=timestamp)
     return None

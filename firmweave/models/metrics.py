@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmweave.operators.features import LABEL
 
-_FOLD_SCHEMA = "top double, positives double, negatives double, wins double, tp double, fp double"
+#: Ranges of the score, about equally full of distinct scores; each is ordered by itself.
+RANGES = 256
 
 
 def _is(column: str, value: float) -> Column:
@@ -29,51 +26,34 @@ def _per_score(df: DataFrame, score: str, label: str, prediction: str | None) ->
     )
 
 
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per partition of scores in falling order.
-
-    ``wins`` counts, within the partition, the (positive, negative) pairs in which the positive
-    scores higher, a tie counting half.
-    """
-    top, pos_sum, neg_sum, wins, tp, fp = None, 0.0, 0.0, 0.0, 0.0, 0.0
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        score, pos, neg, hits, misses = (batch.column(i).to_numpy().astype(float) for i in range(5))
-        above = pos_sum + np.cumsum(pos) - pos
-        wins += float(np.dot(neg, above + pos / 2))
-        top = float(score[0]) if top is None else top
-        pos_sum += float(pos.sum())
-        neg_sum += float(neg.sum())
-        tp += float(hits.sum())
-        fp += float(misses.sum())
-    if top is not None:
-        columns = [pa.array([v], pa.float64()) for v in (top, pos_sum, neg_sum, wins, tp, fp)]
-        yield pa.RecordBatch.from_arrays(columns, _FOLD_SCHEMA.replace(" double", "").split(", "))
-
-
 def _score_folds(df: DataFrame, score: str, label: str, prediction: str | None = None) -> DataFrame:
-    """Ranges of the score, each folded to one row in its own task.
+    """Counts per score, folded by range.
 
-    A global ordered window would put all scores in one task. Here the scores are range-partitioned,
-    and only one row per range goes on to the single task that adds up the ranges.
+    A global ordered window would put all scores in one task. Here each range of the score is ordered by itself,
+    and only one row per range, RANGES at most, goes on to the window that adds up the ranges. ``wins`` counts the
+    (positive, negative) pairs in which the positive scores higher, a tie counting half.
     """
-    ranges = (
-        _per_score(df, score, label, prediction)
-        .repartitionByRange(F.desc("score"))
-        .sortWithinPartitions(F.desc("score"))
+    scores = _per_score(df, score, label, prediction)
+    cuts = scores.agg(F.percentile_approx("score", [i / RANGES for i in range(1, RANGES)]).alias("cuts"))
+    ranged = scores.join(F.broadcast(cuts)).withColumn(  # one row of cuts
+        "range", F.coalesce(F.size(F.filter("cuts", lambda cut: cut <= F.col("score"))), F.lit(0))
+    )
+    higher = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    inner = ranged.withColumn("over", F.coalesce(F.sum("pos").over(higher), F.lit(0)))
+    ranges = inner.groupBy("range").agg(
+        F.sum("pos").cast("double").alias("positives"),
+        F.sum("neg").cast("double").alias("negatives"),
+        F.sum(F.col("neg") * (F.col("over") + F.col("pos") / 2)).alias("wins"),
+        F.sum("tp").cast("double").alias("tp"),
+        F.sum("fp").cast("double").alias("fp"),
     )
-    higher = Window.orderBy(F.desc("top")).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranges.mapInArrow(_fold, _FOLD_SCHEMA)
-        .withColumn("above", F.coalesce(F.sum("positives").over(higher), F.lit(0.0)))
-        .agg(
-            F.sum("positives").alias("positives"),
-            F.sum("negatives").alias("negatives"),
-            F.sum(F.col("wins") + F.col("negatives") * F.col("above")).alias("wins"),
-            F.sum("tp").alias("tp"),
-            F.sum("fp").alias("fp"),
-        )
+    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.withColumn("above", F.coalesce(F.sum("positives").over(above), F.lit(0.0))).agg(
+        F.sum("positives").alias("positives"),
+        F.sum("negatives").alias("negatives"),
+        F.sum(F.col("wins") + F.col("negatives") * F.col("above")).alias("wins"),
+        F.sum("tp").alias("tp"),
+        F.sum("fp").alias("fp"),
     )
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from firmweave.models.metrics import evaluate
 from firmweave.operators.features import LABEL
 
-_BUCKETS = 1000
+#: Splits compare 32 bits of the id with the ratio.
+_SPAN = 1 << 32
 
 
 def split_random(df: DataFrame, train_ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -22,16 +23,16 @@ def split_random(df: DataFrame, train_ratio: float = 0.8, seed: int = 42) -> tup
     return train, test
 
 
-def split_bucket(key: Column) -> Column:
-    """0..999 from the first eight digits of a hex id."""
-    return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % _BUCKETS
+def split_point(key: Column) -> Column:
+    """0 .. 2^32 - 1 from the first eight digits of a hex id."""
+    return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
 
 
 def split_stable(
     df: DataFrame, train_ratio: float = 0.8, key: str = "corporate_id"
 ) -> tuple[DataFrame, DataFrame]:
     """Split by the row's own id: the same rows on every run, and no sort or shuffle."""
-    in_train = split_bucket(F.col(key)) < round(_BUCKETS * train_ratio)
+    in_train = split_point(F.col(key)) < round(_SPAN * train_ratio)
     return df.filter(in_train), df.filter(~in_train)
 
 

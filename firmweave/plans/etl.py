@@ -13,7 +13,7 @@ from firmweave.operators.harmonize import harmonize
 from firmweave.operators.quality import stage_counts
 from firmweave.operators.resolve import resolve_entities
 from firmweave.sinks.files import load_dataset, load_registry, timestamp_text
-from firmweave.sources.files import extract_source1, extract_source2, read_parquet
+from firmweave.sources.files import ReadOptions, extract_source1, extract_source2, read_parquet
 from firmweave.storage import stage
 
 
@@ -52,8 +52,12 @@ def _checkpoint(df: DataFrame, name: str, conf: EtlConfig, timestamp: str, uris:
 def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
     timestamp = conf.timestamp or timestamp_text()
     uris: dict[str, str] = {}
-    source1 = extract_source1(spark, conf.source1_uri)
-    source2 = extract_source2(spark, conf.source2_uri)
+    options = [
+        ReadOptions(file_format, conf.multiline, conf.json_layout, conf.lists_as_text)
+        for file_format in (conf.source1_format, conf.source2_format)
+    ]
+    source1 = extract_source1(spark, conf.source1_uri, options[0])
+    source2 = extract_source2(spark, conf.source2_uri, options[1])
     cleaned1 = _checkpoint(clean_source1(source1), "source1_cleaned", conf, timestamp, uris)
     cleaned2 = _checkpoint(clean_source2(source2), "source2_cleaned", conf, timestamp, uris)
     resolved = resolve_entities(cleaned1, cleaned2, conf.drop_blank_keys)

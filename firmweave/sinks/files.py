@@ -42,7 +42,7 @@ def write_dataset(df: DataFrame, uri: str, file_format: str = "parquet") -> str:
     elif fmt == "json":
         df.write.json(uri, encoding="UTF-8", ignoreNullFields=False)
     else:
-        raise ValueError(f"Unsupported format: {file_format}")
+        raise ValueError(f"no writer for format {file_format!r}, only for {FORMATS}")
     return uri
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from firmweave.schemas import SOURCE1, SOURCE2, text_numbers
+from firmweave.schemas import SOURCE1, SOURCE2, text_lists, text_numbers
 
 FORMATS = ("parquet", "csv", "json")
+JSON_LAYOUTS = ("auto", "lines", "array")
 
 # CSV cells that mean a missing value.
 CSV_MISSING = (
@@ -23,7 +26,7 @@ def resolve_format(uri: str, file_format: str = "auto") -> str:
         path = uri.rstrip("/")
         return next((f for f in FORMATS if path.endswith(f".{f}")), "parquet")
     if file_format.lower() not in FORMATS:
-        raise ValueError(f"Unsupported file format: {file_format}")
+        raise ValueError(f"no reader for format {file_format!r}, only for {FORMATS}")
     return file_format.lower()
 
 
@@ -45,45 +48,73 @@ def read_csv(spark: SparkSession, uri: str, multiline: bool = False) -> DataFram
     return df.select(*[F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def _is_json_array(spark: SparkSession, uri: str) -> bool:
-    """Whether the files hold one top-level array each rather than one object per line."""
-    first = spark.read.text(uri).filter(F.col("value").rlike(r"\S")).head(1)
-    return bool(first) and first[0].value.lstrip("\ufeff \t").startswith("[")
+def json_array_files(spark: SparkSession, uri: str) -> tuple[list[str], list[str]]:
+    """The files of a dataset that hold JSON Lines, and those that hold one top-level array.
+
+    Each file is judged by its own first character that is not blank; a file without one is of the first kind. The
+    file names, which the driver lists for any scan, come back to it, and nothing of their content does.
+    """
+    lines = spark.read.text(uri).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # The first split of a file is read in order by one task, so its first row is the file's first.
+    first = lines.filter((F.col("file_block_start") == 0) & F.col("value").rlike(r"\S")).groupBy("file_path")
+    first = first.agg(F.first(F.ltrim(F.translate(F.substring("value", 1, 4096), "\ufeff\t", "  "))).alias("start"))
+    kinds = first.select("file_path", F.col("start").startswith("[").alias("array")).collect()
+    jvm = spark._jvm
+
+    def path(text: str) -> str:
+        return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(text)).toString()
+
+    return [path(r.file_path) for r in kinds if not r.array], [path(r.file_path) for r in kinds if r.array]
+
+
+def read_json(spark: SparkSession, uri: str, schema: T.StructType, layout: str = "auto") -> DataFrame:
+    """Scan JSON Lines, which Spark splits across tasks, or files of one top-level array, a task each.
+
+    ``layout`` is lines, array, or auto: then every file is looked at, and the two kinds are read apart and united. A
+    value that does not fit the schema, or a file of the other layout, stops the read rather than turning into NULL.
+    """
+    if layout not in JSON_LAYOUTS:
+        raise ValueError(f"JSON layout must be one of {JSON_LAYOUTS}, not {layout}")
+    many = {"lines": False, "array": True}
+    if layout != "auto":
+        return spark.read.json(uri, schema=schema, multiLine=many[layout], mode="FAILFAST")
+    lines, arrays = json_array_files(spark, uri)
+    read = [spark.read.json(p, schema=schema, multiLine=m, mode="FAILFAST") for p, m in ((lines, False), (arrays, True)) if p]
+    if not read:
+        return spark.createDataFrame([], schema)
+    return read[0] if len(read) == 1 else read[0].unionAll(read[1])
+
+
+@dataclass(frozen=True)
+class ReadOptions:
+    """How a source is read: its format, and what its CSV or JSON files may hold."""
+
+    file_format: str = "auto"
+    multiline: bool = False
+    json_layout: str = "auto"
+    lists_as_text: bool = False
 
 
-def read_json(
-    spark: SparkSession, uri: str, schema: T.StructType, array: bool | None = None
-) -> DataFrame:
-    """Scan JSON Lines, which Spark splits across tasks, or files of one top-level array.
+def read_source(spark: SparkSession, uri: str, schema: T.StructType, options: ReadOptions = ReadOptions()) -> DataFrame:
+    """Scan a dataset in whichever format it has. ``schema`` types the JSON fields.
 
-    A value that does not fit the schema stops the read rather than turning into NULL.
+    With ``lists_as_text`` the list columns of JSON are text, as CSV has them and as this engine's own JSON export
+    writes them, and the cleaning step applies its text rule.
     """
-    if array is None:
-        array = _is_json_array(spark, uri)
-    return spark.read.json(uri, schema=schema, multiLine=array, mode="FAILFAST")
-
-
-def read_source(
-    spark: SparkSession,
-    uri: str,
-    schema: T.StructType,
-    file_format: str = "auto",
-    multiline: bool = False,
-) -> DataFrame:
-    """Scan a dataset in whichever format it has. ``schema`` types the JSON fields."""
-    resolved = resolve_format(uri, file_format)
+    resolved = resolve_format(uri, options.file_format)
     if resolved == "csv":
-        return read_csv(spark, uri, multiline)
+        return read_csv(spark, uri, options.multiline)
     if resolved == "json":
-        return read_json(spark, uri, text_numbers(schema))
+        layout = text_numbers(text_lists(schema) if options.lists_as_text else schema)
+        return read_json(spark, uri, layout, options.json_layout)
     return read_parquet(spark, uri)
 
 
-def extract_source1(spark: SparkSession, uri: str, file_format: str = "auto") -> DataFrame:
+def extract_source1(spark: SparkSession, uri: str, options: ReadOptions = ReadOptions()) -> DataFrame:
     """Supply-chain dataset."""
-    return read_source(spark, uri, SOURCE1, file_format)
+    return read_source(spark, uri, SOURCE1, options)
 
 
-def extract_source2(spark: SparkSession, uri: str, file_format: str = "auto") -> DataFrame:
+def extract_source2(spark: SparkSession, uri: str, options: ReadOptions = ReadOptions()) -> DataFrame:
     """Financial dataset."""
-    return read_source(spark, uri, SOURCE2, file_format)
+    return read_source(spark, uri, SOURCE2, options)

@@ -113,7 +113,7 @@ def source2_rows(ids: DataFrame, id_column: str = "id", seed: int = 42, match_ra
 
 def _ids(spark: SparkSession, num_rows: int) -> DataFrame:
     if num_rows <= 0:
-        raise ValueError("Number of rows must be greater than 0")
+        raise ValueError(f"cannot generate {num_rows} rows")
     return spark.range(num_rows)
 
 
@@ -139,7 +139,7 @@ def generate_and_save(
     Returns the URI of each dataset by ``<source>_<format>``.
     """
     if output_format not in OUTPUT_FORMATS:
-        raise ValueError(f"Unsupported format: {output_format}")
+        raise ValueError(f"no writer for format {output_format!r}")
     frames = {
         "source1": generate_source1(spark, num_rows, seed),
         "source2": generate_source2(spark, num_rows, seed, match_rate),

@@ -19,14 +19,14 @@ def join_uri(base: str, *parts: str) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names for intermediate data.
 
-    Executors must all see it and it must outlive any one of them, so a local temporary folder
-    stands in only when the whole session runs on this machine.
+    Executors must all see it and it must outlive any one of them, so a temporary folder stands in
+    only where driver and executors are one process on this machine.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return shared
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.TemporaryDirectory(
@@ -52,6 +52,32 @@ def _file_system(spark: SparkSession, uri: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    """Remove a file or a folder and all below it."""
+    fs, path = _file_system(spark, uri)
+    fs.delete(path, True)
+
+
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    """A small file, written by the driver; one of that name must not be there yet."""
+    fs, path = _file_system(spark, uri)
+    out = fs.create(path, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, uri: str) -> str:
+    """A small file, read by the driver."""
+    fs, path = _file_system(spark, uri)
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def exists(spark: SparkSession, uri: str) -> bool:
     fs, path = _file_system(spark, uri)
     return fs.exists(path)

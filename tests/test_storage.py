@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from firmweave import lake, storage
+from firmweave import lake, session, storage
 from firmweave.lake import LakeTable
 from firmweave.operators.clean import clean_source1, clean_source2
 from firmweave.schemas import SOURCE1, SOURCE2
@@ -39,9 +39,9 @@ def test_resolve_format(uri, explicit, expected):
 
 
 def test_unknown_formats_are_refused(source1, uri):
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="no (reader|writer) for format"):
         files.resolve_format("x", "orc")
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="no (reader|writer) for format"):
         sinks.write_dataset(source1, uri("x"), "orc")
 
 
@@ -168,6 +168,77 @@ def test_unfinished_snapshot_is_not_read(spark, uri, tmp_path):
     assert lake.read_table(spark, table).count() == 2
 
 
+def test_append_refuses_rows_of_another_layout(spark, uri):
+    table = LakeTable("db.t", uri("lake"))
+    rows = registry_rows(spark, [("a", 1.0, "2026-01-15")])
+    lake.append_table(rows, table, "processed_date")
+    odd = {
+        "unpartitioned": (rows, ""),
+        "extra": (rows.withColumn("more", F.lit(1)), "processed_date"),
+        "missing": (rows.drop("revenue"), "processed_date"),
+        "typed": (rows.withColumn("revenue", F.col("revenue").cast("string")), "processed_date"),
+    }
+    for other, key in odd.values():
+        with pytest.raises(ValueError, match="partitioned by"):
+            lake.append_table(other, table, key)
+    lake.append_table(rows.select("processed_date", "revenue", "corporate_id"), table, "processed_date")
+    assert values(lake.read_table(spark, table).select(rows.columns)) == values(rows.union(rows))
+
+
+def test_partition_column_keeps_its_type(spark, uri):
+    table = LakeTable("db.t", uri("lake"))
+    rows = registry_rows(spark, [("a", 1.0, "2026-01-15")]).withColumn("day", F.col("processed_date").cast("date"))
+    lake.append_table(rows, table, "day")
+    assert dict(lake.read_table(spark, table).dtypes)["day"] == "date"
+
+
+def test_upsert_keeps_the_newest_of_table_and_batch(spark, uri):
+    table = LakeTable("db.t", uri("lake"))
+    lake.append_table(registry_rows(spark, [("a", 9.0, "2026-02-01"), ("a", 8.0, "2026-02-01")]), table, "processed_date")
+    lake.upsert_table(registry_rows(spark, [("a", 1.0, "2026-01-01")]), table)  # late
+    assert values(lake.read_table(spark, table).select("revenue")) == [(9.0,)]
+    lake.upsert_table(registry_rows(spark, [("a", 2.0, "2026-02-01"), ("a", 3.0, "2026-02-01")]), table)  # tie: the batch, then revenue
+    assert values(lake.read_table(spark, table).select("revenue")) == [(3.0,)]
+    assert (lake._layout(spark, lake._current_uri(spark, table)))[1] == "processed_date"
+    with pytest.raises(ValueError, match="without corporate_id"):
+        lake.upsert_table(registry_rows(spark, [(None, 1.0, "d"), (None, 2.0, "d")]), table)
+    for _ in range(3):
+        lake.upsert_table(registry_rows(spark, [("b", 2.0, "2026-02-01")]), table)
+    assert len(lake._snapshots(spark, table)) == lake.SNAPSHOTS_KEPT
+
+
+def test_upsert_tells_companies_with_one_id_apart(spark, uri):
+    schema = "corporate_id string, corporate_name string, address string, revenue double, processed_date string"
+    rows = spark.createDataFrame([("x", "Ab", "s 1", 1.0, "d"), ("x", "Cd", "s 1", 2.0, "d"), ("x", "AB.", "S1", 3.0, "e")], schema)
+    table = LakeTable("db.t", uri("lake"))
+    lake.upsert_table(rows, table)
+    assert values(lake.read_table(spark, table).select("revenue")) == [(2.0,), (3.0,)]
+
+
+def test_json_folder_of_both_layouts(spark, tmp_path, uri):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j/a.json").write_text('\n [\n{"corporate_name_S2": "A"},\n{"corporate_name_S2": "B"}\n]')
+    (tmp_path / "j/b c.json").write_text('{"corporate_name_S2": "C"}\n{"corporate_name_S2": "D"}\n{"corporate_name_S2": "E"}\n')
+    (tmp_path / "j/d.json").write_text("\n")
+    names = {r.corporate_name_S2 for r in files.read_json(spark, uri("j"), SOURCE2).collect()}
+    assert names == set("ABCDE")
+    with pytest.raises(ValueError, match="layout"):
+        files.read_json(spark, uri("j"), SOURCE2, "guess")
+
+
+def test_json_lists_as_text_take_the_text_rule(spark, source1, uri):
+    files_out = sinks.load_dataset(clean_source1(source1), uri("out"), "s", "json", "ts")
+    options = files.ReadOptions(lists_as_text=True)
+    back = files.read_source(spark, files_out, SOURCE1, options)
+    assert dict(back.dtypes)["activity_places"] == "string"
+    assert back.count() == source1.count()
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert session.shuffle_partitions(0) == session.LEAST_PARTITIONS
+    assert session.shuffle_partitions(100 << 40) == (100 << 40) // session.PARTITION_BYTES
+
+
 def test_newest_per_key_limits_rows_before_the_shuffle(spark, uri):
     registry_rows(spark, [("a", 1.0, "d")]).write.parquet(uri("t"))
     plan = lake.newest_per_key(spark.read.parquet(uri("t")))._jdf.queryExecution().executedPlan().toString()
@@ -230,7 +301,7 @@ def test_generate_and_save(spark, uri):
     assert written["source1_csv"] == uri("data/source1_supply_chain.csv")
     for name, where in written.items():
         assert files.read_source(spark, where, SOURCE1 if "source1" in name else SOURCE2).count() == 20
-    with pytest.raises(ValueError, match="greater than 0"):
+    with pytest.raises(ValueError, match="cannot generate"):
         synthetic.generate_and_save(spark, 0, uri("none"))
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="no (reader|writer) for format"):
         synthetic.generate_and_save(spark, 1, uri("none"), "orc")
