@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from firmweave.llm.common import Stages
 
 #: Rounds of centres before the rest is tested pair by pair.
-ROUNDS = 3
+ROUNDS = 2
 #: Up to so many items, what is left of a bucket is paired as rows.
 SMALL = 24
 
@@ -33,28 +33,25 @@ def components(st: Stages, edges: DataFrame) -> DataFrame:
     Each pass gives a node the smallest id next to it, then that node's own choice, and contracts
     the graph to the labels; it ends when no edge is left between labels."""
     labels = None
-    left = st.save(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    while not left.isEmpty():
+    left = edges.where("a <> b").select("a", "b").distinct()
+    while True:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = st.save(both.groupBy("a").agg(F.min("b").alias("n")).select("a", F.least("a", "n").alias("p")), "near")
+        near = both.groupBy("a").agg(F.min("b").alias("n")).select("a", F.least("a", "n").alias("p"))
         up = near.select(F.col("a").alias("p"), F.col("p").alias("q"))
         parent = st.save(near.join(up, "p").select(F.col("a").alias("id"), F.least("p", "q").alias("label")), "parent")
         if labels is None:
             labels = parent
         else:
             step = parent.select(F.col("id").alias("label"), F.col("label").alias("to"))
-            labels = st.save(
-                labels.join(step, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels"
-            )
+            labels = labels.join(step, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
         pa = parent.select(F.col("id").alias("a"), F.col("label").alias("la"))
         pb = parent.select(F.col("id").alias("b"), F.col("label").alias("lb"))
         left = st.save(
             left.join(pa, "a").join(pb, "b").where("la <> lb").select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(),
             "edges",
         )
-    if labels is None:
-        return left.select(F.col("a").alias("id"), F.col("b").alias("label"))
-    return labels
+        if left.isEmpty():
+            return labels
 
 
 def shared_buckets(st: Stages, keys: DataFrame, save_keys: bool = True) -> DataFrame:
@@ -102,13 +99,10 @@ def link_groups(st: Stages, shared: DataFrame, test: Test, chunked: Test, rounds
         links = found if links is None else links.unionByName(found)
         if turn == rounds:
             break
-        labels = components(st, links)
-        named = shared if turn == 0 else open_rows.drop("label")
-        open_rows = st.save(
-            named.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "open"
-        )
-        mixed = open_rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        open_rows = st.save(open_rows.join(st.save(mixed, "mixed"), "key"), "open")
+        labels = st.save(components(st, links), "labels")
+        named = open_rows.drop("label").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        open_rows = st.save(named.join(mixed, "key"), "open")
         if open_rows.isEmpty():
             break
     if links is None:
