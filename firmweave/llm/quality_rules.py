@@ -159,8 +159,10 @@ def score_quality(docs: DataFrame, rules: dict[str, tuple] = RULES, threshold: f
         found = rows.groupBy(*names).agg(F.count("*").alias("n")).collect()  # at most 3 ** len(rules)
         found.sort(key=lambda r: tuple(r[n] for n in names))
         patterns = np.array([[r[n] for n in names] for r in found], np.int64).reshape(-1, len(names))
-        share, tables = estimate(patterns, np.array([r.n for r in found], np.float64))
-        good = posterior(patterns, share, tables) if len(found) else []
+        good = []
+        if found:
+            share, tables = estimate(patterns, np.array([r.n for r in found], np.float64))
+            good = posterior(patterns, share, tables)
         table = [(*map(int, p), float(round(g, 9))) for p, g in zip(patterns, good, strict=True)]
         known = spark.createDataFrame(table, ", ".join([f"{n} int" for n in names] + ["quality double"]))
         failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
