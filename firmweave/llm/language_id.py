@@ -4,7 +4,7 @@ For each language the n-grams of ORDER characters of its training texts are coun
 contexts an n-gram is seen. All languages share one table per order: sorted 64-bit n-gram hashes and, for each language,
 the smoothed log-probability of the last character after the others. A text is looked up once per character for all
 languages; the language of least cross-entropy per character wins. A text is rejected if that cross-entropy
-is far beyond what texts of that language and length have, judged by the spread over the training texts.
+is far beyond what texts found to be of that language and length have, judged by the quartiles over all of them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from firmweave.llm.common import Stages, mix64, text_chunks
@@ -22,8 +22,10 @@ ORDER = 4
 DISCOUNT = 0.75
 #: The model holds the most frequent n-grams of each language, so many at most over all languages.
 MODEL_GRAMS = 1_000_000
-#: Standard deviations beyond the mean at which a text is rejected, and texts that a length class needs for a verdict.
+#: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and texts that a
+#: language's length class needs for limits of its own; below, the language's limit over all lengths holds.
 REJECT_AT = 12.0
+LEAST_SPREAD = 0.08
 REJECT_LEAST = 30
 
 _SPACE = ord(" ")
@@ -169,6 +171,13 @@ def fit(st: Stages, docs: DataFrame, most: int = MODEL_GRAMS) -> Model:
     return Model(languages, np.array([number[x] for x in names], np.int64), gram, top.column("n").to_numpy().astype(np.float64)) if languages else None
 
 
+def _limits(texts: GroupedData, name: str) -> DataFrame:
+    quarters = F.percentile_approx("cross_entropy", [0.25, 0.5, 0.75], 1000)
+    found = texts.agg(F.count("*").alias("n"), quarters.alias("q")).where(F.col("n") >= REJECT_LEAST)
+    spread = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.35, F.lit(LEAST_SPREAD))
+    return found.withColumn(name, F.col("q")[1] + REJECT_AT * spread).drop("n", "q")
+
+
 def identify(docs: DataFrame, training: DataFrame, keep_text: bool = False) -> DataFrame:
     """A row per document: doc_id, lang_pred, score (posterior, 0 to 1), cross_entropy, rejected, and the other columns
     of ``docs``; text and lang only if ``keep_text``.
@@ -200,9 +209,11 @@ def identify(docs: DataFrame, training: DataFrame, keep_text: bool = False) -> D
         schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in extra)
         rows = docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema + "lang_pred string, score double, cross_entropy double, n_units long")
         rows = st.save(rows.withColumn("size_class", F.floor(F.log2(F.col("n_units") + 1))), "scored")
-        seen = rows.where("cross_entropy is not null").groupBy("lang_pred", "size_class")
-        seen = seen.agg(F.count("*").alias("n"), F.avg("cross_entropy").alias("mean"), F.stddev_pop("cross_entropy").alias("spread"))
-        seen = st.save(seen.where(F.col("n") >= REJECT_LEAST).select("lang_pred", "size_class", (F.col("mean") + REJECT_AT * F.greatest("spread", F.lit(0.05))).alias("most")), "limits")
-        out = rows.join(F.broadcast(seen), ["lang_pred", "size_class"], "left")  # a row per language and power of two
-        rejected = F.col("cross_entropy").isNull() | F.coalesce(F.col("cross_entropy") > F.col("most"), F.lit(False))
-        return st.save(out.withColumn("rejected", rejected).drop("most", "size_class", "n_units"), "languages", keep=True)
+        seen = rows.where("cross_entropy is not null")
+        classes = _limits(seen.groupBy("lang_pred", "size_class"), "class_limit")
+        whole = _limits(seen.groupBy("lang_pred"), "limit")
+        # A row per language, or per language and power of two of the length.
+        out = rows.join(F.broadcast(st.save(classes, "limits")), ["lang_pred", "size_class"], "left").join(F.broadcast(st.save(whole, "limits")), "lang_pred", "left")
+        beyond = F.coalesce(F.col("cross_entropy") > F.coalesce("class_limit", "limit"), F.lit(False))
+        out = out.withColumn("rejected", F.col("cross_entropy").isNull() | beyond)
+        return st.save(out.drop("class_limit", "limit", "size_class", "n_units"), "languages", keep=True)
