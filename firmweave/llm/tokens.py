@@ -17,7 +17,7 @@ import zlib
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
 
