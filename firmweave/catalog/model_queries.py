@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.ml.functions import vector_to_array
 
 from firmweave.catalog import fixtures
@@ -19,9 +20,11 @@ from firmweave.operators.quality import label_balance
 from firmweave.plans.generate import run_generate
 from firmweave.plans.training import run_ml
 from firmweave.sources import synthetic
-from firmweave.sources.files import read_parquet
+from firmweave.functions.lists import SEPARATOR
+from firmweave.schemas import RUNS, SOURCE1, SOURCE2
+from firmweave.sources.files import ReadOptions, read_source
 from firmweave.sources.synthetic import ACTIVITIES, CUSTOMERS, FAMILIES, KINDS, STREETS, SUPPLIERS, TOWNS
-from firmweave.storage import scratch_dir, stage
+from firmweave.storage import join_uri, scratch_dir, stage
 
 QUERIES = QuerySet()
 
@@ -130,10 +133,18 @@ def _engineered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.engineer_features(fixtures.registry(spark, sf_dir))
 
 
+def _flagged(df: DataFrame) -> DataFrame:
+    """The number of suppliers as a 0/1 flag: fitted without a penalty on it alone, the model's probabilities are the group means."""
+    return df.withColumn("num_suppliers", (F.col("num_suppliers") >= 6).cast("int"))
+
+
+_FLAG = ("num_suppliers",)
+
+
 def _training_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written out once, as the table of a real run is: fitting reads it many times."""
-    staged = stage(_engineered(spark, sf_dir), "features")
-    return features.prepare_features(staged)
+    staged = stage(features.engineer_features(_flagged(fixtures.registry(spark, sf_dir))), "features")
+    return features.prepare_features(staged, _FLAG)
 
 
 def _sides(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -150,35 +161,52 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @QUERIES.add("split_stable", with_views(
-    "SELECT corporate_id, CASE WHEN ('0x' || substr(corporate_id, 1, 8))::BIGINT % 1000 < 800 THEN 'train' "
+    "SELECT corporate_id, CASE WHEN ('0x' || substr(corporate_id, 1, 8))::BIGINT < 3435973837 THEN 'train' "
     "ELSE 'test' END AS side FROM features", "features"))
 def split_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sides(*training.split_stable(_engineered(spark, sf_dir)))
 
 
-@QUERIES.add("train_lr")
+_SQL_TEST_IDS = "('0x' || substr(corporate_id, 1, 8))::BIGINT >= 3435973837"
+_SQL_FLAGGED = f"""(SELECT corporate_id, high_profit, CASE WHEN num_suppliers >= 6 THEN 1 ELSE 0 END AS flag, {_SQL_TEST_IDS} AS test
+  FROM features)"""
+_SQL_MEANS = f"""(SELECT avg(high_profit) FILTER (WHERE flag = 0) AS p0, avg(high_profit) FILTER (WHERE flag = 1) AS p1
+  FROM {_SQL_FLAGGED} WHERE NOT test)"""
+_SQL_SCORES = f"(SELECT *, CASE flag WHEN 1 THEN p1 ELSE p0 END AS p FROM {_SQL_FLAGGED}, {_SQL_MEANS} WHERE test)"
+_SQL_PREDICTED = f"""SELECT corporate_id, high_profit, round(p, 4) AS probability,
+  CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM {_SQL_SCORES}"""
+
+
+@QUERIES.add("train_lr", with_views(
+    f"""SELECT 'intercept' AS term, round(ln(p0 / (1 - p0)), 4) AS weight FROM {_SQL_MEANS} UNION ALL
+    SELECT 'num_suppliers', round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 4) FROM {_SQL_MEANS}""", "features"))
 def train_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = training.split_stable(_training_frame(spark, sf_dir))
-    model, _, _ = training.train_logistic_regression(train)
-    return training.coefficient_table(model, features.DEFAULT_FEATURES)
+    model, _, _ = training.train_logistic_regression(train, reg_param=0.0)
+    return training.coefficient_table(model, _FLAG).withColumn("weight", F.round("weight", 4))
+
+
+def _predicted(scored: DataFrame) -> DataFrame:
+    probability = F.round(training.positive_probability(), 4).alias("probability")
+    return scored.select("corporate_id", "high_profit", probability, "prediction")
+
+
+@QUERIES.add("predict_lr", with_views(_SQL_PREDICTED, "features"))
+def predict_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = training.split_stable(_training_frame(spark, sf_dir))
+    return _predicted(training.train_logistic_regression(train, test, reg_param=0.0)[1])
 
 
 _WEIGHTS, _INTERCEPT = (0.002, -0.3, 4.0), -1.5
 _SQL_LINEAR = "(-1.5::DOUBLE + revenue * 0.002::DOUBLE + num_suppliers * -0.3::DOUBLE + profit_margin_normalized * 4.0::DOUBLE)"
-_SQL_PROBABILITY = f"1.0::DOUBLE / (1.0::DOUBLE + exp(-{_SQL_LINEAR}))"
 
 
-@QUERIES.add("predict_lr", with_views(
-    f"SELECT corporate_id, high_profit, round({_SQL_PROBABILITY}, 6) AS probability, "
-    f"CASE WHEN {_SQL_PROBABILITY} > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM features", "features"))
-def predict_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+@QUERIES.add("linear_score", with_views(
+    f"SELECT corporate_id, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-{_SQL_LINEAR})), 6) AS probability FROM features", "features"))
+def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expression form of a model of given weights, over all features."""
     probability = training.linear_probability(features.DEFAULT_FEATURES, _WEIGHTS, _INTERCEPT)
-    return _engineered(spark, sf_dir).select(
-        "corporate_id",
-        "high_profit",
-        F.round(probability, 6).alias("probability"),
-        F.when(probability > 0.5, 1.0).otherwise(0.0).alias("prediction"),
-    )
+    return _engineered(spark, sf_dir).select("corporate_id", F.round(probability, 6).alias("probability"))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,43 +259,52 @@ def _register(spark: SparkSession, sf_dir: str, versions: int = 1) -> tuple[str,
     """Fit, register, and give the tracking root and the scored test rows."""
     root = scratch_dir(spark, "tracking")
     train, test = training.split_stable(_training_frame(spark, sf_dir))
-    model, predictions, found = training.train_logistic_regression(train, test)
+    model, predictions, found = training.train_logistic_regression(train, test, reg_param=0.0)
     experiment = tracking.setup_experiment(spark, root)
     for _ in range(versions):
         tracking.register_model(
-            model, _MODEL, found, features.DEFAULT_FEATURES, root, experiment, tags={"profit_threshold": "100.0"}
+            model, _MODEL, found, _FLAG, root, experiment, tags={"profit_threshold": "100.0"}
         )
     return root, predictions
 
 
-@QUERIES.add("register_model")
+_SQL_METRICS = f"""(SELECT (x.w1 * (p1 > p0)::INT + x.w0 * (p1 < p0)::INT + x.ties / 2 + (p1 = p0)::INT * (x.w1 + x.w0) / 2)
+    / (pos * neg)::DOUBLE AS auc, hits / n::DOUBLE AS accuracy, marked FROM {_SQL_MEANS}, (
+  SELECT sum((flag = 1 AND y = 1)::INT) * sum((flag = 0 AND y = 0)::INT) AS w1, sum((flag = 0 AND y = 1)::INT) * sum((flag = 1 AND y = 0)::INT) AS w0,
+    (sum((flag = 1 AND y = 1)::INT) * sum((flag = 1 AND y = 0)::INT) + sum((flag = 0 AND y = 1)::INT) * sum((flag = 0 AND y = 0)::INT))::DOUBLE AS ties,
+    sum(y) AS pos, sum(1 - y) AS neg, count(*) AS n, sum(((p > 0.5)::INT = y)::INT) AS hits, sum((p > 0.5)::INT) AS marked
+  FROM (SELECT *, high_profit::INT AS y FROM {_SQL_SCORES})) x)"""
+
+
+@QUERIES.add("register_model", with_views(
+    f"""SELECT '{_MODEL}' AS model_name, CAST(v AS INTEGER) AS model_version, 'LogisticRegression' AS model_type,
+      'num_suppliers' AS feature_columns, round(auc, 9) AS auc, round(accuracy, 9) AS accuracy
+    FROM {_SQL_METRICS}, (VALUES (1), (2)) AS versions(v)""", "features"))
 def register_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _ = _register(spark, sf_dir, versions=2)
     return tracking.read_runs(spark, root).select(
         "model_name", "model_version", "model_type", F.array_join("feature_columns", ",").alias("feature_columns"),
-        F.col("metrics")["auc"].alias("auc"), F.col("metrics")["accuracy"].alias("accuracy"),
+        F.round(F.col("metrics")["auc"], 9).alias("auc"), F.round(F.col("metrics")["accuracy"], 9).alias("accuracy"),
     )
 
 
-_SQL_TEST_IDS = "('0x' || substr(corporate_id, 1, 8))::BIGINT % 1000 >= 800"
-
-
-@QUERIES.add("load_model", with_views(
-    f"SELECT corporate_id, true AS same FROM features WHERE {_SQL_TEST_IDS}", "features"))
+@QUERIES.add("load_model", with_views(_SQL_PREDICTED, "features"))
 def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows the reloaded model scores, and whether it scores them as the fitted one did."""
+    """What the reloaded model says of the test rows."""
     root, predictions = _register(spark, sf_dir)
-    fitted = predictions.select("corporate_id", "features", F.col("probability").alias("fitted"))
-    again = tracking.load_model(spark, root, _MODEL).transform(fitted)
-    same = vector_to_array("fitted") == vector_to_array("probability")
-    return again.select("corporate_id", same.alias("same"))
+    rows = predictions.select("corporate_id", "high_profit", "features")
+    return _predicted(tracking.load_model(spark, root, _MODEL).transform(rows))
 
 
-@QUERIES.add("model_metadata")
+@QUERIES.add("model_metadata", with_views(
+    f"""SELECT '{_MODEL}' AS model_name, 'num_suppliers' AS feature_columns, 'LogisticRegression' AS model_type,
+      CASE WHEN marked > 0 THEN 'accuracy,auc,f1,precision,recall' ELSE 'accuracy,auc,f1,recall' END AS metrics FROM {_SQL_METRICS}""",
+    "features"))
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _ = _register(spark, sf_dir)
-    return flat(tracking.model_metadata(tracking.read_runs(spark, root))).select(
-        "model_name", "feature_columns", "model_type", F.array_join(F.array_sort(F.map_keys("metrics")), ",").alias("metrics")
+    return tracking.model_metadata(tracking.read_runs(spark, root)).select(
+        "model_name", F.array_join("feature_columns", ",").alias("feature_columns"), "model_type",
+        F.array_join(F.array_sort(F.map_keys("metrics")), ",").alias("metrics"),
     )
 
 
@@ -283,22 +320,24 @@ def runs_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = _scored(spark, sf_dir).groupBy(
         F.col("revenue_category").alias("model_name"), F.col("num_activity_places").alias("model_version")
     ).agg(F.create_map(F.lit("accuracy"), F.avg(hit)).alias("metrics"))
-    return tracking.compare_runs(runs, "accuracy").select(
+    root = scratch_dir(spark, "tracking")
+    columns = [F.col(f.name) if f.name in runs.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in RUNS]
+    runs.select(*columns).write.parquet(join_uri(root, "runs"))
+    return tracking.compare_runs(tracking.read_runs(spark, root), "accuracy").select(
         "model_name", "model_version", F.col("metric").alias("accuracy"), "metric_rank"
     )
 
 
-@QUERIES.add("ml_job", with_views(
-    f"SELECT corporate_id, high_profit, true AS registered FROM features WHERE {_SQL_TEST_IDS}", "features"))
+@QUERIES.add("ml_job", with_views(_SQL_PREDICTED, "features"))
 def ml_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = registry_table(spark)
-    append_table(fixtures.registry(spark, sf_dir), lake)
-    conf = MlConfig(table_name=lake.name, table_root=lake.root, tracking_root=scratch_dir(spark, "tracking"))
+    append_table(_flagged(fixtures.registry(spark, sf_dir)), lake)
+    conf = MlConfig(
+        table_name=lake.name, table_root=lake.root, tracking_root=scratch_dir(spark, "tracking"), feature_columns=_FLAG, reg_param=0.0
+    )
     result = run_ml(spark, conf)
     registered = tracking.load_model(spark, conf.tracking_root, conf.model_name)
-    scored = result.predictions.select("corporate_id", "high_profit", "features", F.col("prediction").alias("fitted"))
-    again = registered.transform(scored)
-    return again.select("corporate_id", "high_profit", (F.col("fitted") == F.col("prediction")).alias("registered"))
+    return _predicted(registered.transform(result.predictions.select("corporate_id", "high_profit", "features")))
 
 
 # --- generator ---------------------------------------------------------------------------------
@@ -337,13 +376,10 @@ _SQL_GEN1 = f"""SELECT {_sql_name('id')} AS corporate_name_S1,
   {_sql_sample(SUPPLIERS, 'suppliers', 3, 8)} AS top_suppliers FROM ids"""
 _SQL_GEN2 = f"""SELECT {_sql_name('name_key')} AS corporate_name_S2, customers AS main_customers,
   cents / 100::DOUBLE AS revenue, ((cents * margin + 500000) // 1000000) / 100::DOUBLE AS profit FROM (
-  SELECT CASE WHEN {_sql_digits(_MONEY, 1, 6)} % 1000 < 800 THEN id ELSE 'x' || id END AS name_key,
+  SELECT CASE WHEN {_sql_digits(_MONEY, 1, 6)} < 13421773 THEN id ELSE 'x' || id END AS name_key,
          1000 + {_sql_digits(_MONEY, 7, 10)} % 499001 AS cents, 50000 + {_sql_digits(_MONEY, 17, 10)} % 150001 AS margin,
          {_sql_sample(CUSTOMERS, 'customers', 2, 6)} AS customers FROM ids)"""
 _SQL_CUSTOMER_IDS = "WITH ids AS (SELECT CAST(c_custkey AS VARCHAR) AS id FROM customer)\n"
-_SQL_COUNTED_IDS = (
-    "WITH ids AS (SELECT CAST(row_number() OVER () - 1 AS VARCHAR) AS id FROM customer)\n"
-)
 
 
 @QUERIES.add("gen_source1", _SQL_CUSTOMER_IDS + _SQL_GEN1)
@@ -356,18 +392,48 @@ def gen_source2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(synthetic.source2_rows(fixtures.table(spark, sf_dir, "customer", "c_custkey"), "c_custkey"))
 
 
-def _customer_count(spark: SparkSession, sf_dir: str) -> int:
-    return fixtures.table(spark, sf_dir, "customer", "c_custkey").count()
-
-
-@QUERIES.add("gen_save", _SQL_COUNTED_IDS + _SQL_GEN1)
+def _customer_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.table(spark, sf_dir, "customer", F.col("c_custkey").alias("id"))
+
+
+def _read_back(spark: SparkSession, written: dict[str, str]) -> DataFrame:
+    """Every written dataset in one layout: lists as text, numbers as numbers."""
+    out = None
+    for name, uri in sorted(written.items()):
+        schema, file_format = (SOURCE1 if name.startswith("source1") else SOURCE2), name.partition("_")[2]
+        rows = read_source(spark, uri, schema, ReadOptions(file_format))
+        lists = [f.name for f in schema if isinstance(f.dataType, T.ArrayType)]
+        if file_format == "csv":
+            rows = rows.withColumns({c: F.split(c, SEPARATOR) for c in lists})
+        rows = flat(rows)
+        none = F.lit(None).cast("string")
+        own = [
+            F.lit(name).alias("dataset"),
+            F.col(schema[0].name).alias("name"),
+            (F.col("address") if "address" in rows.columns else none).alias("address"),
+            F.col(lists[0]).alias("first_list"),
+            (F.col(lists[1]) if len(lists) > 1 else none).alias("second_list"),
+            *[(F.col(c) if c in rows.columns else none).cast("double").alias(c) for c in ("revenue", "profit")],
+        ]
+        out = rows.select(*own) if out is None else out.unionByName(rows.select(*own))
+    return out
+
+
+def _sql_written(*formats: str) -> str:
+    one = ", ".join(f"('source1_{f}')" for f in formats)
+    two = ", ".join(f"('source2_{f}')" for f in formats)
+    return f"""{_SQL_CUSTOMER_IDS} SELECT dataset, corporate_name_S1 AS name, address, activity_places AS first_list, top_suppliers AS second_list,
+      CAST(NULL AS DOUBLE) AS revenue, CAST(NULL AS DOUBLE) AS profit FROM ({_SQL_GEN1}), (VALUES {one}) AS d(dataset)
+    UNION ALL SELECT dataset, corporate_name_S2, NULL, main_customers, NULL, revenue, profit FROM ({_SQL_GEN2}), (VALUES {two}) AS d(dataset)"""
+
+
+@QUERIES.add("gen_save", _sql_written("json", "csv", "parquet"))
 def gen_save(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _customer_count(spark, sf_dir)
-    written = synthetic.generate_and_save(spark, rows, scratch_dir(spark, "generated"), "both")
-    return flat(read_parquet(spark, written["source1_parquet"]))
+    written = synthetic.generate_and_save(spark, 0, scratch_dir(spark, "generated"), "both", ids=_customer_ids(spark, sf_dir))
+    return _read_back(spark, written)
 
 
-@QUERIES.add("gen_job", _SQL_COUNTED_IDS + _SQL_GEN2)
+@QUERIES.add("gen_job", _sql_written("parquet"))
 def gen_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conf = GenerateConfig(num_rows=_customer_count(spark, sf_dir), output_uri=scratch_dir(spark, "generated"))
-    return flat(read_parquet(spark, run_generate(spark, conf)["source2_parquet"]))
+    conf = GenerateConfig(output_uri=scratch_dir(spark, "generated"))
+    return _read_back(spark, run_generate(spark, conf, _customer_ids(spark, sf_dir)))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from firmweave.config import GenerateConfig
 from firmweave.sources.synthetic import generate_and_save
 
 
-def run_generate(spark: SparkSession, conf: GenerateConfig) -> dict[str, str]:
-    """URIs of the written datasets by ``<source>_<format>``."""
+def run_generate(spark: SparkSession, conf: GenerateConfig, ids: DataFrame | None = None) -> dict[str, str]:
+    """URIs of the written datasets by ``<source>_<format>``; a row per ``id`` of ``ids`` where given."""
     skipped = [("source1", conf.skip_source1), ("source2", conf.skip_source2)]
     return generate_and_save(
         spark,
@@ -19,4 +19,5 @@ def run_generate(spark: SparkSession, conf: GenerateConfig) -> dict[str, str]:
         conf.seed,
         conf.match_rate,
         tuple(name for name, skip in skipped if skip),
+        ids,
     )

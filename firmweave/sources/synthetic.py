@@ -56,6 +56,8 @@ def _pick(words: tuple[str, ...], draw: Column) -> Column:
 
 def _sample(words: tuple[str, ...], row_id: Column, field: str, seed: int, low: int, high: int) -> Column:
     """``low`` to ``high`` different words: the words ordered by six digest digits each, then cut."""
+    if len(words) > 10:
+        raise ValueError(f"a digest orders ten words, not {len(words)}")
     digest = _digest(row_id, field, seed)
     keyed = F.array(
         *[
@@ -98,7 +100,7 @@ def source2_rows(ids: DataFrame, id_column: str = "id", seed: int = 42, match_ra
     """
     i = F.col(id_column)
     draw = _digest(i, "money", seed)
-    matched = _digits(draw, 1, 6) % 1000 < int(round(1000 * match_rate))
+    matched = _digits(draw, 1, 6) < round((1 << 24) * match_rate)
     name_key = F.when(matched, i.cast("string")).otherwise(F.concat(F.lit("x"), i.cast("string")))
     revenue_cents = F.lit(1000) + _digits(draw, 7, 10) % 499001
     margin = F.lit(50000) + _digits(draw, 17, 10) % 150001
@@ -133,16 +135,19 @@ def generate_and_save(
     seed: int = 42,
     match_rate: float = 0.8,
     skip: tuple[str, ...] = (),
+    ids: DataFrame | None = None,
 ) -> dict[str, str]:
     """Write both sources, each in one format or (``both``) in all, straight to where they belong.
 
+    A row per ``id`` of ``ids``, or per number below ``num_rows``.
     Returns the URI of each dataset by ``<source>_<format>``.
     """
     if output_format not in OUTPUT_FORMATS:
         raise ValueError(f"no writer for format {output_format!r}")
+    keys = _ids(spark, num_rows) if ids is None else ids
     frames = {
-        "source1": generate_source1(spark, num_rows, seed),
-        "source2": generate_source2(spark, num_rows, seed, match_rate),
+        "source1": source1_rows(keys, seed=seed),
+        "source2": source2_rows(keys, seed=seed, match_rate=match_rate),
     }
     written = {}
     for source, df in frames.items():
