@@ -10,6 +10,7 @@ Each source is given once as a Spark plan and once as SQL.
 
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -189,6 +190,25 @@ def source2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_source2(spark, sf_dir).drop("ck", "net", "discount")
 
 
+def _renamed(column: str, null: int, marks: int, twin: int, back: int) -> Column:
+    """A few rows in 200 with no name, with a name of punctuation, and with the name of an earlier customer."""
+    place = F.col("ck") % 200
+    other = F.concat(F.lit("Customer#"), F.lpad((F.col("ck") - back).cast("string"), 9, "0"))
+    return F.when(place == null, F.lit(None)).when(place == marks, F.lit(" -.* ")).when(place == twin, other).otherwise(F.col(column))
+
+
+def hard_source1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source1`` with missing, blank and repeated names."""
+    rows = keyed_source1(spark, sf_dir)
+    return rows.withColumn("corporate_name_S1", _renamed("corporate_name_S1", 7, 17, 27, 1)).drop("ck")
+
+
+def hard_source2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source2`` with missing, blank and repeated names, some of them the same as in ``hard_source1``."""
+    rows = keyed_source2(spark, sf_dir).drop("net", "discount")
+    return rows.withColumn("corporate_name_S2", _renamed("corporate_name_S2", 57, 67, 28, 2)).drop("ck")
+
+
 def _joined(column: str, separator: str) -> Column:
     return F.array_join(column, separator)
 
@@ -363,6 +383,21 @@ registry AS (
          {duck.count_items('top_suppliers')} AS num_suppliers, {duck.count_items('main_customers')} AS num_customers,
          '{DATE}' AS processed_date, 'harmonized' AS source FROM texts)"""
 
+def _sql_renamed(column: str, null: int, marks: int, twin: int, back: int) -> str:
+    return (
+        f"CASE CAST(ck%200 AS INT) WHEN {null} THEN NULL WHEN {marks} THEN ' -.* ' "
+        f"WHEN {twin} THEN concat('Customer#', lpad(CAST(ck-{back} AS VARCHAR), 9, '0')) ELSE {column} END"
+    )
+
+
+def _hard(sql: str) -> str:
+    """The same view over the sources with the hard names."""
+    return re.sub(r"\b(src1|src2|clean1|clean2|resolved|texts|registry)\b", r"hard_\1", sql)
+
+
+_SQL_HARD1 = f"hard_src1 AS (SELECT * REPLACE ({_sql_renamed('corporate_name_S1', 7, 17, 27, 1)} AS corporate_name_S1) FROM src1)"
+_SQL_HARD2 = f"hard_src2 AS (SELECT * REPLACE ({_sql_renamed('corporate_name_S2', 57, 67, 28, 2)} AS corporate_name_S2) FROM src2)"
+
 _SQL_FEATURES = """features AS (
   SELECT corporate_id, corporate_name, revenue, profit, profit_margin, num_suppliers, num_customers,
          num_activity_places, revenue_category, CASE WHEN profit >= 100 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS high_profit,
@@ -379,6 +414,12 @@ _CTES = {
     "resolved": _SQL_RESOLVED,
     "registry": _SQL_REGISTRY,
     "features": _SQL_FEATURES,
+    "hard_src1": _SQL_HARD1,
+    "hard_src2": _SQL_HARD2,
+    "hard_clean1": _hard(_SQL_CLEAN1),
+    "hard_clean2": _hard(_SQL_CLEAN2),
+    "hard_resolved": _hard(_SQL_RESOLVED),
+    "hard_registry": _hard(_SQL_REGISTRY),
 }
 _NEEDS = {
     "src1": ["li"],
@@ -390,6 +431,12 @@ _NEEDS = {
     "resolved": ["clean1", "clean2"],
     "registry": ["resolved"],
     "features": ["registry"],
+    "hard_src1": ["src1"],
+    "hard_src2": ["src2"],
+    "hard_clean1": ["hard_src1"],
+    "hard_clean2": ["hard_src2"],
+    "hard_resolved": ["hard_clean1", "hard_clean2"],
+    "hard_registry": ["hard_resolved"],
 }
 
 

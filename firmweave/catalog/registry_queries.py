@@ -179,6 +179,30 @@ def query_harmonize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harmonize(_resolved(spark, sf_dir), DATE)
 
 
+_RESOLVED_COLUMNS = ("corporate_id", "name_key", "address_key", "corporate_name_S1", "corporate_name_S2", "revenue", "profit_margin")
+_SQL_HARD_RESOLVED = f"SELECT {', '.join(_RESOLVED_COLUMNS)} FROM hard_resolved"
+
+
+def _hard_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return clean_source1(fixtures.hard_source1(spark, sf_dir)), clean_source2(fixtures.hard_source2(spark, sf_dir))
+
+
+@QUERIES.add("resolve_entities_blank_names", with_views(_SQL_HARD_RESOLVED, "hard_resolved"))
+def resolve_entities_blank_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing, blank and repeated names on both sides; small parts, so that the hot blank key is cut."""
+    return resolve_entities(*_hard_sources(spark, sf_dir), hot_rows=4).select(*_RESOLVED_COLUMNS)
+
+
+@QUERIES.add("resolve_entities_named", with_views(f"{_SQL_HARD_RESOLVED} WHERE name_key <> ''", "hard_resolved"))
+def resolve_entities_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_entities(*_hard_sources(spark, sf_dir), drop_blank_keys=True).select(*_RESOLVED_COLUMNS)
+
+
+@QUERIES.add("harmonize_blank_names", with_views(f"SELECT {REGISTRY_COLUMNS} FROM hard_registry", "hard_registry"))
+def harmonize_blank_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harmonize(resolve_entities(*_hard_sources(spark, sf_dir)), DATE)
+
+
 _FIRST = "substr(corporate_id, 1, 1)"
 
 
@@ -231,6 +255,18 @@ def query_match_diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(*[F.col(c).cast("bigint") for c in ("matched", "s1_only", "s2_only", "neither")])
 
 
+@QUERIES.add("match_diagnostics_blank_names", with_views(
+    """SELECT count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS matched,
+      count(*) FILTER (WHERE a IS NOT NULL AND b IS NULL) AS s1_only, count(*) FILTER (WHERE a IS NULL AND b IS NOT NULL) AS s2_only,
+      count(*) FILTER (WHERE a IS NULL AND b IS NULL) AS neither FROM
+      (SELECT corporate_name_S1 AS a, {key} AS k FROM hard_clean1) FULL OUTER JOIN
+      (SELECT corporate_name_S2 AS b, {key} AS k FROM hard_clean2) USING (k)""".format(key=duck.key("corporate_name_clean")),
+    "hard_clean1", "hard_clean2"))
+def match_diagnostics_blank_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = match_diagnostics(*_hard_sources(spark, sf_dir))
+    return report.select(*[F.col(c).cast("bigint") for c in ("matched", "s1_only", "s2_only", "neither")])
+
+
 _GAPS = {"address": "0", "main_customers": "1", "revenue_category": "23"}
 
 
@@ -360,6 +396,29 @@ def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake)
 
 
+def _late_updates(df: DataFrame) -> DataFrame:
+    """Rows older than the table's, as new as they are, twice in one batch, and of another company under a stored id."""
+    late = df.filter("revenue_category = 'Small'").withColumns({"revenue": F.lit(-1.0), "processed_date": F.lit("2026-01-01")})
+    tied = df.filter("revenue_category = 'Medium'").withColumn("revenue", F.col("revenue") + 1)
+    twice = df.filter("revenue_category = 'Large'").withColumn("processed_date", F.lit("2026-02-01"))
+    clash = df.filter("revenue_category = 'Enterprise'").withColumn("corporate_name", F.concat("corporate_name", F.lit(" twin")))
+    return late.unionByName(tied).unionByName(twice).unionByName(twice.withColumn("revenue", F.col("revenue") + 7)).unionByName(clash)
+
+
+@QUERIES.add("table_upsert_late", with_views(
+    """SELECT * REPLACE (CASE revenue_category WHEN 'Medium' THEN revenue + 1 WHEN 'Large' THEN revenue + 7 ELSE revenue END AS revenue,
+        CASE revenue_category WHEN 'Large' THEN '2026-02-01' ELSE processed_date END AS processed_date) FROM registry
+       UNION ALL SELECT * REPLACE (corporate_name || ' twin' AS corporate_name) FROM registry WHERE revenue_category = 'Enterprise'""",
+    "registry"))
+def table_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = registry_table(spark)
+    append_table(fixtures.registry(spark, sf_dir), lake, "processed_date")
+    updates = write_dataset(_late_updates(read_table(spark, lake)), scratch_dir(spark, "updates"))
+    for _ in range(2):  # a batch that comes again changes nothing
+        upsert_table(files.read_parquet(spark, updates), lake)
+    return read_table(spark, lake).select(*REGISTRY.fieldNames())
+
+
 @QUERIES.add("load_with_fallback", SQL_REGISTRY)
 def query_load_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog is not there, so the rows end up in the fallback dataset."""
@@ -406,6 +465,35 @@ def etl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, LakeTable(EtlConfig.table_name, root))
 
 
+@QUERIES.add("etl_job_append", with_views(
+    f"SELECT {REGISTRY_COLUMNS} FROM registry UNION ALL SELECT {REGISTRY_COLUMNS} FROM registry", "registry"))
+def etl_job_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default mode, run twice into a partitioned table."""
+    root = scratch_dir(spark, "lake")
+    for _ in range(2):
+        _etl(spark, sf_dir, table_enabled=True, table_root=root, partition_key="processed_date")
+    return read_table(spark, LakeTable(EtlConfig.table_name, root)).select(*REGISTRY.fieldNames())
+
+
+@QUERIES.add("etl_job_json", SQL_REGISTRY)
+def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON in both layouts in one folder on the way in, JSON out."""
+    uris = {}
+    for number, rows in ((1, fixtures.source1(spark, sf_dir)), (2, fixtures.source2(spark, sf_dir))):
+        uris[f"source{number}_uri"] = uri = scratch_dir(spark, f"source{number}")
+        name = F.col(f"corporate_name_S{number}")
+        rows.filter(F.crc32(name) % 2 == 0).write.json(uri, ignoreNullFields=False)
+        # The other half as one top-level array: a text file of its own in the same folder.
+        item = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+        array = rows.filter(F.crc32(name) % 2 == 1).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(item), ",\n"), F.lit("\n]")))
+        array.coalesce(1).write.mode("append").text(uri)
+    conf = EtlConfig(
+        **uris, source1_format="json", source2_format="json", output_uri=scratch_dir(spark, "processed"), output_format="json",
+        processed_date=DATE, timestamp=STAMP,
+    )
+    return files.read_json(spark, run_etl(spark, conf).registry_uri, REGISTRY, "lines")
+
+
 @QUERIES.add("stage_counts", with_views(
     " UNION ALL ".join(
         f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"
@@ -416,11 +504,29 @@ def query_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _etl(spark, sf_dir).counts
 
 
+_SQL_CHECKPOINTS = (
+    ("source1_cleaned", "clean1", ("corporate_name_clean", "address_clean", "activity_places_clean", "top_suppliers_clean")),
+    ("source2_cleaned", "clean2", ("corporate_name_clean", "revenue_category", "main_customers_clean", None)),
+    ("entities_resolved", "resolved", ("corporate_id", "name_key", "activity_places_clean", "main_customers_clean")),
+)
+
+
 @QUERIES.add("checkpoints", with_views(
     " UNION ALL ".join(
-        f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"
-        for stage, view in [("source1_cleaned", "clean1"), ("source2_cleaned", "clean2"), ("entities_resolved", "resolved")]
+        f"SELECT '{stage}' AS stage, "
+        + ", ".join(
+            f"{'NULL' if c is None else duck.shown(c) if c.endswith(('places_clean', 'suppliers_clean', 'customers_clean')) else c} AS c{i}"
+            for i, c in enumerate(columns)
+        )
+        + f" FROM {view}"
+        for stage, view, columns in _SQL_CHECKPOINTS
     ), "resolved"))
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = _etl(spark, sf_dir, save_intermediate=True)
-    return stage_counts({name: files.read_parquet(spark, uri) for name, uri in result.intermediate_uris.items()})
+    """What the three intermediate datasets hold."""
+    result, out = _etl(spark, sf_dir, save_intermediate=True), None
+    for stage, _, columns in _SQL_CHECKPOINTS:
+        rows = flat(files.read_parquet(spark, result.intermediate_uris[stage]))
+        picked = [(F.lit(None).cast("string") if c is None else F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)]
+        rows = rows.select(F.lit(stage).alias("stage"), *picked)
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -22,19 +22,51 @@ def _suffixed(df: DataFrame, clashing: set[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({c: f"{c}_{suffix}" for c in df.columns if c in clashing})
 
 
-def resolve_entities(s1: DataFrame, s2: DataFrame, drop_blank_keys: bool = False) -> DataFrame:
+#: Rows of one side from which a key counts as hot; at most (rows of that side) / HOT_ROWS keys can be.
+HOT_ROWS = 1_000_000
+
+_SALT = "_salt"
+
+
+def salted(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt to join on beside the name key.
+
+    A key with ``hot_rows`` rows or more on the left is cut into parts of about that size, and the key's rows on the right
+    are repeated for each part, so no task gets a hot key whole. Other keys have one part.
+    """
+    counts = left.groupBy(NAME_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
+    hot = counts.select(NAME_KEY, F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts"))
+    hot = F.broadcast(hot)  # a row per key of at least hot_rows rows
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    part = F.pmod(F.xxhash64(*left.columns), parts).cast("int")
+    cut = left.join(hot, NAME_KEY, "left").withColumn(_SALT, part).drop("_parts")
+    repeated = right.join(hot, NAME_KEY, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
+    return cut, repeated.drop("_parts")
+
+
+def blank_rows(df: DataFrame) -> DataFrame:
+    """The cleaned rows whose name leaves an empty match key."""
+    return df.filter(match_key(F.col("corporate_name_clean")) == "")
+
+
+def resolve_entities(
+    s1: DataFrame, s2: DataFrame, drop_blank_keys: bool = False, hot_rows: int | None = None
+) -> DataFrame:
     """Every pair of cleaned rows with the same name key, and its id.
 
     Rows without a name share the blank key and pair with each other, which is what the match
-    rule says; ``drop_blank_keys`` leaves them out. The join strategy is the planner's: it
-    broadcasts a side whose size is under its threshold, else sorts and merges, and adaptive
-    execution splits the partitions of a key that holds far more rows than the others.
+    rule says; ``drop_blank_keys`` leaves them out (``blank_rows`` gives them). Keys that hold ``hot_rows`` rows or
+    more on the left are cut into parts (None: no key is); else the join strategy is the planner's: it broadcasts
+    a side whose size is under its threshold, else sorts and merges, and adaptive execution splits large partitions.
     """
     left, right = with_keys(s1, address=True), with_keys(s2, address=False)
     if drop_blank_keys:
         left, right = left.filter(F.col(NAME_KEY) != ""), right.filter(F.col(NAME_KEY) != "")
     clashing = (set(left.columns) & set(right.columns)) - {NAME_KEY}
-    joined = _suffixed(left, clashing, "s1").join(_suffixed(right, clashing, "s2"), NAME_KEY, "inner")
+    left, right, on = _suffixed(left, clashing, "s1"), _suffixed(right, clashing, "s2"), [NAME_KEY]
+    if hot_rows:
+        left, right, on = *salted(left, right, hot_rows), [NAME_KEY, _SALT]
+    joined = left.join(right, on, "inner").drop(_SALT)
     return joined.withColumn("corporate_id", corporate_id(F.col(NAME_KEY), F.col(ADDRESS_KEY)))
 
 

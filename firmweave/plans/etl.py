@@ -11,7 +11,7 @@ from firmweave.lake import LakeTable, load_with_fallback
 from firmweave.operators.clean import clean_source1, clean_source2
 from firmweave.operators.harmonize import harmonize
 from firmweave.operators.quality import stage_counts
-from firmweave.operators.resolve import resolve_entities
+from firmweave.operators.resolve import blank_rows, resolve_entities
 from firmweave.sinks.files import load_dataset, load_registry, timestamp_text
 from firmweave.sources.files import ReadOptions, extract_source1, extract_source2, read_parquet
 from firmweave.storage import stage
@@ -21,6 +21,7 @@ from firmweave.storage import stage
 class EtlResult:
     registry: DataFrame
     registry_uri: str
+    blank_uris: dict[str, str]
     fallback_uri: str | None
     intermediate_uris: dict[str, str]
     counts: DataFrame
@@ -60,7 +61,11 @@ def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
     source2 = extract_source2(spark, conf.source2_uri, options[1])
     cleaned1 = _checkpoint(clean_source1(source1), "source1_cleaned", conf, timestamp, uris)
     cleaned2 = _checkpoint(clean_source2(source2), "source2_cleaned", conf, timestamp, uris)
-    resolved = resolve_entities(cleaned1, cleaned2, conf.drop_blank_keys)
+    blank_uris = {}
+    if conf.drop_blank_keys:  # what the match leaves out is kept where it can be looked at
+        for name, rows in (("source1_unnamed", cleaned1), ("source2_unnamed", cleaned2)):
+            blank_uris[name] = load_dataset(blank_rows(rows), conf.output_uri, name, conf.output_format, timestamp)
+    resolved = resolve_entities(cleaned1, cleaned2, conf.drop_blank_keys, conf.hot_rows)
     resolved = _checkpoint(resolved, "entities_resolved", conf, timestamp, uris)
     registry = harmonize(resolved, conf.processed_date)
 
@@ -79,4 +84,4 @@ def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
             written, table, conf.output_uri, conf.table_mode, conf.partition_key, timestamp
         )
     counts = stage_counts({"source1": source1, "source2": source2, "registry": written})
-    return EtlResult(written, registry_uri, fallback_uri, uris, counts)
+    return EtlResult(written, registry_uri, blank_uris, fallback_uri, uris, counts)

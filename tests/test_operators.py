@@ -194,6 +194,7 @@ def test_quality_report(source1, source2):
 
 # --- features ----------------------------------------------------------------------------------
 
+# The five-row smoke sample.
 SAMPLE = [
     ("corp1", "One", 1000.0, 150.0, 15.0, 5, 3, 2, "Large"),
     ("corp2", "Two", 500.0, 80.0, 16.0, 3, 2, 1, "Medium"),
@@ -256,3 +257,32 @@ def test_label_balance(spark, sample):
     assert (row.positives, row.total, row.percent) == (3, 5, 60.0)
     empty = label_balance(features.engineer_features(sample.limit(0))).first()
     assert (empty.positives, empty.total, empty.percent) == (0, 0, None)
+
+
+def test_a_hot_key_is_cut_without_adaptive_execution(spark):
+    """The largest task holds a fraction of the blank key's pairs, and the pairs are all there."""
+    from firmweave.operators import resolve
+
+    left = spark.createDataFrame([(None if i % 2 else f"n{i}", "a", i) for i in range(800)], "corporate_name_clean string, address_clean string, i int")
+    right = spark.createDataFrame([(None if i < 5 else f"n{i}", i) for i in range(40)], "corporate_name_clean string, j int")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes, pairs = {}, {}
+        for hot_rows in (None, 20):
+            rows = resolve.resolve_entities(left, right, hot_rows=hot_rows)
+            pairs[hot_rows] = sorted((r.i, r.j) for r in rows.collect())
+            sizes[hot_rows] = max(r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert pairs[None] == pairs[20] and len(pairs[20]) == 400 * 5 + 17
+    assert sizes[None] >= 2000 and sizes[20] < 1200
+
+
+def test_rows_without_a_name_are_set_aside(spark):
+    from firmweave.operators import resolve
+
+    rows = spark.createDataFrame([("A",), (None,), (" -.",)], "corporate_name_clean string")
+    assert resolve.blank_rows(rows).count() == 2
