@@ -162,7 +162,7 @@ class Mix:
     """A mix of documents: ``documents`` with their sizes and targets, ``pieces`` with what each slot takes of each.
 
     ``documents`` has doc_id, h (what names the document), source, size, source_size, target and the document's first word in
-    its source's stream; ``pieces`` has shard, slot, at (order in the slot), doc_id, h, start, from, length: words
+    its source's stream; ``pieces()`` has shard, slot, at (order in the slot), doc_id, h, start, from, length: words
     from .. from + length of the document. Null texts have size 0 and are never taken; a null source is a source of its
     own, the last; a null doc_id is a document like any other; copies of a row follow each other in the stream."""
 
@@ -205,13 +205,15 @@ class Mix:
         return out.select("doc_id", "h", "start", "source_no", "block", (low - F.col("block") * block).alias("lo"), (high - F.col("block") * block).alias("hi"))
 
     def pieces(self) -> DataFrame:
-        met = self._parts().join(self.draws(), ["source_no", "block"]).where("lo < words")
+        drawn = self._st.save(self.draws(), "draws")  # as in taken()
+        met = self._parts().join(drawn, ["source_no", "block"]).where("lo < words")
         begin = F.col("block") * self.block + F.col("lo") - F.col("start")
         return met.select("shard", "slot", F.col("lo").alias("at"), "doc_id", "h", "start", "source_no", begin.alias("from"), (F.least("hi", "words") - F.col("lo")).alias("length"))
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, and taken: the words that the mix takes of the document, repeats counted."""
         spread = self.draws().groupBy("source_no", "block", "words").agg(F.count("*").alias("uses"))
+        spread = self._st.save(spread, "spread")  # its size is known from here on; that of generated rows is not
         met = self._parts().join(spread, ["source_no", "block"]).where("lo < words")
         words = met.groupBy("source_no", "start").agg(F.sum((F.least("hi", "words") - F.col("lo")) * F.col("uses")).alias("taken"))
         names = ["doc_id", "size", "source_size", "target"]
