@@ -494,6 +494,19 @@ def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, run_etl(spark, conf).registry_uri, REGISTRY, "lines")
 
 
+@QUERIES.add("etl_report", _with_overlap(
+    f"SELECT 'resolve' AS stage, unnest(['matched', 's1_only', 's2_only', 'neither']) AS metric, "
+    f"unnest([matched, s1_only, s2_only, neither]) AS value FROM ({_SQL_MATCH}) "
+    "UNION ALL SELECT 'source1', 'rows', count(*) FROM src1 UNION ALL SELECT 'source2', 'rows', count(*) FROM src2 "
+    "UNION ALL SELECT 'registry', 'rows', count(*) FROM registry"
+    + "".join(
+        f" UNION ALL SELECT 'registry', 'nulls_{c}', count(*) FILTER (WHERE {c} IS NULL) FROM registry" for c in REGISTRY.fieldNames()
+    ), "registry"))
+def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a run, over the files that it read and wrote."""
+    return _etl(spark, sf_dir).report.withColumn("value", F.col("value").cast("bigint"))
+
+
 @QUERIES.add("stage_counts", with_views(
     " UNION ALL ".join(
         f"SELECT '{stage}' AS stage, count(*) AS rows FROM {view}"

@@ -10,7 +10,7 @@ from firmweave.config import EtlConfig
 from firmweave.lake import LakeTable, load_with_fallback
 from firmweave.operators.clean import clean_source1, clean_source2
 from firmweave.operators.harmonize import harmonize
-from firmweave.operators.quality import stage_counts
+from firmweave.operators.quality import quality_report, stage_counts
 from firmweave.operators.resolve import blank_rows, resolve_entities
 from firmweave.sinks.files import load_dataset, load_registry, timestamp_text
 from firmweave.sources.files import ReadOptions, extract_source1, extract_source2, read_parquet
@@ -25,6 +25,7 @@ class EtlResult:
     fallback_uri: str | None
     intermediate_uris: dict[str, str]
     counts: DataFrame
+    report: DataFrame
 
 
 def build_registry(
@@ -84,4 +85,6 @@ def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
             written, table, conf.output_uri, conf.table_mode, conf.partition_key, timestamp
         )
     counts = stage_counts({"source1": source1, "source2": source2, "registry": written})
-    return EtlResult(written, registry_uri, blank_uris, fallback_uri, uris, counts)
+    # Computed when looked at; the registry's part is counted over what was written.
+    report = quality_report(cleaned1, cleaned2, written)
+    return EtlResult(written, registry_uri, blank_uris, fallback_uri, uris, counts, report)
