@@ -140,7 +140,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             full = st.save(near, "within").join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
             most = F.floor((1 - similarity) * F.greatest(F.length("la"), F.length("lb")) + 1e-9).cast("int")
             full = full.withColumn("most", most).where(F.abs(F.length("la") - F.length("lb")) <= F.col("most"))
-            return full.where(F.levenshtein("la", "lb") <= F.col("most")).select("a", "b")
+            # With a bound only the cells near the diagonal are filled; -1 stands for beyond it.
+            return full.where("levenshtein(la, lb, most) >= 0").select("a", "b")
 
         def chunked(rows: DataFrame) -> DataFrame:
             chunks = st.save(rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "chunks")
