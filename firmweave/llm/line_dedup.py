@@ -23,8 +23,8 @@ from firmweave.llm.common import Stages, text_chunks, word_hashes, word_spans
 from firmweave.llm.linking import link_groups, shared_buckets
 
 DISTANCE = 3
-#: Blocks of the SimHash; keys of 2 blocks have 25 bits or more. Past some 10 ** 9 lines take 6, with keys of 3 blocks.
-BLOCKS = 5
+#: Blocks of the SimHash; a key is 3 of them, 32 bits or so, so that few lines share one by chance.
+BLOCKS = 6
 SIMILARITY = 0.9
 #: Lines of fewer words are compared as they are: one edit already takes them below the similarity.
 LEAST_WORDS = 8
