@@ -98,11 +98,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
         lines = F.split(F.coalesce("text", F.lit("")), "\n")
         marked = F.filter(lines, lambda x: F.lower(x).rlike(r"^[ \t]*(copyright|\(c\)|©)"))
-        # A statement holds one of these words whatever its spelling; other lines need no digest.
-        stated = F.filter(lines, lambda x: F.lower(x).rlike("licen[sc]e|cc ?by|cc0|creative commons|gpl|apache|mpl "))
         rows = texts.select(
             "row", "doc_id", F.md5(normal(F.col("text"))).alias("whole"), F.size(marked).cast("long").alias("n_copyright_lines"),
-            F.transform(stated, lambda x: F.md5(normal(x))).alias("digests"),
+            F.transform(lines, lambda x: F.md5(normal(x))).alias("digests"),
         )
         rows = st.save(rows, "digests")
         hits = rows.select("row", F.explode("digests").alias("digest")).join(F.broadcast(single), "digest")  # a few hundred rows

@@ -129,6 +129,19 @@ def test_licences_by_text_and_by_line(docs):
     assert license_scan.scan_licenses(docs([])).count() == 0
 
 
+def test_licence_lines_are_found_in_every_spelling(docs):
+    """Each known statement as it is, in SPDX form and with other white space: nothing is left out before it is normalised."""
+    spdx = ["CC-BY-4.0", "Released under the CC-BY-SA 4.0", "CC\tBY  4.0", "MPL-2.0", "Distributed under the MPL-2.0.", "(cc0)"]
+    plain = [form for forms in license_scan.NAMES.values() for form in forms]
+    short = {form: name for name, forms in license_scan.NAMES.items() for form in forms if form.startswith(("CC", "MPL"))}
+    lines = spdx + plain + [form.replace(" ", "-") for form in short] + [form.replace(" ", " \t ").upper() for form in short]
+    found = {r.doc_id: r for r in license_scan.scan_licenses(docs([*enumerate(lines), (9999, "\n".join(lines))])).collect()}
+    names = [name for name, forms in license_scan.NAMES.items() for _ in forms]
+    expected = ["CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-4.0", "MPL-2.0", "MPL-2.0", "CC0-1.0"] + names + 2 * [*short.values()]
+    assert [found[i].line_licenses for i in range(len(lines))] == expected
+    assert found[9999].n_license_lines == len(lines)
+
+
 @pytest.mark.parametrize("name", ["op6_exact_top_k", "op7_substring_dedup", "op9_license_scan"])
 def test_queries_agree_with_their_sql(spark, name):
     import duckdb
