@@ -142,6 +142,23 @@ def test_licence_lines_are_found_in_every_spelling(docs):
     assert found[9999].n_license_lines == len(lines)
 
 
+def test_entire_texts_beyond_two_and_those_of_a_caller(spark, docs):
+    from pathlib import Path
+
+    folder = Path(license_scan.__file__).parent / "licenses"
+    long = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC-BY-SA-4.0", "CC0-1.0"]
+    bsd = "Copyright (c) 2020, A. Body\nAll rights reserved.\n\n" + license_scan._BSD_TERMS.replace("1.", "*").replace("2.", "*")
+    rows = [(i, (folder / f"{name}.txt").read_text().replace("\n", "  \r\n")) for i, name in enumerate(long)]
+    rows += [(20, bsd.replace("*", "1.", 1).replace("*", "2.", 1).lower() + license_scan._BSD_END.format("COPYRIGHT HOLDERS", "COPYRIGHT HOLDER"))]
+    rows += [(21, "BSD 3-Clause License\n\n" + license_scan._BSD_TERMS + license_scan._BSD_NAMES.format("copyright holder") + license_scan._BSD_END.format("COPYRIGHT HOLDERS", "COPYRIGHT OWNER"))]
+    rows += [(22, license_scan._APACHE_NOTICE), (23, "Our own terms:  do as you like."), (24, ""), (25, None)]
+    own = spark.createDataFrame([("Own-1", "Our own terms: do as you like."), ("Own-2", "our own terms do as you like"), (None, "x"), ("Blank", "")], "license string, text string")
+    found = {r.doc_id: r.text_license for r in license_scan.scan_licenses(docs(rows), own).collect()}
+    assert len(found) == len(rows)
+    assert [found[i] for i in range(len(long))] == long
+    assert [found[i] for i in range(20, 26)] == ["BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "Own-1", None, None]
+
+
 @pytest.mark.parametrize("name", ["op6_exact_top_k", "op7_substring_dedup", "op9_license_scan"])
 def test_queries_agree_with_their_sql(spark, name):
     import duckdb
