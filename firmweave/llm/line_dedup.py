@@ -1,9 +1,9 @@
 """Fuzzy duplicate lines by SimHash.
 
 A line is normalised (case, punctuation, digits to 0) and lines with one digest are one class. Each class has a 64-bit
-SimHash of its words. Two classes are linked if their SimHashes differ in at most DISTANCE bits and the edit similarity
-of their normalised lines is at least the threshold. With the 64 bits cut into BLOCKS blocks, such a pair agrees in at least
-BLOCKS - DISTANCE blocks, so every choice of that many blocks is a bucket key and no pair within the distance is missed.
+SimHash of the character n-grams of its words. Two classes are linked if their SimHashes differ in at most DISTANCE bits and the
+edit similarity of their normalised lines is at least the threshold. A tenth of a line's characters moves far more bits than
+blocks of a SimHash could bear, so candidates are the lines that share a key made of their text (see ``line_keys``).
 Of every connected group of classes the earliest line stays.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -19,18 +20,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmweave.llm.common import Stages, text_chunks, word_hashes, word_spans
+from firmweave.llm.common import Stages, mix64, text_chunks, word_hashes, word_spans
 from firmweave.llm.linking import link_groups, shared_buckets
 
-DISTANCE = 3
-#: Blocks of the SimHash; a key is 3 of them, 32 bits or so, so that few lines share one by chance.
+#: Bits, so many that a tenth of a line's characters hardly ever moves more.
+DISTANCE = 24
+#: Blocks of a SimHash for ``bucket_keys``, which finds pairs within BLOCK_DISTANCE bits.
 BLOCKS = 6
+BLOCK_DISTANCE = 3
 SIMILARITY = 0.9
-#: Lines of fewer words are compared as they are: one edit already takes them below the similarity.
-LEAST_WORDS = 8
+#: Lines of fewer words are compared as they are.
+LEAST_WORDS = 1
+#: Letters of an n-gram of the SimHash, with a blank at either end of a word.
+GRAM = 3
+#: Lines of fewer characters have keys by pieces of characters (no pair within the similarity is missed), others by runs of words.
+SHORT = 40
+#: Up to so many runs all are keys, above the least of each WINDOW runs.
+ALL_RUNS = 14
+WINDOW = 6
+#: A run of fewer letters is a key only where no better one is there.
+LEAST_RUN = 12
 #: Classes of a chunk, about, where what is left of a large bucket is compared.
 CHUNK = 2048
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _GAPS = re.compile(r"[\W_]+")
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 
@@ -40,7 +53,7 @@ def normal_line(line: str) -> bytes:
 
 
 def simhashes(lines: list[bytes]) -> np.ndarray:
-    """64-bit SimHash of each line's words; a tie of a bit is 0, as for a line without words."""
+    """64-bit SimHash of the n-grams of each line's words; a tie of a bit is 0, as for a line without words."""
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lines], dtype=np.int64)))
     data = np.frombuffer(b"".join(lines), np.uint8)
     starts, ends, first = word_spans(data, offsets)
@@ -48,12 +61,66 @@ def simhashes(lines: list[bytes]) -> np.ndarray:
     out = np.zeros(len(lines), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
-        bits = np.unpackbits(word_hashes(data, starts, ends).view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, first[full], axis=0, dtype=np.int32)
-        out[full] = np.packbits(2 * ones > counts[full, None], axis=1).view(np.uint64).reshape(-1)
+        _, at, word = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        text = np.frombuffer(b" " + b"  ".join(data[a:b].tobytes() for a, b in zip(starts[at], ends[at], strict=True)) + b" ", np.uint8)
+        sizes = ends[at] - starts[at] + 3 - GRAM  # n-grams of " word "
+        skip = np.repeat(np.cumsum(sizes + GRAM - 1) - (sizes + GRAM - 1), sizes)
+        place = skip + np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        codes = np.zeros(len(place), np.uint64)
+        for k in range(GRAM):
+            codes = codes << np.uint64(8) | text[place + k]
+        bits = np.unpackbits(mix64(codes * _STEP + np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1).view(np.int8) * np.int8(2) - np.int8(1)
+        of_word = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
+        ones = np.add.reduceat(of_word[word], first[full], axis=0, dtype=np.int32)
+        out[full] = np.packbits(ones > 0, axis=1).view(np.uint64).reshape(-1)
     return out
 
 
+def _hash(*parts: object) -> int:
+    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _pieces(line: str) -> Iterator[int]:
+    """Keys of a short line, such that two lines within a tenth of the longer one's characters share one.
+
+    With one edit each line without one of its characters, else the longer line's pieces, one more than edits, of which one
+    is whole in the other line, not far from its place."""
+    size = len(line)
+    if 9 <= size < 20:
+        yield _hash(0, line)
+        yield from (_hash(0, line[:i] + line[i + 1 :]) for i in range(size))
+    for long in range(max(size, 20), min(size + 3, SHORT - 1) + 1):
+        most, shift = long // 10, size - long
+        if -shift > most:
+            continue
+        edges = [long * i // (most + 1) for i in range(most + 2)]
+        for i in range(most + 1):
+            a, n = edges[i], edges[i + 1] - edges[i]
+            for p in range(max(0, a - i, a + shift - (most - i)), min(size - n, a + i, a + shift + most - i) + 1):
+                yield _hash(long, i, line[p : p + n])
+
+
+def _runs(line: str) -> Iterator[int]:
+    """Keys of a longer line: hashes of runs of words, so that lines that share some eight words in a row share one."""
+    words = line.split(" ")
+    for width in (3, 2, 1):
+        if width == 3 and len(words) < 6 or width == 2 and not 4 <= len(words) <= 7 or width == 1 and len(words) > 4:
+            continue
+        runs = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
+        held = [(len(x) < LEAST_RUN, zlib.crc32(x.encode()), x) for x in runs]
+        if len(held) <= ALL_RUNS:
+            picked = {x for x in held if not x[0]} or set(held)
+        else:
+            picked = {min(held[i : i + WINDOW]) for i in range(len(held) - WINDOW + 1)}
+        yield from (_hash(x[2]) for x in picked)
+
+
+def line_keys(line: bytes) -> list[int]:
+    """Distinct keys of a normalised line; lines that share one are compared."""
+    text = line.decode()
+    return sorted({*(_pieces(text) if len(text) < SHORT else ()), *(_runs(text) if len(text) >= SHORT * 9 // 10 else ())})
+
+
 def _lines(batch: pa.RecordBatch, a: int, b: int) -> Iterator[tuple[int, int, bytes]]:
     for i, text in enumerate(batch.column("text").slice(a, b - a).to_pylist(), a):
         for k, line in enumerate(text.split("\n") if text else ()):
@@ -73,9 +140,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = list(_lines(batch, a, b))
             at, number, lines = ([x[k] for x in found] for k in range(3))
             picked = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
-            words = pa.array([x.count(b" ") + 1 for x in lines], pa.int64())
-            columns = [*picked.columns, pa.array(number, pa.int64()), words, pa.array(simhashes(lines).view(np.int64)), *_digests(lines)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "n_words", "simhash", "d1", "d2"])
+            sizes = pa.array([len(x.decode()) for x in lines], pa.int64())
+            columns = [*picked.columns, pa.array(number, pa.int64()), sizes, pa.array(simhashes(lines).view(np.int64)), *_digests(lines)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "d1", "d2"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +152,15 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*_digests(lines), pa.array([x.decode() for x in lines], pa.string())], names=["d1", "d2", "line"])
 
 
-def bucket_keys(simhash: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Column:
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, _, _ in text_chunks(batch):
+            lines = list({x[2]: None for x in _lines(batch, a, b) if x[2].count(b" ") + 1 >= LEAST_WORDS})
+            keys = pa.array([line_keys(x) for x in lines], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*_digests(lines), keys], names=["d1", "d2", "keys"])
+
+
+def bucket_keys(simhash: Column, blocks: int = BLOCKS, distance: int = BLOCK_DISTANCE) -> Column:
     """Keys of every choice of ``blocks - distance`` blocks, with the choice's number in the low bits."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     parts = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -95,20 +170,25 @@ def bucket_keys(simhash: Column, blocks: int = BLOCKS, distance: int = DISTANCE)
     return F.array(*keys)
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two chunks that differ in label and are within the distance."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            (ids, labels, hashes), (ids2, labels2, hashes2) = (
-                [batch.column(c)[r].values.field(k).to_numpy() for k in range(3)] for c in ("left", "right")
-            )
-            a, b = [], []
-            for i in range(len(ids)):
-                near = np.flatnonzero((np.bitwise_count(hashes2 ^ hashes[i]) <= DISTANCE) & (labels2 != labels[i]))
-                a.append(np.full(len(near), ids[i]))
-                b.append(ids2[near])
-            a, b = np.concatenate(a), np.concatenate(b)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+def _close(most: float):
+    """Pairs of two chunks that differ in label, are within the distance and of about one length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                (ids, labels, hashes, sizes), (ids2, labels2, hashes2, sizes2) = (
+                    [batch.column(c)[r].values.field(k).to_numpy() for k in range(4)] for c in ("left", "right")
+                )
+                a, b = [], []
+                for i in range(len(ids)):
+                    alike = np.abs(sizes2 - sizes[i]) <= most * np.maximum(sizes2, sizes[i]) + 1e-9
+                    near = np.flatnonzero(alike & (np.bitwise_count((hashes2 ^ hashes[i]).view(np.uint64)) <= DISTANCE) & (labels2 != labels[i]))
+                    a.append(np.full(len(near), ids[i]))
+                    b.append(ids2[near])
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return run
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -121,22 +201,24 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     with Stages(spark) as st:
         row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
         texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text")
-        schema = "row long, doc_id long, line_no long, n_words long, simhash long, d1 long, d2 long"
+        schema = "row long, doc_id long, line_no long, size long, simhash long, d1 long, d2 long"
         lines = st.save(texts.mapInArrow(_signed, schema), "lines")
         place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line_no")
-        classes = lines.groupBy("d1", "d2", "n_words", "simhash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        classes = lines.groupBy("d1", "d2", "size", "simhash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
         classes = st.save(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-        keyed = classes.where(f"n_words >= {LEAST_WORDS}").select("id", F.explode(bucket_keys(F.col("simhash"))).alias("key"))
-        shared = shared_buckets(st, keyed, save_keys=False)
+        keyed = texts.select("text").mapInArrow(_keyed, "d1 long, d2 long, keys array<long>").dropDuplicates(["d1", "d2"])
+        keyed = keyed.join(classes.select("d1", "d2", "id"), ["d1", "d2"])
+        shared = shared_buckets(st, keyed.select("id", F.explode("keys").alias("key")))
         members = st.save(shared.select("id").distinct(), "members")
-        held = st.save(classes.select("id", "simhash", "d1", "d2").join(members, "id"), "candidates")
-        within = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= DISTANCE
+        held = st.save(classes.select("id", "size", "simhash", "d1", "d2").join(members, "id"), "candidates")
+        alike = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * F.greatest("na", "nb") + 1e-9
+        within = alike & (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= DISTANCE)
         words = texts.select("text").mapInArrow(_texts, "d1 long, d2 long, line string").join(held.select("d1", "d2", "id"), ["d1", "d2"])
         words = st.save(words.dropDuplicates(["d1", "d2"]).select("id", "line"), "candidate-lines")
 
         def test(pairs: DataFrame) -> DataFrame:
-            hashes = held.select("id", "simhash")
-            near = pairs.join(hashes.toDF("a", "ha"), "a").join(hashes.toDF("b", "hb"), "b").where(within).select("a", "b")
+            hashes = held.select("id", "size", "simhash")
+            near = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within).select("a", "b")
             full = st.save(near, "within").join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
             most = F.floor((1 - similarity) * F.greatest(F.length("la"), F.length("lb")) + 1e-9).cast("int")
             full = full.withColumn("most", most).where(F.abs(F.length("la") - F.length("lb")) <= F.col("most"))
@@ -145,12 +227,12 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
         def chunked(rows: DataFrame) -> DataFrame:
             chunks = st.save(rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "chunks")
-            items = rows.join(held.select("id", "simhash"), "id").join(chunks, "key")
+            items = rows.join(held.select("id", "size", "simhash"), "id").join(chunks, "key")
             items = items.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(7)), "chunks"))
-            packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash")).alias("items")), "packs")
+            packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash", "size")).alias("items")), "packs")
             odd = packs.where("not main").select("key", F.col("chunk").alias("c"), F.col("items").alias("left"))
             pairs = odd.join(packs.withColumnRenamed("items", "right"), "key").where("main or chunk <= c")
-            pairs = pairs.select("left", "right").mapInArrow(_close, "a long, b long").distinct()
+            pairs = pairs.select("left", "right").mapInArrow(_close(1 - similarity), "a long, b long").distinct()
             return test(st.save(pairs, "close"))
 
         groups = link_groups(st, shared, test, chunked)

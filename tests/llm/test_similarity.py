@@ -130,6 +130,28 @@ def test_near_lines_are_those_of_all_pairs(docs, monkeypatch, small):
     assert any(a != b for a, b in pairs if flat[a][2] != flat[b][2])
 
 
+@pytest.mark.parametrize("words", [2, 4, 6, 8, 15, 30])
+def test_lines_with_a_changed_word_or_letters_share_a_key(words):
+    """Recall of the candidates against edit similarity alone."""
+    rng = np.random.default_rng(words)
+    met = within = total = 0
+    for _ in range(40):
+        line = " ".join(" ".join(invented(rng, words, "abcdefghijklmnop").split()).replace(".", "").split())
+        at = int(rng.integers(0, len(line)))
+        spelt = line[:at] + ("", "z", "zq")[int(rng.integers(0, 3))] + line[at + int(rng.integers(0, 2)) :]
+        cut = line.split(" ")
+        cut[int(rng.integers(0, len(cut)))] = "".join(rng.choice(list("qrstuvw"), 4))
+        for other in (spelt, " ".join(cut)):
+            a, b = line_dedup.normal_line(line), line_dedup.normal_line(other)
+            if a != b and edits(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9):
+                total += 1
+                met += bool(set(line_dedup.line_keys(a)) & set(line_dedup.line_keys(b)))
+                x, y = line_dedup.simhashes([a, b])
+                within += int(np.bitwise_count(x ^ y)) <= line_dedup.DISTANCE
+    assert total and met >= 0.99 * total and within >= 0.99 * total
+    assert words > 5 or met == total
+
+
 def test_documents_lose_their_repeated_lines_only(docs):
     rows = [(2, "first line here\nsecond\n\nFIRST line, here"), (1, "second\nthird"), (3, None), (4, "second"), (4, "second")]
     out = line_dedup.dedup_lines(docs(rows))
