@@ -20,7 +20,7 @@ from firmweave.llm.common import Stages, mix64, text_chunks
 
 ORDER = 4
 DISCOUNT = 0.75
-#: The model holds the most frequent n-grams of each language, so many at most over all languages.
+#: The model holds the most frequent n-grams of each language: an equal share of so many for each, so none displaces another's.
 MODEL_GRAMS = 1_000_000
 #: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and texts that a
 #: language's length class needs for limits of its own; below, the language's limit over all lengths holds.
@@ -59,7 +59,8 @@ def has_letter(text: str | None) -> bool:
 class Model:
     """Sorted hash arrays and smoothed log-probabilities, made from counts (language, gram, n) of order ORDER."""
 
-    def __init__(self, languages: list[str], language: np.ndarray, gram: np.ndarray, count: np.ndarray) -> None:
+    def __init__(self, languages: list[str], language: np.ndarray, gram: np.ndarray, count: np.ndarray, lower_counts: dict | None = None) -> None:
+        """``lower_counts``: by order (language, gram, n) of the shorter n-grams, over all n-grams; else made from those given."""
         self.languages = languages
         width = len(languages)
         counts, codes = [], []
@@ -73,6 +74,8 @@ class Model:
             shorter = np.uint64((1 << (16 * (order - 1))) - 1)
             row, language = np.nonzero(table)
             gram, count = keys[row] & shorter, np.ones(len(row))
+            if lower_counts and order > 1:
+                language, gram, count = lower_counts[order - 1]
         base = np.full(width, -np.log(len(codes[-1]) + 1))
         self.unseen = base
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -163,12 +166,45 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 def fit(st: Stages, docs: DataFrame, most: int = MODEL_GRAMS) -> Model:
     """A model of the languages of ``docs``; rows without text, letters or lang teach nothing. Counts cover all rows."""
     counts = st.save(gram_counts(docs.select("text", "lang").where("lang is not null and text is not null")), "gram-counts")
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(most).toArrow()  # bounded by `most`
-    names = top.column("lang").to_pylist()
-    languages = sorted(set(names), key=str.encode)
+    return _fit_counts(st, counts, most)
+
+
+def _fit_counts(st: Stages, counts: DataFrame, most: int) -> Model | None:
+    """A model of (lang, gram, n). A language beyond its share keeps the n-grams above a count of its own; the shorter ones of
+    what is kept are counted over all n-grams."""
+    sizes: dict[str, dict[int, int]] = {}
+    for r in counts.groupBy("lang", "n").count().collect():  # a row per language and distinct count
+        sizes.setdefault(r.lang, {})[r.n] = r["count"]
+    languages = sorted(sizes, key=str.encode)
+    if not languages:
+        return None
+    share, least = max(1, most // len(languages)), []
+    for name in languages:
+        held, floor = 0, max(sizes[name])  # the most frequent n-grams stay even where they alone are more
+        for n in sorted(sizes[name], reverse=True):
+            held += sizes[name][n]
+            if held > share:
+                break
+            floor = n
+        least.append((name, floor))
     number = {x: i for i, x in enumerate(languages)}
-    gram = top.column("gram").to_numpy().view(np.uint64)
-    return Model(languages, np.array([number[x] for x in names], np.int64), gram, top.column("n").to_numpy().astype(np.float64)) if languages else None
+
+    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = rows.select("lang", "gram", "n").toArrow()
+        names = np.array([number[x] for x in found.column("lang").to_pylist()], np.int64)
+        return names, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.float64)
+
+    if all(floor == min(sizes[name]) for name, floor in least):
+        return Model(languages, *arrays(counts))
+    floors = st.spark.createDataFrame(least, "lang string, floor long")
+    kept = st.save(counts.join(F.broadcast(floors), "lang").where("n >= floor").select("lang", "gram", "n"), "kept-grams")
+    whole, part, lower = counts, kept, {}
+    for order in range(ORDER - 1, 0, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)).alias("gram")
+        whole = st.save(whole.select("lang", shorter).groupBy("lang", "gram").agg(F.count("*").alias("n")), "shorter-grams")
+        part = part.select("lang", shorter).distinct()
+        lower[order] = arrays(whole.join(part, ["lang", "gram"], "left_semi"))
+    return Model(languages, *arrays(kept), lower)
 
 
 def _limits(texts: GroupedData, name: str) -> DataFrame:
