@@ -475,6 +475,21 @@ def etl_job_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, LakeTable(EtlConfig.table_name, root)).select(*REGISTRY.fieldNames())
 
 
+#: Rows of a file that holds one top-level JSON array, about.
+ARRAY_ROWS = 20_000
+
+
+def write_json_arrays(rows: DataFrame, uri: str, array_rows: int = ARRAY_ROWS) -> None:
+    """Append the rows as text files of one top-level array each; their number grows with the rows, so a task's work does not.
+
+    Rows are dealt out by all their columns, so those of one name part as well."""
+    item = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    buckets = max(1, -(-rows.count() // array_rows))
+    dealt = rows.select(F.pmod(F.xxhash64(item), F.lit(buckets)).alias("bucket"), item.alias("item"))
+    array = dealt.groupBy("bucket").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("item"), ",\n"), F.lit("\n]")).alias("value"))
+    array.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(uri)  # a file holds one array
+
+
 @QUERIES.add("etl_job_json", SQL_REGISTRY)
 def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON in both layouts in one folder on the way in, JSON out."""
@@ -483,10 +498,8 @@ def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         uris[f"source{number}_uri"] = uri = scratch_dir(spark, f"source{number}")
         name = F.col(f"corporate_name_S{number}")
         rows.filter(F.crc32(name) % 2 == 0).write.json(uri, ignoreNullFields=False)
-        # The other half as one top-level array: a text file of its own in the same folder.
-        item = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-        array = rows.filter(F.crc32(name) % 2 == 1).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(item), ",\n"), F.lit("\n]")))
-        array.coalesce(1).write.mode("append").text(uri)
+        # The other half as top-level arrays of ARRAY_ROWS rows or so: text files of their own in the same folder.
+        write_json_arrays(rows.filter(F.crc32(name) % 2 == 1), uri)
     conf = EtlConfig(
         **uris, source1_format="json", source2_format="json", output_uri=scratch_dir(spark, "processed"), output_format="json",
         processed_date=DATE, timestamp=STAMP,
