@@ -105,13 +105,14 @@ def _signatures(width: int):
                 marks = [_digests(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column("row").slice(first, end - first),
                         batch.column("doc_id").slice(first, end - first),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([m[0] for m in marks], pa.int64()),
                         pa.array([m[1] for m in marks], pa.int64()),
                         pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
+                    names=["row", "doc_id", "n_shingles", "d1", "d2", "sketch"],
                 )
 
     return run
@@ -203,17 +204,22 @@ def _chunk_links(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, row: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id linked, itself included), kept.
 
     ``width`` is the words of a shingle, ``percent`` the least Jaccard similarity of a link. Null and empty texts
     have an empty set and link with nothing; a repeated doc_id is one document of several texts only if these link;
-    a null doc_id has the smallest doc_id it reaches, or null, and is kept unless it reaches one."""
+    a null doc_id has the smallest doc_id it reaches, or null, and is kept unless it reaches one. With ``row``, a column that
+    numbers the rows, there is a row per row: row and kept, which holds for one row of each group, that of the smallest
+    doc_id (null last) and row, and for every row with an empty set."""
     spark = docs.sparkSession
     with Stages(spark) as st:
-        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        signs = st.save(texts.mapInArrow(_signatures(width), "doc_id long, n_shingles long, d1 long, d2 long, sketch binary"), "signatures")
-        classes = signs.where("d1 is not null").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+        number = F.col(row).cast("long") if row else F.lit(None).cast("long")
+        texts = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+        signs = st.save(texts.mapInArrow(_signatures(width), "row long, doc_id long, n_shingles long, d1 long, d2 long, sketch binary"), "signatures")
+        place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+        classes = signs.where("d1 is not null").groupBy("d1", "d2", "n_shingles")
+        classes = classes.agg(F.min("doc_id").alias("rep"), F.min(place).alias("first"), F.first("sketch").alias("sketch"))
         classes = st.save(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
         size = 2 * BAND
         bands = F.array(
@@ -253,10 +259,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
         groups = link_groups(st, shared, test, chunked)
         named = st.save(
-            classes.select("id", "d1", "d2", "rep").join(groups, "id", "left").select("d1", "d2", "rep", F.coalesce("label", "id").alias("label")), "named"
+            classes.select("id", "d1", "d2", "rep", "first").join(groups, "id", "left").select("d1", "d2", "rep", "first", F.coalesce("label", "id").alias("label")), "named"
         )
-        lowest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-        named = st.save(named.join(st.save(lowest, "lowest"), "label").select("d1", "d2", "component_id"), "classed")
+        lowest = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.min("first").alias("m"))
+        named = st.save(named.join(st.save(lowest, "lowest"), "label").select("d1", "d2", "component_id", "m.row"), "classed")
+        if row:
+            own = signs.select("row", "d1", "d2").join(named.withColumnRenamed("row", "head"), ["d1", "d2"], "left")
+            return st.save(own.select("row", F.coalesce(F.col("row") == F.col("head"), F.lit(True)).alias("kept")), "near-duplicates", keep=True)
+        named = named.drop("row")
         out = signs.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
         own = F.when(F.col("d1").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         out = out.select("doc_id", "n_shingles", own.alias("component_id"))
@@ -264,10 +274,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents but for those linked to one of a smaller doc_id; columns as they are.
+    """One document of each group: the row of the smallest doc_id (null last), of equal ones the first read; columns as they are.
 
-    A document whose set of shingles is empty stays. Rows with one doc_id stay or go together; rows without doc_id stay."""
+    A document whose set of shingles is empty stays."""
     with Stages(docs.sparkSession) as st:
-        found = near_duplicates(docs, width, percent)
-        gone = st.save(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
-        return st.save(docs.join(gone, docs.doc_id == gone._gone, "left_anti"), "near-deduplicated", keep=True)
+        rows = st.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        found = near_duplicates(rows, width, percent, row="_row")
+        gone = st.save(found.where("not kept").select(F.col("row").alias("_gone")), "dropped")
+        return st.save(rows.join(gone, rows._row == gone._gone, "left_anti").drop("_row"), "near-deduplicated", keep=True)
