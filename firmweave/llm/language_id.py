@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from firmweave.llm.common import Stages, mix64, text_chunks
@@ -22,11 +22,14 @@ ORDER = 4
 DISCOUNT = 0.75
 #: The model holds the most frequent n-grams of each language: an equal share of so many for each, so none displaces another's.
 MODEL_GRAMS = 1_000_000
-#: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and texts that a
-#: language's length class needs for limits of its own; below, the language's limit over all lengths holds.
+#: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and held-out training texts that
+#: a language's length class, or a language, needs for a limit of its own; below, that of the language or of all of them holds.
 REJECT_AT = 12.0
 LEAST_SPREAD = 0.08
 REJECT_LEAST = 30
+REJECT_LEAST_LANGUAGE = 8
+#: One of so many training texts is held out for the limits.
+FOLDS = 4
 
 _SPACE = ord(" ")
 
@@ -134,6 +137,11 @@ class Model:
         return -np.add.reduceat(logs.astype(np.float64), first, axis=0) / sizes[:, None], sizes
 
 
+def held_out(text: Column) -> Column:
+    """Whether a training text is left to the limits; equal texts go together."""
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)) == 0
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """language, gram, n over the whole texts of ``docs`` (text, lang)."""
 
@@ -207,9 +215,34 @@ def _fit_counts(st: Stages, counts: DataFrame, most: int) -> Model | None:
     return Model(languages, *arrays(kept), lower)
 
 
-def _limits(texts: GroupedData, name: str) -> DataFrame:
+def _scored(docs: DataFrame, model: Model | None, extra: list[str]) -> DataFrame:
+    """Each row's ``extra`` columns, lang_pred, score, cross_entropy and size_class, the power of two of its length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, _, _ in text_chunks(batch):
+                texts = batch.column("text").slice(a, b - a).to_pylist()
+                known = [i for i, t in enumerate(texts) if model and has_letter(t)]
+                pred, score, entropy, length = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [0] * len(texts)
+                if known:
+                    found, sizes = model.entropies([texts[i] for i in known])
+                    best = found.argmin(1)
+                    odds = np.exp((found.min(1)[:, None] - found) * np.minimum(sizes, 200)[:, None])
+                    for j, i in enumerate(known):
+                        pred[i], score[i] = model.languages[best[j]], float(1 / odds[j].sum())
+                        entropy[i], length[i] = float(found[j, best[j]]), int(sizes[j])
+                columns = [batch.column(c).slice(a, b - a) for c in extra]
+                columns += [pa.array(pred), pa.array(score, pa.float64()), pa.array(entropy, pa.float64()), pa.array(length, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*extra, "lang_pred", "score", "cross_entropy", "n_units"])
+
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in extra)
+    rows = docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema + "lang_pred string, score double, cross_entropy double, n_units long")
+    return rows.withColumn("size_class", F.floor(F.log2(F.col("n_units") + 1))).drop("n_units")
+
+
+def _limits(texts: GroupedData, name: str, least: int) -> DataFrame:
     quarters = F.percentile_approx("cross_entropy", [0.25, 0.5, 0.75], 1000)
-    found = texts.agg(F.count("*").alias("n"), quarters.alias("q")).where(F.col("n") >= REJECT_LEAST)
+    found = texts.agg(F.count("*").alias("n"), quarters.alias("q")).where(F.col("n") >= least)
     spread = F.greatest((F.col("q")[2] - F.col("q")[0]) / 1.35, F.lit(LEAST_SPREAD))
     return found.withColumn(name, F.col("q")[1] + REJECT_AT * spread).drop("n", "q")
 
@@ -224,32 +257,17 @@ def identify(docs: DataFrame, training: DataFrame, keep_text: bool = False) -> D
     with Stages(spark) as st:
         model = fit(st, training)
         extra = [c for c in docs.columns if keep_text or c not in ("text", "lang")]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for a, b, _, _ in text_chunks(batch):
-                    texts = batch.column("text").slice(a, b - a).to_pylist()
-                    known = [i for i, t in enumerate(texts) if model and has_letter(t)]
-                    pred, score, entropy, length = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [0] * len(texts)
-                    if known:
-                        found, sizes = model.entropies([texts[i] for i in known])
-                        best = found.argmin(1)
-                        odds = np.exp((found.min(1)[:, None] - found) * np.minimum(sizes, 200)[:, None])
-                        for j, i in enumerate(known):
-                            pred[i], score[i] = model.languages[best[j]], float(1 / odds[j].sum())
-                            entropy[i], length[i] = float(found[j, best[j]]), int(sizes[j])
-                    columns = [batch.column(c).slice(a, b - a) for c in extra]
-                    columns += [pa.array(pred), pa.array(score, pa.float64()), pa.array(entropy, pa.float64()), pa.array(length, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*extra, "lang_pred", "score", "cross_entropy", "n_units"])
-
-        schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in extra)
-        rows = docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema + "lang_pred string, score double, cross_entropy double, n_units long")
-        rows = st.save(rows.withColumn("size_class", F.floor(F.log2(F.col("n_units") + 1))), "scored")
-        seen = rows.where("cross_entropy is not null")
-        classes = _limits(seen.groupBy("lang_pred", "size_class"), "class_limit")
-        whole = _limits(seen.groupBy("lang_pred"), "limit")
-        # A row per language, or per language and power of two of the length.
+        rows = st.save(_scored(docs, model, extra), "scored")
+        # Limits by the training texts that a second model has not seen, under their own language's name.
+        taught = training.select("text", "lang").where("lang is not null and text is not null")
+        own = _scored(taught.where(held_out(F.col("text"))), fit(st, taught.where(~held_out(F.col("text")))), ["lang"])
+        own = st.save(own.where("cross_entropy is not null and lang_pred = lang").select("lang_pred", "size_class", "cross_entropy"), "held-out")
+        classes = _limits(own.groupBy("lang_pred", "size_class"), "class_limit", REJECT_LEAST)
+        whole = _limits(own.groupBy("lang_pred"), "limit", REJECT_LEAST_LANGUAGE)
+        every = _limits(own.groupBy(), "any_limit", 1)
+        # A row per language, or per language and power of two of the length, or one.
         out = rows.join(F.broadcast(st.save(classes, "limits")), ["lang_pred", "size_class"], "left").join(F.broadcast(st.save(whole, "limits")), "lang_pred", "left")
-        beyond = F.coalesce(F.col("cross_entropy") > F.coalesce("class_limit", "limit"), F.lit(False))
+        out = out.join(F.broadcast(st.save(every, "limits")), F.lit(True), "left")
+        beyond = F.coalesce(F.col("cross_entropy") > F.coalesce("class_limit", "limit", "any_limit"), F.lit(False))
         out = out.withColumn("rejected", F.col("cross_entropy").isNull() | beyond)
-        return st.save(out.drop("class_limit", "limit", "size_class", "n_units"), "languages", keep=True)
+        return st.save(out.drop("class_limit", "limit", "any_limit", "size_class"), "languages", keep=True)
