@@ -4,10 +4,9 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from tests.support import SF_DIR  # noqa: E402, F401
 
 
 @pytest.fixture(scope="session")

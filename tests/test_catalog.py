@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_DIR
+from tests.support import ROOT, SF_DIR
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
