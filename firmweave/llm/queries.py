@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmweave.llm import language_id, license_scan, line_dedup, merkle, mixing, near_dedup, packing, quality_rules, substring_dedup, token_files, topk_search, url_filter
+from firmweave.llm import language_id, lexical_search, license_scan, line_dedup, merkle, mixing, near_dedup, packing, quality_rules, substring_dedup, token_files, topk_search, url_filter
 from firmweave.storage import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir))
 
 
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
 @query
 def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -96,6 +101,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir), seen={"text": merkle.tampered_text()})
 
 
+ORACLE_SQL["op11_lexical_search"] = lexical_search.SQL
 ORACLE_SQL["op13_merkle_manifest"] = merkle.SQL
 ORACLE_SQL["op12_url_filter"] = url_filter.SQL
 ORACLE_SQL["op6_exact_top_k"] = topk_search.SQL
