@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from firmweave.catalog.fixtures import DATE, with_views
 from firmweave.catalog.query import QuerySet
 from firmweave.catalog.value_queries import shown
 from firmweave.config import EtlConfig
-from firmweave.lake import LakeTable, append_table, load_with_fallback, read_table, upsert_table
+from firmweave.lake import LakeTable, append_table, compact_table, load_with_fallback, read_table, upsert_table
 from firmweave.operators.clean import clean_source1, clean_source2
 from firmweave.operators.harmonize import fill_defaults, harmonize
 from firmweave.operators.quality import null_profile, quality_report, stage_counts
@@ -419,6 +421,59 @@ def table_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, lake).select(*REGISTRY.fieldNames())
 
 
+@QUERIES.add("table_append_failed", SQL_REGISTRY)
+def table_append_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append and an upsert that break off while some tasks have written already leave the table as it was."""
+    lake = registry_table(spark)
+    rows = written_registry(spark, sf_dir)
+    append_table(rows, lake, "processed_date")
+    broken = F.when(F.col("revenue_category") == "Enterprise", F.raise_error(F.lit("broken row"))).otherwise(F.col("source"))
+    for write in (append_table, upsert_table):
+        try:
+            write(rows.withColumn("source", broken.cast("string")), lake, partition_key="processed_date")
+        except (PySparkException, Py4JError):
+            continue
+        raise AssertionError("the write should have failed")
+    return read_table(spark, lake).select(*REGISTRY.fieldNames())
+
+
+@QUERIES.add("table_append_batches", with_views(
+    f"""SELECT {REGISTRY_COLUMNS} FROM registry
+        UNION ALL SELECT {REGISTRY_COLUMNS} FROM (SELECT * REPLACE ('2026-01-16' AS processed_date) FROM registry)""", "registry"))
+def table_append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch three times and another twice: each counts once."""
+    lake = registry_table(spark)
+    rows = written_registry(spark, sf_dir)
+    for day, times in (("2026-01-15", 3), ("2026-01-16", 2)):
+        for _ in range(times):
+            append_table(rows.withColumn("processed_date", F.lit(day)), lake, "processed_date", batch=f"run {day}")
+    return read_table(spark, lake).select(*REGISTRY.fieldNames())
+
+
+@QUERIES.add("table_upsert_some", with_views(
+    """SELECT * REPLACE (CASE WHEN corporate_id LIKE '0a%' THEN revenue + 5 ELSE revenue END AS revenue,
+        CASE WHEN corporate_id LIKE '0a%' THEN '2026-01-16' ELSE processed_date END AS processed_date) FROM registry""", "registry"))
+def table_upsert_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A few ids of a table in buckets: only their buckets are read and written."""
+    lake = registry_table(spark)
+    rows = written_registry(spark, sf_dir)
+    upsert_table(rows, lake, buckets=32)
+    some = rows.filter("corporate_id LIKE '0a%'").withColumns({"revenue": F.col("revenue") + 5, "processed_date": F.lit("2026-01-16")})
+    upsert_table(some, lake)
+    return read_table(spark, lake)
+
+
+@QUERIES.add("table_compacted", SQL_REGISTRY)
+def table_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen small appends, then their files rewritten as few."""
+    lake = registry_table(spark)
+    rows = written_registry(spark, sf_dir)
+    for digit in "0123456789abcdef":
+        append_table(rows.filter(F.col("corporate_id").startswith(digit)), lake)
+    compact_table(spark, lake)
+    return read_table(spark, lake)
+
+
 @QUERIES.add("load_with_fallback", SQL_REGISTRY)
 def query_load_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog is not there, so the rows end up in the fallback dataset."""
@@ -475,6 +530,15 @@ def etl_job_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, LakeTable(EtlConfig.table_name, root)).select(*REGISTRY.fieldNames())
 
 
+@QUERIES.add("etl_job_retried", with_views(f"SELECT {REGISTRY_COLUMNS} FROM registry", "registry"))
+def etl_job_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default mode, run again under the same name as a scheduler does after a failure: its rows are there once."""
+    root = scratch_dir(spark, "lake")
+    for _ in range(2):
+        _etl(spark, sf_dir, table_enabled=True, table_root=root, batch="scheduled 2026-01-15")
+    return read_table(spark, LakeTable(EtlConfig.table_name, root))
+
+
 #: Rows of a file that holds one top-level JSON array, about.
 ARRAY_ROWS = 20_000
 

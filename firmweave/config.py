@@ -39,6 +39,10 @@ class EtlConfig(_Config):
     table_root: str = ""
     table_catalog: str = ""
     table_mode: str = "append"
+    #: Hash buckets of the id in a folder table that an upsert creates.
+    table_buckets: int = 64
+    #: Names this run's rows; a run that is repeated under the same name adds them to a folder table once.
+    batch: str = ""
     partition_key: str = ""
 
 

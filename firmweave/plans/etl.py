@@ -82,7 +82,7 @@ def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
     if conf.table_enabled:
         table = LakeTable(conf.table_name, conf.table_root, conf.table_catalog)
         fallback_uri = load_with_fallback(
-            written, table, conf.output_uri, conf.table_mode, conf.partition_key, timestamp
+            written, table, conf.output_uri, conf.table_mode, conf.partition_key, timestamp, conf.batch, conf.table_buckets
         )
     counts = stage_counts({"source1": source1, "source2": source2, "registry": written})
     # Computed when looked at; the registry's part is counted over what was written.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -68,6 +69,45 @@ def write_text(spark: SparkSession, uri: str, text: str) -> None:
         out.close()
 
 
+def publish_text(spark: SparkSession, uri: str, text: str) -> bool:
+    """Give the file that name, whole and at once; False if one of that name is there already.
+
+    The text is written under another name first. A local file then gets the name as a hard link, elsewhere it is renamed, which
+    must fail onto an existing file, as on HDFS."""
+    fs, path = _file_system(spark, uri)
+    draft = f"{uri}.{uuid.uuid4().hex}.draft"
+    write_text(spark, draft, text)
+    if fs.getUri().getScheme() != "file":
+        if fs.rename(_file_system(spark, draft)[1], path):
+            return True
+        delete(spark, draft)
+        return False
+    link, held = (spark._jvm.java.io.File(_file_system(spark, u)[1].toUri().getPath()).toPath() for u in (uri, draft))
+    try:
+        spark._jvm.java.nio.file.Files.createLink(link, held)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    finally:
+        delete(spark, draft)
+
+
+def file_sizes(spark: SparkSession, uri: str, suffix: str) -> dict[str, int]:
+    """Bytes of all files below a folder whose names end so, by path relative to the folder."""
+    fs, path = _file_system(spark, uri)
+    root, found = fs.makeQualified(path).toString().rstrip("/") + "/", {}
+    if fs.exists(path):
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            status = files.next()
+            name = status.getPath().toString()
+            if name.endswith(suffix):
+                found[name.removeprefix(root)] = status.getLen()
+    return found
+
+
 def read_text(spark: SparkSession, uri: str) -> str:
     """A small file, read by the driver."""
     fs, path = _file_system(spark, uri)

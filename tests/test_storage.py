@@ -158,16 +158,6 @@ def test_upsert_into_a_new_table_and_with_partitions(spark, uri):
     assert values(back) == [("a", 2.0, "d2"), ("b", 1.0, "d3")]
 
 
-def test_unfinished_snapshot_is_not_read(spark, uri, tmp_path):
-    table = LakeTable("db.t", uri("lake"))
-    lake.append_table(registry_rows(spark, [("a", 1.0, "d")]), table)
-    (tmp_path / "lake/db/t/snapshot=2").mkdir()
-    assert lake.read_table(spark, table).count() == 1
-    lake.upsert_table(registry_rows(spark, [("b", 1.0, "d")]), table)
-    assert (tmp_path / "lake/db/t/snapshot=3/_SUCCESS").exists()
-    assert lake.read_table(spark, table).count() == 2
-
-
 def test_append_refuses_rows_of_another_layout(spark, uri):
     table = LakeTable("db.t", uri("lake"))
     rows = registry_rows(spark, [("a", 1.0, "2026-01-15")])
@@ -199,12 +189,9 @@ def test_upsert_keeps_the_newest_of_table_and_batch(spark, uri):
     assert values(lake.read_table(spark, table).select("revenue")) == [(9.0,)]
     lake.upsert_table(registry_rows(spark, [("a", 2.0, "2026-02-01"), ("a", 3.0, "2026-02-01")]), table)  # tie: the batch, then revenue
     assert values(lake.read_table(spark, table).select("revenue")) == [(3.0,)]
-    assert (lake._layout(spark, lake._current_uri(spark, table)))[1] == "processed_date"
+    assert lake.table_version(spark, table).layout.partition_key == "processed_date"
     with pytest.raises(ValueError, match="without corporate_id"):
         lake.upsert_table(registry_rows(spark, [(None, 1.0, "d"), (None, 2.0, "d")]), table)
-    for _ in range(3):
-        lake.upsert_table(registry_rows(spark, [("b", 2.0, "2026-02-01")]), table)
-    assert len(lake._snapshots(spark, table)) == lake.SNAPSHOTS_KEPT
 
 
 def test_upsert_tells_companies_with_one_id_apart(spark, uri):
