@@ -58,7 +58,7 @@ def decode_block(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 16-bit, the end id included) of every whole text."""
+    """doc_id, n_tokens, ids (little-endian unsigned 16-bit, the end id included) and their crc32 of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder.of_worker(tokenizer), np.array([end_id], "<u2").tobytes()
@@ -66,11 +66,16 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             for a, b, _, _ in text_chunks(batch):
                 ids = [x + end for x in encoder.encode_all(batch.column("text").slice(a, b - a).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "n_tokens", "ids"],
+                    [
+                        batch.column("doc_id").slice(a, b - a),
+                        pa.array([len(x) // 2 for x in ids], pa.int64()),
+                        pa.array(list(map(zlib.crc32, ids)), pa.int64()),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    names=["doc_id", "n_tokens", "crc", "ids"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, crc long, ids binary")
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,22 +88,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
 
-def _ranked(rank_of: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for ids in batch.column("ids"):
-                out.append(encode_block(rank_of[np.frombuffer(ids.as_buffer(), "<u2")]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array([o[0] for o in out], pa.binary()), pa.array([o[1] for o in out], pa.binary())],
-                names=["doc_id", "n_tokens", "control", "data"],
-            )
-
-    return run
-
-
-def _joined(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in order, packed into blocks. A document's codes are padded to whole control bytes, so they join."""
+def _joined(rank_of: np.ndarray):
+    """Documents in order, their ids ranked, coded and packed into blocks. A document's codes are padded to whole control bytes, so they join."""
 
     def block(number: int, held: list) -> pa.RecordBatch:
         ids, sizes, control, data = zip(*held, strict=True)
@@ -113,22 +104,25 @@ def _joined(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["block", "doc_ids", "sizes", "control", "data"],
         )
 
-    number, held, size = 0, [], 0
-    for batch in rows:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "control", "data")), strict=True):
-            held.append(row)
-            size += row[1]
-            if size >= BLOCK_IDS:
-                yield block(number, held)
-                number, held, size = number + 1, [], 0
-    if held:
-        yield block(number, held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = 0, [], 0
+        for batch in batches:
+            for doc_id, n, ids in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids"), strict=True):
+                held.append((doc_id, n, *encode_block(rank_of[np.frombuffer(ids.as_buffer(), "<u2")])))
+                size += n
+                if size >= BLOCK_IDS:
+                    yield block(number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield block(number, held)
+
+    return run
 
 
 def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2) -> None:
     """Encode every text and write ``uri``/blocks in ascending doc_id order, and ``uri``/ranks.
 
-    A null doc_id comes first; rows of one doc_id follow each other by length, then by content. An empty table
+    A null doc_id comes first; rows of one doc_id follow each other by length, then by the crc32 of their ids. An empty table
     gives files without rows."""
     spark = docs.sparkSession
     with Stages(spark) as st:
@@ -140,12 +134,12 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2) ->
         rank_of[ids] = np.arange(len(ids), dtype=np.uint32)
         table = pa.table({"rank": pa.array(range(len(ids)), pa.int64()), "id": pa.array(ids, pa.int64())})
         spark.createDataFrame(table).coalesce(1).write.mode("overwrite").parquet(join_uri(uri, "ranks"))
-        coded = rows.select("doc_id", "n_tokens", "ids").mapInArrow(_ranked(rank_of), "doc_id long, n_tokens long, control binary, data binary")
-        coded = coded.withColumn("c", F.crc32("data"))
+        # The range shuffle looks at its input twice, so that is what is written already; documents are coded once, after it.
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        coded = coded.repartitionByRange(parts, "doc_id", "n_tokens", "c").sortWithinPartitions("doc_id", "n_tokens", "c")
-        coded = coded.drop("c").mapInArrow(_joined, "block long, doc_ids array<long>, sizes array<long>, control binary, data binary")
-        coded.withColumn("shard", F.spark_partition_id()).write.mode("overwrite").option("compression", "none").parquet(join_uri(uri, "blocks"))
+        order = ["doc_id", "n_tokens", "crc"]
+        dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
+        blocks = dealt.mapInArrow(_joined(rank_of), "block long, doc_ids array<long>, sizes array<long>, control binary, data binary")
+        blocks.withColumn("shard", F.spark_partition_id()).write.mode("overwrite").option("compression", "none").parquet(join_uri(uri, "blocks"))
 
 
 def read_tokens(spark: SparkSession, uri: str, digests: bool = False) -> DataFrame:

@@ -3,12 +3,14 @@
 White space separates words in this vocabulary's rules, so a text's ids are its words' ids one after the
 other. Words repeat, so a worker process keeps the ids of the words it has met, at most CACHE_WORDS of them.
 A word of plain Latin letters with trailing punctuation is looked up as its lower-case letters and its
-punctuation; any other word goes to the library as it is.
+punctuation; any other word goes to the library as it is. All that holds for vocabularies that lower-case, drop white space and mark
+the ends of words; with any other one whole texts go to the library.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import sys
@@ -31,6 +33,19 @@ class _Known(dict):
         self.missed.append(word)
 
 
+def splits_words(rules: dict) -> bool:
+    """Whether a tokenizer's rules (its file) give a text's ids as those of its lower-cased words, one after the other."""
+    normal, cut, model = rules.get("normalizer") or {}, rules.get("pre_tokenizer") or {}, rules.get("model") or {}
+    first = (cut.get("pretokenizers") or [cut])[0]
+    pattern = (first.get("pattern") or {}).get("Regex", "")
+    return (
+        any(x.get("type") == "Lowercase" for x in normal.get("normalizers") or [normal])
+        and first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
+        and pattern.endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        and model.get("end_of_word_suffix") == "</w>" and model.get("dropout") is None
+    )
+
+
 class WordEncoder:
     """Encodes texts word by word; ``encode(text)`` gives the ids as little-endian unsigned 16-bit bytes."""
 
@@ -44,6 +59,7 @@ class WordEncoder:
         self.last = np.zeros(65536, bool)  # ids that end a word
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
+        self.by_word = splits_words(json.loads(self.tokenizer.to_str()))
         self.words = _Known()
         self.parts: dict[str, bytes] = {}
 
@@ -95,6 +111,8 @@ class WordEncoder:
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 16-bit values; a null text is empty."""
+        if not self.by_word:
+            return self._library([t or "" for t in texts])
         gc.disable()  # the many small objects here are freed by count
         self.words.missed = missed = []
         split = [list(map(self.words.__getitem__, t.encode().split())) if t else [] for t in texts]

@@ -112,3 +112,11 @@ def test_packing_loses_no_id_and_leaves_no_gap(docs, library):
 
 def test_packing_of_no_documents(docs):
     assert packing.pack(docs([]), PATH).count() == 0
+
+
+def test_a_vocabulary_without_word_ends_goes_to_the_library():
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [t for _, t in ODD] + ["Upper CASE and  two blanks\nline"]
+    encoder, whole = WordEncoder(other), Tokenizer.from_file(other)
+    assert not encoder.by_word and WordEncoder(PATH).by_word
+    assert encoder.encode_all(texts) == [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
