@@ -1,7 +1,7 @@
 """Token ids of whole texts by the tokenizers library, each distinct word encoded once per worker.
 
 White space separates words in this vocabulary's rules, so a text's ids are its words' ids one after the
-other. Words repeat, so a worker process keeps the ids of the words it has met, at most CACHE_WORDS of them.
+other. Words repeat, so a worker process keeps the ids of the words it has met lately, about CACHE_WORDS of them at most.
 A word of plain Latin letters with trailing punctuation is looked up as its lower-case letters and its
 punctuation; any other word goes to the library as it is. All that holds for vocabularies that lower-case, drop white space and mark
 the ends of words; with any other one whole texts go to the library.
@@ -25,12 +25,21 @@ _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#*$%&|]*)")
 
 
 class _Known(dict):
-    """Ids by word; a word that isn't there is noted, in order."""
+    """Ids by word; a word of the generation before comes over, one that isn't there either is noted, in order."""
 
     missed: list[bytes]
 
-    def __missing__(self, word: bytes) -> None:
-        self.missed.append(word)
+    def __init__(self, before: dict[bytes, bytes]) -> None:
+        super().__init__()
+        self.before = before
+
+    def __missing__(self, word: bytes) -> bytes | None:
+        ids = self.before.get(word)
+        if ids is None:
+            self.missed.append(word)
+        else:
+            self[word] = ids
+        return ids
 
 
 def splits_words(rules: dict) -> bool:
@@ -60,7 +69,7 @@ class WordEncoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.last[i] = token.endswith("</w>")
         self.by_word = splits_words(json.loads(self.tokenizer.to_str()))
-        self.words = _Known()
+        self.words = _Known({})
         self.parts: dict[str, bytes] = {}
 
     @classmethod
@@ -88,8 +97,9 @@ class WordEncoder:
         return out
 
     def _learn(self, missing: list[bytes]) -> None:
-        if len(self.words) + len(missing) > CACHE_WORDS:
-            self.words.clear()
+        if len(self.words) + len(missing) > CACHE_WORDS // 2:
+            self.words.before = {}
+            self.words = _Known(self.words)
         if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
         split, other, parts = [], [], set()
