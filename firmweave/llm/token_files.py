@@ -28,13 +28,16 @@ BLOCK_IDS = 1 << 16
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 
 
-def encode_block(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of ranks."""
+def encode_block(ranks: np.ndarray, counts: np.ndarray | None = None) -> tuple[bytes, bytes]:
+    """Control bytes and data bytes of ranks; with ``counts``, of that many after each other, each lot from a control byte of its own."""
     raw = np.ascontiguousarray(ranks, "<u4").view(np.uint8).reshape(-1, 4)
     size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     data = raw[np.arange(4) < size[:, None]].tobytes()
-    codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    codes[: len(ranks)] = size - 1
+    if counts is None:
+        counts = np.array([len(ranks)])
+    padded = -(-counts // 4) * 4
+    codes = np.zeros(int(padded.sum()), np.uint8)
+    codes[np.arange(len(ranks)) + np.repeat(np.cumsum(padded - counts) - (padded - counts), counts)] = size - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     return control.astype(np.uint8).tobytes(), data
@@ -91,30 +94,32 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _joined(rank_of: np.ndarray):
     """Documents in order, their ids ranked, coded and packed into blocks. A document's codes are padded to whole control bytes, so they join."""
 
-    def block(number: int, held: list) -> pa.RecordBatch:
-        ids, sizes, control, data = zip(*held, strict=True)
+    def block(number: int, docs: list, sizes: list, ids: list) -> pa.RecordBatch:
+        control, data = encode_block(rank_of[np.frombuffer(b"".join(ids), "<u2")], np.array(sizes))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
-                pa.array([ids], pa.list_(pa.int64())),
+                pa.array([docs], pa.list_(pa.int64())),
                 pa.array([sizes], pa.list_(pa.int64())),
-                pa.array([b"".join(control)], pa.binary()),
-                pa.array([b"".join(data)], pa.binary()),
+                pa.array([control], pa.binary()),
+                pa.array([data], pa.binary()),
             ],
             names=["block", "doc_ids", "sizes", "control", "data"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = 0, [], 0
+        number, size, docs, sizes, ids = 0, 0, [], [], []
         for batch in batches:
-            for doc_id, n, ids in zip(batch.column("doc_id").to_pylist(), batch.column("n_tokens").to_pylist(), batch.column("ids"), strict=True):
-                held.append((doc_id, n, *encode_block(rank_of[np.frombuffer(ids.as_buffer(), "<u2")])))
+            for doc_id, n, own in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")), strict=True):
+                docs.append(doc_id)
+                sizes.append(n)
+                ids.append(own)
                 size += n
                 if size >= BLOCK_IDS:
-                    yield block(number, held)
-                    number, held, size = number + 1, [], 0
-        if held:
-            yield block(number, held)
+                    yield block(number, docs, sizes, ids)
+                    number, size, docs, sizes, ids = number + 1, 0, [], [], []
+        if docs:
+            yield block(number, docs, sizes, ids)
 
     return run
 
