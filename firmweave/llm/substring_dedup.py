@@ -92,8 +92,8 @@ def repeated_units(docs: DataFrame, least_words: int = LEAST_UNIT) -> DataFrame:
 # --- passages ----------------------------------------------------------------------------------
 
 
-def clause_units(text: str, least: int) -> tuple[list[int], list[int], list[bytes]]:
-    """First word, end word and 128-bit digest of the units of a text."""
+def clause_units(text: str, least: int) -> tuple[list[int], list[int], list[int]]:
+    """First word, end word and 64-bit digest of the units of a text."""
     words, ends, starts = [], [], []
     for piece in _MARKS.split(text):
         found = _WORD.findall(piece)
@@ -112,7 +112,7 @@ def clause_units(text: str, least: int) -> tuple[list[int], list[int], list[byte
             break
         a.append(start)
         b.append(ends[k])
-        digests.append(xxhash.xxh3_128_digest(" ".join(low[start : ends[k]])))
+        digests.append(xxhash.xxh3_64_intdigest(" ".join(low[start : ends[k]])))
     return a, b, digests
 
 
@@ -132,10 +132,9 @@ def _units(least: int):
                     first += x
                     end += y
                     digests += d
-                digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 picked = batch.select(["doc_id", "body"]).take(pa.array(at, pa.int64()))
-                columns = [*picked.columns, pa.array(first, pa.int32()), pa.array(end, pa.int32()), pa.array(digest[:, 0]), pa.array(digest[:, 1])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "a", "b", "d1", "d2"])
+                columns = [*picked.columns, pa.array(first, pa.int32()), pa.array(end, pa.int32()), pa.array(np.array(digests, np.uint64).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "a", "b", "digest"])
 
     return run
 
@@ -191,18 +190,18 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, unit_word
     that keeps a part of it; may be the same, with an earlier place), parts (chains that the span is made of).
 
     Earliest is by doc_id (null last), body and place. Rows with one doc_id and one text are one document. Null and empty texts have no
-    units. A passage of ``least_words`` words is found if whole clauses of it have ``unit_words`` words together."""
+    units. Units are told apart by 64 bits; a chance meeting of two is no passage, because the words around them are compared. A passage of ``least_words`` words is found if whole clauses of it have ``unit_words`` words together."""
     reach = least_words - unit_words
     with Stages(docs.sparkSession) as st:
         texts = _document(docs)
-        units = st.save(texts.mapInArrow(_units(unit_words), "doc_id long, body long, a int, b int, d1 long, d2 long"), "units")
+        units = st.save(texts.mapInArrow(_units(unit_words), "doc_id long, body long, a int, b int, digest long"), "units")
         place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "body", "a")
-        firsts = units.groupBy("d1", "d2").agg(F.min(place).alias("m"), F.count("*").alias("n")).where("n > 1")
-        firsts = st.save(firsts.select("d1", "d2", F.col("m.doc_id").alias("k_doc"), F.col("m.body").alias("k_body"), F.col("m.a").alias("k_a")), "first-units")
+        firsts = units.groupBy("digest").agg(F.min(place).alias("m"), F.count("*").alias("n")).where("n > 1")
+        firsts = st.save(firsts.select("digest", F.col("m.doc_id").alias("k_doc"), F.col("m.body").alias("k_body"), F.col("m.a").alias("k_a")), "first-units")
         itself = F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("body") == F.col("k_body")) & (F.col("a") == F.col("k_a"))
-        met = units.join(firsts, ["d1", "d2"]).where(~itself).select("doc_id", "body", "a", "b", "k_doc", "k_body", (F.col("a") - F.col("k_a")).alias("shift"))
+        met = units.join(firsts, "digest").where(~itself).select("doc_id", "body", "a", "b", "k_doc", "k_body", (F.col("a") - F.col("k_a")).alias("shift"))
         line = ["doc_id", "body", "k_doc", "k_body", "shift"]
-        chains = _islands(st.save(met.distinct(), "matches"), line, "a", "b").groupBy(*line, "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+        chains = _islands(st.save(met, "matches"), line, "a", "b").groupBy(*line, "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
         chains = st.save(chains.withColumns({"k_a": F.col("a") - F.col("shift"), "k_b": F.col("b") - F.col("shift")}).drop("shift", "island"), "chains")
         own = chains.select("doc_id", "body", "a", "b")
         asked = own.unionByName(chains.select(F.col("k_doc").alias("doc_id"), F.col("k_body").alias("body"), F.col("k_a").alias("a"), F.col("k_b").alias("b")))
@@ -211,7 +210,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, unit_word
         asked = st.save(asked, "asked")
         same = (F.col("body") == F.col("q_body")) & F.col("doc_id").eqNullSafe(F.col("q_doc"))
         around = texts.join(asked, same).select("doc_id", "body", "text", "asked").mapInArrow(_surroundings(reach), _AROUND)
-        around = st.save(around.dropDuplicates(["doc_id", "body", "a", "b"]), "surroundings")
+        around = st.save(around, "surroundings")
         mine = around.select(F.col("doc_id").alias("x"), "body", "a", "b", "before", "after", "starts", "ends")
         theirs = around.select(
             F.col("doc_id").alias("y"), F.col("body").alias("k_body"), F.col("a").alias("k_a"), F.col("b").alias("k_b"), F.col("before").alias("k_before"), F.col("after").alias("k_after")
@@ -219,10 +218,11 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, unit_word
         both = chains.join(mine, ["body", "a", "b"]).where("doc_id <=> x").join(theirs, ["k_body", "k_a", "k_b"]).where("k_doc <=> y")
         both = both.withColumns({"more": _agreeing(F.col("before"), F.col("k_before")), "on": _agreeing(F.col("after"), F.col("k_after"))})
         spans = both.select(
-            "doc_id", "body", "k_doc", (F.col("a") - F.col("more")).alias("first"), (F.col("b") + F.col("on")).alias("past"),
+            "doc_id", "body", "k_doc", "k_body", "k_a", (F.col("a") - F.col("more")).alias("first"), (F.col("b") + F.col("on")).alias("past"),
             F.get("starts", F.col("more")).alias("start"), F.get("ends", F.col("on")).alias("end"),
         ).where(F.col("past") - F.col("first") >= least_words)
         kept = F.min(F.struct(F.col("k_doc").isNull().alias("last"), "k_doc")).alias("kept")
+        spans = spans.distinct()  # a row that is there twice has met itself
         spans = _islands(st.save(spans, "spans"), ["doc_id", "body"], "first", "past").groupBy("doc_id", "body", "island").agg(
             F.min("start").alias("start"), F.max("end").alias("end"), (F.max("past") - F.min("first")).cast("long").alias("n_words"), kept, F.count("*").alias("parts")
         )
