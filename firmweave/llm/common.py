@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import threading
+from collections.abc import Iterable, Iterator
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from firmweave.storage import scratch_dir
+from firmweave.storage import delete, scratch_dir
 
 #: Bytes of text handled at once inside a task; one longer document is handled alone.
 CHUNK_BYTES = 2_000_000
@@ -23,30 +25,62 @@ _POWER = np.uint64(0x9E3779B97F4A7C15)
 
 class Stages:
     """Intermediates written below ``spark.checkpoint.dir`` and read again, so that no result
-    depends on the lineage before them. All but the kept ones are removed on leaving."""
+    depends on the lineage before them. All but the kept ones are removed on leaving, or earlier by ``free``. What an operator keeps
+    while another one's stages are open is the other one's to remove."""
+
+    _open: ClassVar[threading.local] = threading.local()
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self._uris: list[str] = []
+        self._uris: dict[str, None] = {}
 
     def __enter__(self) -> Stages:
+        self._stack().append(self)
         return self
 
     def __exit__(self, *_: object) -> None:
+        self._stack().remove(self)
         self.clear()
 
+    @classmethod
+    def _stack(cls) -> list[Stages]:
+        return cls._open.__dict__.setdefault("stack", [])
+
     def save(self, df: DataFrame, purpose: str, keep: bool = False) -> DataFrame:
         uri = scratch_dir(self.spark, purpose)
         df.write.option("compression", "zstd").parquet(uri)
-        if not keep:
-            self._uris.append(uri)
-        return self.spark.read.schema(df.schema).parquet(uri)
+        owners = [s for s in self._stack() if s is not self]
+        owner = owners[-1] if keep and owners else None if keep else self
+        if owner is not None:
+            owner._uris[uri] = None
+        saved = self.spark.read.schema(df.schema).parquet(uri)
+        saved._saved_at = uri
+        return saved
+
+    def free(self, *saved: DataFrame) -> None:
+        """Remove what ``save`` returned, before the end; results that are not written yet must not need it."""
+        for df in saved:
+            del self._uris[df._saved_at]
+            delete(self.spark, df._saved_at)
+
+    def keep_only(self, saved: DataFrame) -> None:
+        """Remove everything else that is here."""
+        for uri in [u for u in self._uris if u != saved._saved_at]:
+            del self._uris[uri]
+            delete(self.spark, uri)
 
     def clear(self) -> None:
         for uri in self._uris:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(uri)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        self._uris = []
+            delete(self.spark, uri)
+        self._uris = {}
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """A column name like ``name`` that none of the columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -1,83 +1,130 @@
 """Fuzzy duplicate lines by SimHash.
 
 A line is normalised (case, punctuation, digits to 0) and lines with one digest are one class. Each class has a 64-bit
-SimHash of the character n-grams of its words. Two classes are linked if their SimHashes differ in at most DISTANCE bits and the
-edit similarity of their normalised lines is at least the threshold. A tenth of a line's characters moves far more bits than
-blocks of a SimHash could bear, so candidates are the lines that share a key made of their text (see ``line_keys``).
+SimHash of the character n-grams of its words. The SimHash is cut into BLOCKS blocks; classes of like length that share a block are
+candidates, and by the pigeonhole principle that is every pair within BLOCKS - 1 bits. Edit-similar lines mostly are that close, but a
+tenth of a line's characters can move more bits than any usable number of blocks can bear. Pairs beyond that reach are met
+by their text: longer lines by the least of their runs of words, lines under SHORT characters by pieces of characters.
+Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold.
 Of every connected group of classes the earliest line stays.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmweave.llm.common import Stages, mix64, text_chunks, word_hashes, word_spans
-from firmweave.llm.linking import link_groups, shared_buckets
+from firmweave.llm.common import Stages, mix64, text_chunks, unused, word_hashes, word_spans
+from firmweave.llm.linking import SMALL, components, find_links
 
-#: Bits, so many that a tenth of a line's characters hardly ever moves more.
-DISTANCE = 24
-#: Blocks of a SimHash for ``bucket_keys``, which finds pairs within BLOCK_DISTANCE bits.
-BLOCKS = 6
-BLOCK_DISTANCE = 3
 SIMILARITY = 0.9
-#: Lines of fewer words are compared as they are.
-LEAST_WORDS = 1
+#: Blocks of a SimHash: pairs within BLOCKS - 1 bits share one.
+BLOCKS = 4
+#: Bits within which a candidate's text is compared; lines under FEW characters move more of them by one edit.
+DISTANCE = 12
+FEW = 80
+FEW_DISTANCE = 24
+#: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
+SIZE_STEP = 1.6
 #: Letters of an n-gram of the SimHash, with a blank at either end of a word.
 GRAM = 3
-#: Lines of fewer characters have keys by pieces of characters (no pair within the similarity is missed), others by runs of words.
+#: Words of a run, and runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
+RUN = 3
+RUN_KEYS = 3
+ALL_RUNS = 16
+#: Lines of fewer characters have keys by pieces of characters, such that no pair within a tenth of the longer one is missed.
 SHORT = 40
-#: Up to so many runs all are keys, above the least of each WINDOW runs.
-ALL_RUNS = 14
-WINDOW = 6
-#: A run of fewer letters is a key only where no better one is there.
-LEAST_RUN = 12
 #: Classes of a chunk, about, where what is left of a large bucket is compared.
 CHUNK = 2048
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _GAPS = re.compile(r"[\W_]+")
+_TEXT_GAPS = re.compile(r"(?:[^\w\n]|_)+")
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
+#: Lower case, digits to 0, anything but letters, digits and line breaks to a blank, for texts of Latin-1 characters.
+_LATIN = "".join("\n" if c == "\n" else "0" if c in "123456789" else c.lower() if c.isalnum() else " " for c in map(chr, range(256))).encode("latin-1")
 
 
 def normal_line(line: str) -> bytes:
     return _GAPS.sub(" ", line.lower()).strip().encode().translate(_DIGITS)
 
 
+def normal_lines(text: str) -> list[bytes]:
+    """``normal_line`` of every line of a text."""
+    try:
+        lines = text.encode("latin-1").translate(_LATIN).split(b"\n")
+    except UnicodeEncodeError:
+        return [x.strip() for x in _TEXT_GAPS.sub(" ", text.lower()).encode().translate(_DIGITS).split(b"\n")]
+    lines = [b" ".join(x.split(b" ")) if b"  " not in x else b" ".join(filter(None, x.split(b" "))) for x in lines]
+    return [(x if x.isascii() else x.decode("latin-1").encode()).strip(b" ") for x in lines]
+
+
+def _counts(bits: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows of 64 zeros and ones, at most 255 rows to a run: eight sums to a machine word."""
+    return np.add.reduceat(bits.view(np.uint64), first, axis=0).view(np.uint8)
+
+
 def simhashes(lines: list[bytes]) -> np.ndarray:
     """64-bit SimHash of the n-grams of each line's words; a tie of a bit is 0, as for a line without words."""
+    return _hashed(lines)[0]
+
+
+def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """SimHashes, and the keys by runs of words: line numbers and keys."""
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lines], dtype=np.int64)))
     data = np.frombuffer(b"".join(lines), np.uint8)
     starts, ends, first = word_spans(data, offsets)
-    counts = np.diff(first)
     out = np.zeros(len(lines), np.uint64)
-    full = np.flatnonzero(counts)
-    if len(full):
-        _, at, word = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        text = np.frombuffer(b" " + b"  ".join(data[a:b].tobytes() for a, b in zip(starts[at], ends[at], strict=True)) + b" ", np.uint8)
-        sizes = ends[at] - starts[at] + 3 - GRAM  # n-grams of " word "
-        skip = np.repeat(np.cumsum(sizes + GRAM - 1) - (sizes + GRAM - 1), sizes)
-        place = skip + np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        codes = np.zeros(len(place), np.uint64)
-        for k in range(GRAM):
-            codes = codes << np.uint64(8) | text[place + k]
-        bits = np.unpackbits(mix64(codes * _STEP + np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1).view(np.int8) * np.int8(2) - np.int8(1)
-        of_word = np.add.reduceat(bits, np.cumsum(sizes) - sizes, axis=0, dtype=np.int32)
-        ones = np.add.reduceat(of_word[word], first[full], axis=0, dtype=np.int32)
-        out[full] = np.packbits(ones > 0, axis=1).view(np.uint64).reshape(-1)
-    return out
-
-
-def _hash(*parts: object) -> int:
-    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "little", signed=True)
+    full = np.flatnonzero(np.diff(first))
+    if not len(full):
+        return out, np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    words = word_hashes(data, starts, ends)
+    _, at, word = np.unique(words, return_index=True, return_inverse=True)
+    sizes = ends[at] - starts[at]  # n-grams of " word "
+    base = np.cumsum(sizes + 2) - (sizes + 2)
+    inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    text = np.full(int((sizes + 2).sum()), 32, np.uint8)
+    place = np.repeat(base, sizes) + inner
+    text[place + 1] = data[np.repeat(starts[at], sizes) + inner]
+    codes = np.zeros(len(place), np.uint32)
+    for k in range(GRAM):
+        codes = codes << np.uint32(8) | text[place + k]
+    kinds, kind = np.unique(codes, return_inverse=True)
+    bits = np.unpackbits(mix64(kinds.astype(np.uint64) * _STEP + np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1)
+    edges = np.cumsum(sizes) - sizes
+    of_word = _counts(bits[kind], edges).astype(np.uint16)
+    for w in np.flatnonzero(sizes > 255):
+        of_word[w] = np.minimum(bits[kind[edges[w] : edges[w] + sizes[w]]].sum(0, dtype=np.int64), 65535)
+    grams = np.add.reduceat(sizes[word], first[full])
+    ones = np.add.reduceat(of_word.view(np.uint64)[word], first[full], axis=0).view(np.uint16).astype(np.int64)
+    for i in np.flatnonzero(grams > 65535):  # more than four sums to a machine word can hold
+        a, b = first[full[i]], first[full[i] + 1]
+        ones[i] = sum(of_word[word[c : min(c + 10_000, b)]].sum(0, dtype=np.int64) for c in range(a, b, 10_000))
+    out[full] = np.packbits(2 * ones > grams[:, None], axis=1).view(np.uint64).reshape(-1)
+    # Runs of RUN words of one line; a shorter line is one run of what it has.
+    counts = np.diff(first)[full]
+    size, line = np.repeat(counts, counts), np.repeat(full, counts)
+    left = np.repeat(first[1:][full], counts) - np.arange(len(words))
+    run = words.copy()
+    for k in range(1, RUN):
+        run[:-k] = mix64(run[:-k]) + np.where(left[:-k] > k, words[k:], np.uint64(0))
+    run = mix64(run + _STEP)
+    whole = (left >= RUN) | (left == size) & (size < RUN)
+    every = whole & (size <= ALL_RUNS)
+    numbers, keys = [line[every]], [run[every]]
+    part, none = run % np.uint64(RUN_KEYS), np.uint64(2**64 - 1)
+    for k in range(RUN_KEYS):
+        least = np.minimum.reduceat(np.where(whole & (part == k), run, none), first[full])
+        has = (least != none) & (counts > ALL_RUNS)
+        numbers.append(full[has])
+        keys.append(least[has])
+    return out, np.concatenate(numbers), np.concatenate(keys)
 
 
 def _pieces(line: str) -> Iterator[int]:
@@ -85,10 +132,14 @@ def _pieces(line: str) -> Iterator[int]:
 
     With one edit each line without one of its characters, else the longer line's pieces, one more than edits, of which one
     is whole in the other line, not far from its place."""
+
+    def key(kind: int, part: str) -> int:
+        return xxhash.xxh3_64_intdigest(part, kind)
+
     size = len(line)
     if 9 <= size < 20:
-        yield _hash(0, line)
-        yield from (_hash(0, line[:i] + line[i + 1 :]) for i in range(size))
+        yield key(0, line)
+        yield from (key(0, line[:i] + line[i + 1 :]) for i in range(size))
     for long in range(max(size, 20), min(size + 3, SHORT - 1) + 1):
         most, shift = long // 10, size - long
         if -shift > most:
@@ -97,81 +148,100 @@ def _pieces(line: str) -> Iterator[int]:
         for i in range(most + 1):
             a, n = edges[i], edges[i + 1] - edges[i]
             for p in range(max(0, a - i, a + shift - (most - i)), min(size - n, a + i, a + shift + most - i) + 1):
-                yield _hash(long, i, line[p : p + n])
+                yield key(100 * long + i, line[p : p + n])
 
 
-def _runs(line: str) -> Iterator[int]:
-    """Keys of a longer line: hashes of runs of words, so that lines that share some eight words in a row share one."""
-    words = line.split(" ")
-    for width in (3, 2, 1):
-        if width == 3 and len(words) < 6 or width == 2 and not 4 <= len(words) <= 7 or width == 1 and len(words) > 4:
-            continue
-        runs = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
-        held = [(len(x) < LEAST_RUN, zlib.crc32(x.encode()), x) for x in runs]
-        if len(held) <= ALL_RUNS:
-            picked = {x for x in held if not x[0]} or set(held)
-        else:
-            picked = {min(held[i : i + WINDOW]) for i in range(len(held) - WINDOW + 1)}
-        yield from (_hash(x[2]) for x in picked)
+def text_keys(lines: list[bytes]) -> list[list[int]]:
+    """The distinct keys of each normalised line that are made of its text."""
+    return _key_lists([x.decode() for x in lines], *_hashed(lines)[1:]).to_pylist()
 
 
-def line_keys(line: bytes) -> list[int]:
-    """Distinct keys of a normalised line; lines that share one are compared."""
-    text = line.decode()
-    return sorted({*(_pieces(text) if len(text) < SHORT else ()), *(_runs(text) if len(text) >= SHORT * 9 // 10 else ())})
+def _key_lists(lines: list[str], numbers: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """Run keys of the lines that are not too short for them, and the pieces of short lines, as a list per line."""
+    sizes = np.array([len(x) for x in lines], np.int64)
+    has = sizes[numbers] >= SHORT * 9 // 10
+    short, own = [], []
+    for i in np.flatnonzero(sizes < SHORT).tolist():
+        found = list(_pieces(lines[i]))
+        short += [i] * len(found)
+        own += found
+    numbers = np.concatenate((numbers[has], np.array(short, np.int64)))
+    keys = np.concatenate((keys[has], np.array(own, np.uint64)))
+    by = np.lexsort((keys, numbers))
+    numbers, keys = numbers[by], keys[by]
+    if len(keys):
+        fresh = np.concatenate(([True], (numbers[1:] != numbers[:-1]) | (keys[1:] != keys[:-1])))
+        numbers, keys = numbers[fresh], keys[fresh]
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(numbers, minlength=len(lines)))))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64), pa.int64()))
 
 
-def _lines(batch: pa.RecordBatch, a: int, b: int) -> Iterator[tuple[int, int, bytes]]:
-    for i, text in enumerate(batch.column("text").slice(a, b - a).to_pylist(), a):
-        for k, line in enumerate(text.split("\n") if text else ()):
-            normal = normal_line(line)
-            if normal:
-                yield i, k, normal
+def size_classes(size: Column, similarity: float) -> Column:
+    """The class of a length and that of the greatest length which may be similar to it: two similar lengths share one."""
+    step = F.lit(float(np.log(SIZE_STEP)))
+    return F.array_distinct(F.array(F.floor(F.log(size) / step), F.floor(F.log(size / similarity) / step)))
 
 
-def _digests(lines: list[bytes]) -> list[pa.Array]:
-    found = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in lines), np.int64).reshape(-1, 2)
-    return [pa.array(found[:, 0]), pa.array(found[:, 1])]
+def block_keys(simhash: Column, size: Column, similarity: float = SIMILARITY) -> Column:
+    """A key per block of the SimHash and class of lengths: within BLOCKS - 1 bits a pair of similar lengths shares one."""
+    edges = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
+    blocks = F.array(*[F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) * BLOCKS + k for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))])
+    return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(blocks, lambda b: F.xxhash64(c, b))))
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, _, _ in text_chunks(batch):
-            found = list(_lines(batch, a, b))
-            at, number, lines = ([x[k] for x in found] for k in range(3))
-            picked = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
-            sizes = pa.array([len(x.decode()) for x in lines], pa.int64())
-            columns = [*picked.columns, pa.array(number, pa.int64()), sizes, pa.array(simhashes(lines).view(np.int64)), *_digests(lines)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "d1", "d2"])
+def _bits(size: np.ndarray) -> np.ndarray:
+    """Bits within which two lines, the longer one of ``size`` characters, are compared."""
+    return np.where(size < FEW, FEW_DISTANCE, DISTANCE)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, _, _ in text_chunks(batch):
-            lines = list({x[2]: None for x in _lines(batch, a, b) if x[2].count(b" ") + 1 >= LEAST_WORDS})
-            yield pa.RecordBatch.from_arrays([*_digests(lines), pa.array([x.decode() for x in lines], pa.string())], names=["d1", "d2", "line"])
+def _near(h1: np.ndarray, n1: np.ndarray, h2: np.ndarray, n2: np.ndarray, similarity: float) -> np.ndarray:
+    longer = np.maximum(n1, n2)
+    return (np.abs(n1 - n2) <= (1 - similarity) * longer + 1e-9) & (np.bitwise_count((h1 ^ h2).view(np.uint64)) <= _bits(longer))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All there is to know of every line, from one pass over the texts."""
     for batch in batches:
         for a, b, _, _ in text_chunks(batch):
-            lines = list({x[2]: None for x in _lines(batch, a, b) if x[2].count(b" ") + 1 >= LEAST_WORDS})
-            keys = pa.array([line_keys(x) for x in lines], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*_digests(lines), keys], names=["d1", "d2", "keys"])
+            at, number, lines = [], [], []
+            for i, text in enumerate(batch.column("text").slice(a, b - a).to_pylist(), a):
+                if text:
+                    for k, line in enumerate(normal_lines(text)):
+                        if line:
+                            at.append(i)
+                            number.append(k)
+                            lines.append(line)
+            hashes, numbers, keys = _hashed(lines)
+            texts = [x.decode() for x in lines]
+            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in lines]), np.int64).reshape(-1, 2)
+            picked = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
+            columns = [
+                *picked.columns, pa.array(number, pa.int32()), pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)),
+                pa.array(digests[:, 0]), pa.array(digests[:, 1]), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "d1", "d2", "keys", "line"])
 
 
-def bucket_keys(simhash: Column, blocks: int = BLOCKS, distance: int = BLOCK_DISTANCE) -> Column:
-    """Keys of every choice of ``blocks - distance`` blocks, with the choice's number in the low bits."""
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    parts = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    keys = []
-    for i, choice in enumerate(combinations(range(blocks), blocks - distance)):
-        keys.append(F.xxhash64(*[parts[k] for k in choice]).bitwiseAND(F.lit(-32)).bitwiseOR(F.lit(i)))
-    return F.array(*keys)
+def _near_pairs(similarity: float):
+    """Near pairs (a, b) of small buckets, all buckets of a batch at once: each item against the one 1, 2, 3 ... places on."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch.column("items")
+            sizes = np.diff(items.offsets.to_numpy())
+            ids, hashes, chars = (items.flatten().field(k).to_numpy() for k in range(3))
+            left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))  # items of the bucket from here on
+            for shift in range(1, int(sizes.max(initial=1))):
+                i = np.flatnonzero(left > shift)
+                i = i[_near(hashes[i], chars[i], hashes[i + shift], chars[i + shift], similarity)]
+                x, y = ids[i], ids[i + shift]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-def _close(most: float):
-    """Pairs of two chunks that differ in label, are within the distance and of about one length."""
+    return run
+
+
+def _close(similarity: float):
+    """Near pairs of two chunks that differ in label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,8 +251,7 @@ def _close(most: float):
                 )
                 a, b = [], []
                 for i in range(len(ids)):
-                    alike = np.abs(sizes2 - sizes[i]) <= most * np.maximum(sizes2, sizes[i]) + 1e-9
-                    near = np.flatnonzero(alike & (np.bitwise_count((hashes2 ^ hashes[i]).view(np.uint64)) <= DISTANCE) & (labels2 != labels[i]))
+                    near = np.flatnonzero((labels2 != labels[i]) & _near(hashes2, sizes2, hashes[i], sizes[i], similarity))
                     a.append(np.full(len(near), ids[i]))
                     b.append(ids2[near])
                 a, b = np.concatenate(a), np.concatenate(b)
@@ -191,40 +260,51 @@ def _close(most: float):
     return run
 
 
-def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "row") -> DataFrame:
     """A row per line to remove: row, doc_id, line_no, kept_doc_id, kept_line_no, occurrences (lines of the group).
 
-    ``docs`` may bring a column ``row`` that numbers its rows; else rows are numbered as they are read. The kept
+    If ``docs`` has a long column of the name ``row`` it numbers its rows; else rows are numbered as they are read. The kept
     line is the earliest of the group by doc_id (null last), row and place. Lines without letters or digits, null and
     empty texts take no part."""
     spark = docs.sparkSession
     with Stages(spark) as st:
-        row = F.col("row") if "row" in docs.columns else F.monotonically_increasing_id().alias("row")
-        texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "text")
-        schema = "row long, doc_id long, line_no long, size long, simhash long, d1 long, d2 long"
-        lines = st.save(texts.mapInArrow(_signed, schema), "lines")
+        numbered = dict(docs.dtypes).get(row) == "bigint"
+        texts = docs.select((F.col(row) if numbered else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+        schema = "row long, doc_id long, line_no int, size int, simhash long, d1 long, d2 long, keys array<long>, line string"
+        lines = st.save(texts.mapInArrow(_classed, schema), "lines")
         place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line_no")
-        classes = lines.groupBy("d1", "d2", "size", "simhash").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        known = [F.any_value(c).alias(c) for c in ("size", "simhash", "keys")]
+        classes = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *known)
         classes = st.save(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-        keyed = texts.select("text").mapInArrow(_keyed, "d1 long, d2 long, keys array<long>").dropDuplicates(["d1", "d2"])
-        keyed = keyed.join(classes.select("d1", "d2", "id"), ["d1", "d2"])
-        shared = shared_buckets(st, keyed.select("id", F.explode("keys").alias("key")))
-        members = st.save(shared.select("id").distinct(), "members")
-        held = st.save(classes.select("id", "size", "simhash", "d1", "d2").join(members, "id"), "candidates")
-        alike = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * F.greatest("na", "nb") + 1e-9
-        within = alike & (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= DISTANCE)
-        words = texts.select("text").mapInArrow(_texts, "d1 long, d2 long, line string").join(held.select("d1", "d2", "id"), ["d1", "d2"])
-        words = st.save(words.dropDuplicates(["d1", "d2"]).select("id", "line"), "candidate-lines")
+        keyed = classes.select("id", "size", "simhash", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key"))
+        met = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+        held = keyed.join(met, "key")
+        # A small bucket is a row; a large one stays as rows, since a key may be in any share of all lines.
+        few = held.where(f"k <= {SMALL}").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size")).alias("items"))
+        near = st.save(few.select("items").mapInArrow(_near_pairs(similarity), "a long, b long").distinct(), "near")
+        large = st.save(held.where(f"k > {SMALL}").select("key", "id"), "large")
+        members = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct()
+        held = st.save(classes.select("id", "size", "simhash", "d1", "d2").join(st.save(members, "members"), "id"), "candidates")
+        words = lines.select("d1", "d2", "line").join(held.select("d1", "d2", "id"), ["d1", "d2"]).select("id", "line").dropDuplicates(["id"])
+        words = st.save(words, "candidate-lines")
 
         def test(pairs: DataFrame) -> DataFrame:
-            hashes = held.select("id", "size", "simhash")
-            near = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within).select("a", "b")
-            full = st.save(near, "within").join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
+            """The pairs (a, b) whose lines are similar."""
+            full = pairs.join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
             most = F.floor((1 - similarity) * F.greatest(F.length("la"), F.length("lb")) + 1e-9).cast("int")
             full = full.withColumn("most", most).where(F.abs(F.length("la") - F.length("lb")) <= F.col("most"))
             # With a bound only the cells near the diagonal are filled; -1 stands for beyond it.
             return full.where("levenshtein(la, lb, most) >= 0").select("a", "b")
 
+        def close(pairs: DataFrame) -> DataFrame:
+            """The same of pairs that are not known to be near."""
+            hashes = held.select("id", "size", "simhash")
+            longer = F.greatest("na", "nb")
+            within = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * longer + 1e-9
+            bits = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= F.when(longer < FEW, FEW_DISTANCE).otherwise(DISTANCE)
+            pairs = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within & bits).select("a", "b")
+            return test(st.save(pairs, "within"))
+
         def chunked(rows: DataFrame) -> DataFrame:
             chunks = st.save(rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "chunks")
             items = rows.join(held.select("id", "size", "simhash"), "id").join(chunks, "key")
@@ -232,17 +312,20 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash", "size")).alias("items")), "packs")
             odd = packs.where("not main").select("key", F.col("chunk").alias("c"), F.col("items").alias("left"))
             pairs = odd.join(packs.withColumnRenamed("items", "right"), "key").where("main or chunk <= c")
-            pairs = pairs.select("left", "right").mapInArrow(_close(1 - similarity), "a long, b long").distinct()
+            pairs = pairs.select("left", "right").mapInArrow(_close(similarity), "a long, b long").distinct()
             return test(st.save(pairs, "close"))
 
-        groups = link_groups(st, shared, test, chunked)
+        links = st.save(test(near), "links")
+        others = find_links(st, large, close, chunked)
+        groups = components(st, links if others is None else links.unionByName(others))
         named = st.save(classes.join(groups, "id", "left").select("d1", "d2", "first", "n", F.coalesce("label", "id").alias("label")), "named")
         firsts = named.groupBy("label").agg(F.min("first").alias("m"), F.sum("n").alias("occurrences")).where("occurrences > 1")
         kept = st.save(named.select("d1", "d2", "label").join(st.save(firsts, "firsts"), "label").select("d1", "d2", "m", "occurrences"), "kept")
         out = lines.select("row", "doc_id", "line_no", "d1", "d2").join(kept, ["d1", "d2"])
         out = out.where("row <> m.row or line_no <> m.line_no")
+        number = F.col("line_no").cast("long").alias("line_no")
         return st.save(
-            out.select("row", "doc_id", "line_no", F.col("m.doc_id").alias("kept_doc_id"), F.col("m.line_no").alias("kept_line_no"), "occurrences"),
+            out.select("row", "doc_id", number, F.col("m.doc_id").alias("kept_doc_id"), F.col("m.line_no").cast("long").alias("kept_line_no"), "occurrences"),
             "removed-lines",
             keep=True,
         )
@@ -252,16 +335,18 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, each without the lines to remove; the other columns as they are, but for n_chars if there is one.
 
     A document may be left with an empty text; it stays a row."""
+    row = unused("row", docs.columns)
     with Stages(docs.sparkSession) as st:
-        rows = st.save(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-        gone = removed_lines(rows, similarity)
-        gone = st.save(gone.groupBy("row").agg(F.collect_list("line_no").alias("gone")), "gone")  # bounded by the document
+        rows = st.save(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        found = removed_lines(rows, similarity, row)
+        gone = unused("gone", [*docs.columns, row])
+        numbers = found.groupBy(F.col("row").alias(row)).agg(F.collect_list("line_no").alias(gone))  # bounded by the document
         names = [c for c in docs.columns if c != "text"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 out = []
-                for text, numbers in zip(batch.column("text"), batch.column("gone"), strict=True):
+                for text, numbers in zip(batch.column("text"), batch.column(gone), strict=True):
                     text, numbers = text.as_py(), numbers.as_py()
                     if text and numbers:
                         numbers = set(numbers)
@@ -270,7 +355,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.string())], names=[*names, "text"])
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-        out = rows.join(gone, "row", "left").select(*names, "text", "gone").mapInArrow(run, f"{schema}, text string")
+        out = rows.join(st.save(numbers, "gone"), row, "left").select(*names, "text", gone).mapInArrow(run, f"{schema}, text string")
         if "n_chars" in docs.columns:
             out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
         return st.save(out.select(docs.columns), "line-deduplicated", keep=True)

@@ -62,7 +62,15 @@ def shared_buckets(st: Stages, keys: DataFrame, save_keys: bool = True) -> DataF
 
 
 def link_groups(st: Stages, shared: DataFrame, test: Test, chunked: Test, rounds: int = ROUNDS) -> DataFrame:
-    """(id, label) of the items of ``shared`` that are linked with another; label is the smallest id of the group.
+    """(id, label) of the items of ``shared`` that are linked with another; label is the smallest id of the group."""
+    links = find_links(st, shared, test, chunked, rounds)
+    if links is None:
+        return shared.select("id", F.col("id").alias("label")).limit(0)
+    return components(st, links)
+
+
+def find_links(st: Stages, shared: DataFrame, test: Test, chunked: Test, rounds: int = ROUNDS) -> DataFrame | None:
+    """Links (a, b) that make the groups which all links between items of one key would make; nothing if there is no pair to test.
 
     ``test`` takes distinct pairs (a, b), a < b, and returns those linked. ``chunked`` takes (key, id, main, label)
     and returns the links (a, b) between items of one key that differ in label, at least one of them not main."""
@@ -105,6 +113,4 @@ def link_groups(st: Stages, shared: DataFrame, test: Test, chunked: Test, rounds
         open_rows = st.save(named.join(mixed, "key"), "open")
         if open_rows.isEmpty():
             break
-    if links is None:
-        return shared.select("id", F.col("id").alias("label")).limit(0)
-    return components(st, links)
+    return links

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from firmweave.llm.common import Stages, text_chunks, word_spans
+from firmweave.llm.common import Stages, text_chunks, unused, word_spans
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 256
@@ -228,21 +228,24 @@ def word_counts_taken(docs: DataFrame, **options) -> DataFrame:
         return st.save(Mix(st, docs, **options).taken(), "taken", keep=True)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(pieces: str):
     """The texts of the pieces of each document: from a word's first byte to the next piece's, white space kept."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            row = batch.slice(r, 1)
-            data = np.frombuffer(row.column("text")[0].as_buffer(), np.uint8)
-            starts, _, _ = word_spans(data, np.array([0, len(data)]))
-            bounds = np.append(starts, len(data))
-            bounds[0] = 0
-            texts, raw = [], data.tobytes()
-            spans = row.column("spans")[0].as_py()
-            for s in spans:
-                texts.append(raw[bounds[s["from"]] : bounds[s["from"] + s["length"]]].decode())
-            keep = [pa.concat_arrays([row.column(c)] * len(texts)) for c in row.schema.names if c not in ("text", "spans")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(texts, pa.string())], names=[*[c for c in row.schema.names if c not in ("text", "spans")], "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [c for c in batch.schema.names if c not in ("text", pieces)]
+            for r in range(batch.num_rows):
+                row = batch.slice(r, 1)
+                data = np.frombuffer(row.column("text")[0].as_buffer(), np.uint8)
+                starts, _, _ = word_spans(data, np.array([0, len(data)]))
+                bounds = np.append(starts, len(data))
+                bounds[0] = 0
+                raw = data.tobytes()
+                texts = [raw[bounds[s["from"]] : bounds[s["from"] + s["length"]]].decode() for s in row.column(pieces)[0].as_py()]
+                keep = [pa.concat_arrays([row.column(c)] * len(texts)) for c in names]
+                yield pa.RecordBatch.from_arrays([*keep, pa.array(texts, pa.string())], names=[*names, "text"])
+
+    return run
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
@@ -254,11 +257,12 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
         span = F.struct("from", "length")
         spans = mix.pieces().groupBy("source_no", "start").agg(F.collect_list(span).alias("spans"))  # bounded by the document
         named = mix.documents.where("size > 0").join(spans, ["source_no", "start"])
-        named = st.save(named.select("h", "spans"), "spans")
+        key, pieces = unused("h", docs.columns), unused("spans", docs.columns)
+        named = st.save(named.select(F.col("h").alias(key), F.col("spans").alias(pieces)), "spans")
         names = [c for c in docs.columns if c not in ("text", "n_chars")]
-        met = docs.withColumn("h", _key()).dropDuplicates(["h"]).join(named, "h")
+        met = docs.withColumn(key, _key()).dropDuplicates([key]).join(named, key)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names)
-        out = met.select(*names, "text", "spans").mapInArrow(_cut, f"{schema}, text string")
+        out = met.select(*names, "text", pieces).mapInArrow(_cut(pieces), f"{schema}, text string")
         if "n_chars" in docs.columns:
             out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
         return st.save(out.select(docs.columns), "mixed", keep=True)

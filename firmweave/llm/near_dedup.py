@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmweave.llm.common import Stages, lower_ascii, mix64, text_chunks, word_hashes, word_spans
+from firmweave.llm.common import Stages, lower_ascii, mix64, text_chunks, unused, word_hashes, word_spans
 from firmweave.llm.linking import link_groups, shared_buckets
 
 REGISTERS = 96
@@ -278,7 +278,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
 
     A document whose set of shingles is empty stays."""
     with Stages(docs.sparkSession) as st:
-        rows = st.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-        found = near_duplicates(rows, width, percent, row="_row")
-        gone = st.save(found.where("not kept").select(F.col("row").alias("_gone")), "dropped")
-        return st.save(rows.join(gone, rows._row == gone._gone, "left_anti").drop("_row"), "near-deduplicated", keep=True)
+        row = unused("_row", docs.columns)
+        rows = st.save(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+        found = near_duplicates(rows, width, percent, row=row)
+        gone = st.save(found.where("not kept").select(F.col("row").alias(row)), "dropped")
+        return st.save(rows.join(gone, row, "left_anti").select(docs.columns), "near-deduplicated", keep=True)
