@@ -3,8 +3,9 @@
 For each language the n-grams of ORDER characters of its training texts are counted; the lower orders count in how many
 contexts an n-gram is seen. All languages share one table per order: sorted 64-bit n-gram hashes and, for each language,
 the smoothed log-probability of the last character after the others. A text is looked up once per character for all
-languages; the language of least cross-entropy per character wins. A text is rejected if that cross-entropy
-is far beyond what texts found to be of that language and length have, judged by the quartiles over all of them.
+languages; the language of least cross-entropy per character wins. The models are fitted on a bounded sample of the labelled
+texts, the same number of each language, chosen by their hashes, and keep all its n-grams. A text is rejected if its cross-entropy
+is far beyond what held-out texts of that sample have that are of its language and length, judged by their quartiles.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from firmweave.llm.common import Stages, mix64, text_chunks
+from firmweave.llm.common import Stages, mix64, text_chunks, unused
 
 ORDER = 4
 DISCOUNT = 0.75
-#: The model holds the most frequent n-grams of each language: an equal share of so many for each, so none displaces another's.
-MODEL_GRAMS = 1_000_000
+#: Labelled texts that the models are fitted on: an equal share for each language, those of the smallest hashes.
+SAMPLE_TEXTS = 40_000
 #: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and held-out training texts that
 #: a language's length class, or a language, needs for a limit of its own; below, that of the language or of all of them holds.
 REJECT_AT = 12.0
@@ -32,13 +34,16 @@ REJECT_LEAST_LANGUAGE = 8
 FOLDS = 4
 
 _SPACE = ord(" ")
+#: UTF-16 units that are letters: whatever Python calls one, halves of characters beyond 16 bits, and the marks of scripts that write vowels so.
+_LETTER = np.array([
+    chr(u).isalpha() or 0x61 <= u <= 0x7A or 0xC0 <= u < 0x2000 and u not in (0xD7, 0xF7) or u >= 0x2C00 for u in range(1 << 16)
+])
 
 
 def characters(text: str) -> np.ndarray:
     """UTF-16 units of the lower-case text, each run of what is no letter a blank; one blank at either end."""
     units = np.frombuffer(text.lower().encode("utf-16-le", "surrogatepass"), np.uint16)
-    letter = (units >= 97) & (units <= 122) | (units >= 0xC0) & (units != 0xD7) & (units != 0xF7) & ((units < 0x2000) | (units >= 0x2C00))
-    units = np.where(letter, units, _SPACE)
+    units = np.where(_LETTER[units], units, _SPACE)
     units = np.concatenate(([_SPACE], units, [_SPACE])).astype(np.uint64)
     keep = np.ones(len(units), bool)
     keep[1:] = (units[1:] != _SPACE) | (units[:-1] != _SPACE)
@@ -62,8 +67,7 @@ def has_letter(text: str | None) -> bool:
 class Model:
     """Sorted hash arrays and smoothed log-probabilities, made from counts (language, gram, n) of order ORDER."""
 
-    def __init__(self, languages: list[str], language: np.ndarray, gram: np.ndarray, count: np.ndarray, lower_counts: dict | None = None) -> None:
-        """``lower_counts``: by order (language, gram, n) of the shorter n-grams, over all n-grams; else made from those given."""
+    def __init__(self, languages: list[str], language: np.ndarray, gram: np.ndarray, count: np.ndarray) -> None:
         self.languages = languages
         width = len(languages)
         counts, codes = [], []
@@ -77,8 +81,6 @@ class Model:
             shorter = np.uint64((1 << (16 * (order - 1))) - 1)
             row, language = np.nonzero(table)
             gram, count = keys[row] & shorter, np.ones(len(row))
-            if lower_counts and order > 1:
-                language, gram, count = lower_counts[order - 1]
         base = np.full(width, -np.log(len(codes[-1]) + 1))
         self.unseen = base
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
@@ -171,52 +173,34 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(st: Stages, docs: DataFrame, most: int = MODEL_GRAMS) -> Model:
-    """A model of the languages of ``docs``; rows without text, letters or lang teach nothing. Counts cover all rows."""
-    counts = st.save(gram_counts(docs.select("text", "lang").where("lang is not null and text is not null")), "gram-counts")
-    return _fit_counts(st, counts, most)
-
-
-def _fit_counts(st: Stages, counts: DataFrame, most: int) -> Model | None:
-    """A model of (lang, gram, n). A language beyond its share keeps the n-grams above a count of its own; the shorter ones of
-    what is kept are counted over all n-grams."""
-    sizes: dict[str, dict[int, int]] = {}
-    for r in counts.groupBy("lang", "n").count().collect():  # a row per language and distinct count
-        sizes.setdefault(r.lang, {})[r.n] = r["count"]
-    languages = sorted(sizes, key=str.encode)
+def sample(st: Stages, docs: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """(text, lang) of at most ``texts`` labelled rows with letters, a language's share being those of the smallest hashes. Rows without
+    text or lang are left out; equal texts go together, so a share may be exceeded by copies of one text."""
+    rows = docs.select("text", "lang").where("lang is not null and text is not null").withColumn("hash", F.xxhash64("text"))
+    hashes = st.save(rows.groupBy("lang", "hash").agg(F.count("*").alias("n")), "text-hashes")
+    languages = hashes.select("lang").distinct().count()
+    by_hash = Window.partitionBy("lang").orderBy("hash")
+    ranked = hashes.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= max(1, texts // max(1, languages)))
+    least = ranked.groupBy("lang").agg(F.max("hash").alias("last"))  # a row per language
+    return st.save(rows.join(least, "lang").where("hash <= last").select("text", "lang"), "sample")
+
+
+def fit(st: Stages, taught: DataFrame) -> Model | None:
+    """A model of the languages of ``taught`` (text, lang), a sample; texts without letters teach nothing."""
+    counts = st.save(gram_counts(taught.select("text", "lang").where("lang is not null and text is not null")), "gram-counts")
+    found = counts.select("lang", "gram", "n").toArrow()  # bounded as the sample is
+    names = found.column("lang").to_pylist()
+    languages = sorted(set(names), key=str.encode)
     if not languages:
         return None
-    share, least = max(1, most // len(languages)), []
-    for name in languages:
-        held, floor = 0, max(sizes[name])  # the most frequent n-grams stay even where they alone are more
-        for n in sorted(sizes[name], reverse=True):
-            held += sizes[name][n]
-            if held > share:
-                break
-            floor = n
-        least.append((name, floor))
     number = {x: i for i, x in enumerate(languages)}
-
-    def arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = rows.select("lang", "gram", "n").toArrow()
-        names = np.array([number[x] for x in found.column("lang").to_pylist()], np.int64)
-        return names, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.float64)
-
-    if all(floor == min(sizes[name]) for name, floor in least):
-        return Model(languages, *arrays(counts))
-    floors = st.spark.createDataFrame(least, "lang string, floor long")
-    kept = st.save(counts.join(F.broadcast(floors), "lang").where("n >= floor").select("lang", "gram", "n"), "kept-grams")
-    whole, part, lower = counts, kept, {}
-    for order in range(ORDER - 1, 0, -1):
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)).alias("gram")
-        whole = st.save(whole.select("lang", shorter).groupBy("lang", "gram").agg(F.count("*").alias("n")), "shorter-grams")
-        part = part.select("lang", shorter).distinct()
-        lower[order] = arrays(whole.join(part, ["lang", "gram"], "left_semi"))
-    return Model(languages, *arrays(kept), lower)
+    language = np.array([number[x] for x in names], np.int64)
+    return Model(languages, language, found.column("gram").to_numpy().view(np.uint64), found.column("n").to_numpy().astype(np.float64))
 
 
-def _scored(docs: DataFrame, model: Model | None, extra: list[str]) -> DataFrame:
-    """Each row's ``extra`` columns, lang_pred, score, cross_entropy and size_class, the power of two of its length."""
+def _scored(docs: DataFrame, model: Model | None, extra: list[str], names: dict[str, str]) -> DataFrame:
+    """Each row's ``extra`` columns, and under the ``names`` lang_pred, score, cross_entropy and size_class, the power of two of its length."""
+    own = [names[c] for c in ("lang_pred", "score", "cross_entropy", "n_units")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,11 +217,12 @@ def _scored(docs: DataFrame, model: Model | None, extra: list[str]) -> DataFrame
                         entropy[i], length[i] = float(found[j, best[j]]), int(sizes[j])
                 columns = [batch.column(c).slice(a, b - a) for c in extra]
                 columns += [pa.array(pred), pa.array(score, pa.float64()), pa.array(entropy, pa.float64()), pa.array(length, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*extra, "lang_pred", "score", "cross_entropy", "n_units"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*extra, *own])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in extra)
-    rows = docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema + "lang_pred string, score double, cross_entropy double, n_units long")
-    return rows.withColumn("size_class", F.floor(F.log2(F.col("n_units") + 1))).drop("n_units")
+    schema += ", ".join(f"`{c}` {kind}" for c, kind in zip(own, ("string", "double", "double", "long"), strict=True))
+    rows = docs.select(*dict.fromkeys([*extra, "text"])).mapInArrow(run, schema)
+    return rows.withColumn(names["size_class"], F.floor(F.log2(F.col(own[-1]) + 1))).drop(own[-1])
 
 
 def _limits(texts: GroupedData, name: str, least: int) -> DataFrame:
@@ -247,27 +232,42 @@ def _limits(texts: GroupedData, name: str, least: int) -> DataFrame:
     return found.withColumn(name, F.col("q")[1] + REJECT_AT * spread).drop("n", "q")
 
 
-def identify(docs: DataFrame, training: DataFrame, keep_text: bool = False) -> DataFrame:
+_COLUMNS = ("lang_pred", "score", "cross_entropy", "n_units", "size_class", "class_limit", "limit", "any_limit", "rejected")
+
+
+def result_names(columns: list[str]) -> dict[str, str]:
+    """The names of the result's columns beside ``columns``: their own, or with underscores before where one is taken."""
+    names: dict[str, str] = {}
+    for c in _COLUMNS:
+        names[c] = unused(c, [*columns, *names.values()])
+    return names
+
+
+def identify(docs: DataFrame, training: DataFrame, keep_text: bool = False, texts: int = SAMPLE_TEXTS) -> DataFrame:
     """A row per document: doc_id, lang_pred, score (posterior, 0 to 1), cross_entropy, rejected, and the other columns
-    of ``docs``; text and lang only if ``keep_text``.
+    of ``docs``; text and lang only if ``keep_text``. Where ``docs`` has a column of such a name, see ``result_names``.
 
     lang_pred is ``und`` with score 0, and rejected, where the text is null or has no letter, or where no language was learnt.
-    Equal cross-entropies go to the language first by code point. Repeated rows get equal results."""
+    Equal cross-entropies go to the language first by code point. Repeated rows get equal results. ``texts`` bounds the sample of ``training``."""
     spark = docs.sparkSession
     with Stages(spark) as st:
-        model = fit(st, training)
+        taught = sample(st, training, texts)
+        model = fit(st, taught)
         extra = [c for c in docs.columns if keep_text or c not in ("text", "lang")]
-        rows = st.save(_scored(docs, model, extra), "scored")
+        names = result_names(extra)
+        rows = st.save(_scored(docs, model, extra, names), "scored")
         # Limits by the training texts that a second model has not seen, under their own language's name.
-        taught = training.select("text", "lang").where("lang is not null and text is not null")
-        own = _scored(taught.where(held_out(F.col("text"))), fit(st, taught.where(~held_out(F.col("text")))), ["lang"])
+        plain = {c: c for c in _COLUMNS}
+        own = _scored(taught.where(held_out(F.col("text"))), fit(st, taught.where(~held_out(F.col("text")))), ["lang"], plain)
         own = st.save(own.where("cross_entropy is not null and lang_pred = lang").select("lang_pred", "size_class", "cross_entropy"), "held-out")
-        classes = _limits(own.groupBy("lang_pred", "size_class"), "class_limit", REJECT_LEAST)
-        whole = _limits(own.groupBy("lang_pred"), "limit", REJECT_LEAST_LANGUAGE)
-        every = _limits(own.groupBy(), "any_limit", 1)
+        classes = _limits(own.groupBy("lang_pred", "size_class"), "class_limit", REJECT_LEAST).withColumnsRenamed(names)
+        whole = _limits(own.groupBy("lang_pred"), "limit", REJECT_LEAST_LANGUAGE).withColumnsRenamed(names)
+        every = _limits(own.groupBy(), "any_limit", 1).withColumnsRenamed(names)
         # A row per language, or per language and power of two of the length, or one.
-        out = rows.join(F.broadcast(st.save(classes, "limits")), ["lang_pred", "size_class"], "left").join(F.broadcast(st.save(whole, "limits")), "lang_pred", "left")
-        out = out.join(F.broadcast(st.save(every, "limits")), F.lit(True), "left")
-        beyond = F.coalesce(F.col("cross_entropy") > F.coalesce("class_limit", "limit", "any_limit"), F.lit(False))
-        out = out.withColumn("rejected", F.col("cross_entropy").isNull() | beyond)
-        return st.save(out.drop("class_limit", "limit", "any_limit", "size_class"), "languages", keep=True)
+        out = rows.join(F.broadcast(st.save(classes, "limits")), [names["lang_pred"], names["size_class"]], "left")
+        out = out.join(F.broadcast(st.save(whole, "limits")), names["lang_pred"], "left").join(F.broadcast(st.save(every, "limits")), F.lit(True), "left")
+        limit = F.coalesce(*[F.col(f"`{names[c]}`") for c in ("class_limit", "limit", "any_limit")])
+        entropy = F.col(f"`{names['cross_entropy']}`")
+        rejected = entropy.isNull() | F.coalesce(entropy > limit, F.lit(False))
+        shown = [*extra, *[names[c] for c in ("lang_pred", "score", "cross_entropy")]]
+        return st.save(out.select(*[F.col(f"`{c}`") for c in shown], rejected.alias(names["rejected"])), "languages", keep=True)
