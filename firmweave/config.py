@@ -31,7 +31,7 @@ class EtlConfig(_Config):
     output_format: str = "parquet"
     save_intermediate: bool = False
     drop_blank_keys: bool = False
-    hot_rows: int | None = None
+    hot_rows: int | None = 1_000_000
     processed_date: str | None = None
     timestamp: str | None = None
     table_enabled: bool = False

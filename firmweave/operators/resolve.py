@@ -22,26 +22,39 @@ def _suffixed(df: DataFrame, clashing: set[str], suffix: str) -> DataFrame:
     return df.withColumnsRenamed({c: f"{c}_{suffix}" for c in df.columns if c in clashing})
 
 
-#: Rows of one side from which a key counts as hot; at most (rows of that side) / HOT_ROWS keys can be.
+#: Rows of one side from which a key counts as hot in a job.
 HOT_ROWS = 1_000_000
+#: Hot keys of a side at most, and keys that the sketch keeps count of: any key with more than its rows / HOT_TRACKED is among them.
+HOT_KEYS = 1_000
+HOT_TRACKED = 10_000
 
-_SALT = "_salt"
+_ROW, _COLUMN = "_grid_row", "_grid_column"
 
 
-def salted(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a salt to join on beside the name key.
+def heavy_keys(df: DataFrame, hot_rows: int) -> DataFrame:
+    """(name key, n): at most HOT_KEYS keys that hold about ``hot_rows`` rows or more, by a mergeable sketch in one pass over the keys."""
+    top = df.agg(F.expr(f"approx_top_k({NAME_KEY}, {HOT_KEYS}, {HOT_TRACKED})").alias("top")).select(F.explode("top").alias("t"))
+    return top.select(F.col("t.item").alias(NAME_KEY), F.col("t.count").alias("n")).where(F.col("n") >= hot_rows)
 
-    A key with ``hot_rows`` rows or more on the left is cut into parts of about that size, and the key's rows on the right
-    are repeated for each part, so no task gets a hot key whole. Other keys have one part.
+
+def gridded(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a row and a column of a grid to join on beside the name key.
+
+    A key that is hot on either side is cut into parts of about ``hot_rows`` rows there. Its rows on the left have the grid row of
+    their part and are repeated for each grid column, those on the right have the column of theirs and are repeated for each row, so
+    each pair meets in one cell and no cell has more than about ``hot_rows`` rows of a side. Other keys have one cell. Both sides ask the same
+    sketches, so a count that is somewhat off changes the size of cells and no pair.
     """
-    counts = left.groupBy(NAME_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= hot_rows)
-    hot = counts.select(NAME_KEY, F.ceil(F.col("n") / hot_rows).cast("int").alias("_parts"))
-    hot = F.broadcast(hot)  # a row per key of at least hot_rows rows
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    part = F.pmod(F.xxhash64(*left.columns), parts).cast("int")
-    cut = left.join(hot, NAME_KEY, "left").withColumn(_SALT, part).drop("_parts")
-    repeated = right.join(hot, NAME_KEY, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), parts - 1)))
-    return cut, repeated.drop("_parts")
+    sides = [heavy_keys(df, hot_rows).select(NAME_KEY, F.ceil(F.col("n") / hot_rows).cast("int").alias(name)) for df, name in ((left, "_rows"), (right, "_columns"))]
+    hot = F.broadcast(sides[0].join(sides[1], NAME_KEY, "full_outer"))  # a row per hot key, 2 * HOT_KEYS at most
+    rows, columns = (F.coalesce(F.col(c), F.lit(1)) for c in ("_rows", "_columns"))
+
+    def cut(df: DataFrame, own: str, parts: Column, other: str, repeats: Column) -> DataFrame:
+        part = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
+        met = df.join(hot, NAME_KEY, "left").withColumns({own: part, other: F.explode(F.sequence(F.lit(0), repeats - 1))})
+        return met.drop("_rows", "_columns")
+
+    return cut(left, _ROW, rows, _COLUMN, columns), cut(right, _COLUMN, columns, _ROW, rows)
 
 
 def blank_rows(df: DataFrame) -> DataFrame:
@@ -56,8 +69,8 @@ def resolve_entities(
 
     Rows without a name share the blank key and pair with each other, which is what the match
     rule says; ``drop_blank_keys`` leaves them out (``blank_rows`` gives them). Keys that hold ``hot_rows`` rows or
-    more on the left are cut into parts (None: no key is); else the join strategy is the planner's: it broadcasts
-    a side whose size is under its threshold, else sorts and merges, and adaptive execution splits large partitions.
+    more on either side are cut into a grid of parts (None: no key is, and the keys are not counted); else the join strategy is the planner's: it
+    broadcasts a side whose size is under its threshold, else sorts and merges, and adaptive execution splits large partitions.
     """
     left, right = with_keys(s1, address=True), with_keys(s2, address=False)
     if drop_blank_keys:
@@ -65,8 +78,8 @@ def resolve_entities(
     clashing = (set(left.columns) & set(right.columns)) - {NAME_KEY}
     left, right, on = _suffixed(left, clashing, "s1"), _suffixed(right, clashing, "s2"), [NAME_KEY]
     if hot_rows:
-        left, right, on = *salted(left, right, hot_rows), [NAME_KEY, _SALT]
-    joined = left.join(right, on, "inner").drop(_SALT)
+        left, right, on = *gridded(left, right, hot_rows), [NAME_KEY, _ROW, _COLUMN]
+    joined = left.join(right, on, "inner").drop(_ROW, _COLUMN)
     return joined.withColumn("corporate_id", corporate_id(F.col(NAME_KEY), F.col(ADDRESS_KEY)))
 
 

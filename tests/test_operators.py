@@ -281,6 +281,32 @@ def test_a_hot_key_is_cut_without_adaptive_execution(spark):
     assert sizes[None] >= 2000 and sizes[20] < 1200
 
 
+def test_a_key_hot_on_both_sides_meets_in_even_cells(spark):
+    """A third of both sides without a name: no cell of the grid is large, and the pairs are those of the plain join."""
+    from firmweave.operators import resolve
+
+    left = spark.createDataFrame([(None if i % 3 == 0 else f"n{i}", "a", i) for i in range(900)], "corporate_name_clean string, address_clean string, i int")
+    right = spark.createDataFrame([(" -" if i % 3 == 1 else f"n{i}", i) for i in range(600)], "corporate_name_clean string, j int")
+    keyed = resolve.with_keys(left, True), resolve.with_keys(right, False)
+    sides = resolve.gridded(*keyed, 20)
+    for side, total, repeats in zip(sides, (300, 200), (10, 15), strict=True):
+        cells = [r["count"] for r in side.where("name_key = ''").groupBy(resolve._ROW, resolve._COLUMN).count().collect()]
+        assert sum(cells) == total * repeats and len(cells) == 150 and max(cells) <= 2 * 20
+        assert side.where("name_key <> ''").count() == {300: 600, 200: 400}[total]
+    pairs = {
+        hot: sorted((r.i, r.j) for r in resolve.resolve_entities(left, right, hot_rows=hot).collect()) for hot in (None, 20, 1_000_000)
+    }
+    assert pairs[None] == pairs[20] == pairs[1_000_000] and len(pairs[20]) >= 300 * 200
+
+
+def test_hot_keys_of_no_rows(spark):
+    from firmweave.operators import resolve
+
+    left = spark.createDataFrame([], "corporate_name_clean string, address_clean string, i int")
+    right = spark.createDataFrame([("a", 1)], "corporate_name_clean string, j int")
+    assert resolve.resolve_entities(left, right, hot_rows=1).count() == 0
+
+
 def test_rows_without_a_name_are_set_aside(spark):
     from firmweave.operators import resolve
 
