@@ -22,6 +22,7 @@ from firmweave.plans.etl import EtlResult, build_registry, run_etl
 from firmweave.schemas import REGISTRY, SOURCE1, SOURCE2
 from firmweave.sinks.files import load_dataset, load_registry, prepare_for_export, write_dataset
 from firmweave.sources import files
+from firmweave.sources.json_arrays import read_json_array
 from firmweave.storage import join_uri, scratch_dir
 
 QUERIES = QuerySet()
@@ -93,6 +94,14 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(files.read_json(spark, uri, SOURCE2))
 
 
+@QUERIES.add("src_json_array", _SQL_SOURCE2)
+def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one top-level array, cut into records by the reader that several tasks share."""
+    uri = scratch_dir(spark, "src_json_array")
+    write_json_arrays(fixtures.source2(spark, sf_dir), uri)
+    return flat(read_json_array(spark, files.json_array_files(spark, uri)[1], SOURCE2))
+
+
 @QUERIES.add("src_auto", _SQL_SOURCE1)
 def src_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = scratch_dir(spark, "src_auto") + ".json"

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmweave.schemas import SOURCE1, SOURCE2, text_lists, text_numbers
+from firmweave.sources.json_arrays import CUT, read_json_array
+from firmweave.storage import file_size
 
 FORMATS = ("parquet", "csv", "json")
 JSON_LAYOUTS = ("auto", "lines", "array")
+#: Files that Spark cannot split.
+COMPRESSED = (".gz", ".bz2", ".zst", ".snappy", ".lz4", ".deflate", ".xz")
 
 # CSV cells that mean a missing value.
 CSV_MISSING = (
@@ -48,13 +53,19 @@ def read_csv(spark: SparkSession, uri: str, multiline: bool = False) -> DataFram
     return df.select(*[F.when(~F.col(f"`{c}`").isin(*CSV_MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that Spark reads as one split."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def json_array_files(spark: SparkSession, uri: str) -> tuple[list[str], list[str]]:
     """The files of a dataset that hold JSON Lines, and those that hold one top-level array.
 
     Each file is judged by its own first character that is not blank; a file without one is of the first kind. The
     file names, which the driver lists for any scan, come back to it, and nothing of their content does.
     """
-    lines = spark.read.text(uri).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    # Cut at braces, a row is no longer than a record, also where a file is one line.
+    lines = spark.read.text(uri, lineSep=CUT).select("value", "_metadata.file_path", "_metadata.file_block_start")
     # The first split of a file is read in order by one task, so its first row is the file's first.
     first = lines.filter((F.col("file_block_start") == 0) & F.col("value").rlike(r"\S")).groupBy("file_path")
     first = first.agg(F.first(F.ltrim(F.translate(F.substring("value", 1, 4096), "\ufeff\t", "  "))).alias("start"))
@@ -68,21 +79,26 @@ def json_array_files(spark: SparkSession, uri: str) -> tuple[list[str], list[str
 
 
 def read_json(spark: SparkSession, uri: str, schema: T.StructType, layout: str = "auto") -> DataFrame:
-    """Scan JSON Lines, which Spark splits across tasks, or files of one top-level array, a task each.
+    """Scan JSON Lines, which Spark splits across tasks, or files of one top-level array.
 
-    ``layout`` is lines, array, or auto: then every file is looked at, and the two kinds are read apart and united. A
-    value that does not fit the schema, or a file of the other layout, stops the read rather than turning into NULL.
+    ``layout`` is lines, array, or auto: then every file is looked at, and the two kinds are read apart and united. An array
+    in a file that Spark would cut into several splits is read by several tasks, a smaller one by one. A value that does not
+    fit the schema, or a file of the other layout, stops the read rather than turning into NULL.
     """
     if layout not in JSON_LAYOUTS:
         raise ValueError(f"JSON layout must be one of {JSON_LAYOUTS}, not {layout}")
-    many = {"lines": False, "array": True}
-    if layout != "auto":
-        return spark.read.json(uri, schema=schema, multiLine=many[layout], mode="FAILFAST")
+    if layout == "lines":
+        return spark.read.json(uri, schema=schema, mode="FAILFAST")
     lines, arrays = json_array_files(spark, uri)
-    read = [spark.read.json(p, schema=schema, multiLine=m, mode="FAILFAST") for p, m in ((lines, False), (arrays, True)) if p]
-    if not read:
-        return spark.createDataFrame([], schema)
-    return read[0] if len(read) == 1 else read[0].unionAll(read[1])
+    if layout == "array":
+        lines, arrays = [], [*lines, *arrays]
+    sizes = {p: file_size(spark, p) for p in arrays}
+    large = [p for p in arrays if sizes[p] > split_bytes(spark) and not p.endswith(COMPRESSED)]
+    small = [p for p in arrays if p not in set(large)]
+    read = [spark.read.json(p, schema=schema, multiLine=m, mode="FAILFAST") for p, m in ((lines, False), (small, True)) if p]
+    if large:
+        read.append(read_json_array(spark, large, schema))
+    return reduce(DataFrame.unionAll, read) if read else spark.createDataFrame([], schema)
 
 
 @dataclass(frozen=True)

@@ -108,6 +108,11 @@ def file_sizes(spark: SparkSession, uri: str, suffix: str) -> dict[str, int]:
     return found
 
 
+def file_size(spark: SparkSession, uri: str) -> int:
+    fs, path = _file_system(spark, uri)
+    return fs.getFileStatus(path).getLen()
+
+
 def read_text(spark: SparkSession, uri: str) -> str:
     """A small file, read by the driver."""
     fs, path = _file_system(spark, uri)
