@@ -1,9 +1,9 @@
 """Fuzzy duplicate lines by SimHash.
 
 A line is normalised (case, punctuation, digits to 0) and lines with one digest are one class. Each class has a 64-bit
-SimHash of the character n-grams of its words. The SimHash is cut into BLOCKS blocks; classes of like length that share a block are
-candidates, and by the pigeonhole principle that is every pair within BLOCKS - 1 bits. Edit-similar lines mostly are that close, but a
-tenth of a line's characters can move more bits than any usable number of blocks can bear. Pairs beyond that reach are met
+SimHash of the character n-grams of its words. The SimHash is cut into BLOCKS blocks; classes of like length that share MET of
+them are candidates, and by the pigeonhole principle that is every pair within BLOCKS - MET bits. (One block alone tells too little: lines of
+one language have many bits in common.) A tenth of a line's characters can move more bits than blocks can bear. Pairs beyond their reach are met
 by their text: longer lines by the least of their runs of words, lines under SHORT characters by pieces of characters.
 Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold.
 Of every connected group of classes the earliest line stays.
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,11 @@ from firmweave.llm.common import Stages, mix64, text_chunks, unused, word_hashes
 from firmweave.llm.linking import SMALL, components, find_links
 
 SIMILARITY = 0.9
-#: Blocks of a SimHash: pairs within BLOCKS - 1 bits share one.
+#: Blocks of a SimHash, and how many of them two candidates share: all pairs within BLOCKS - MET bits do.
 BLOCKS = 4
+MET = 2
 #: Bits within which a candidate's text is compared; lines under FEW characters move more of them by one edit.
-DISTANCE = 12
+DISTANCE = 10
 FEW = 80
 FEW_DISTANCE = 24
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
@@ -183,10 +185,11 @@ def size_classes(size: Column, similarity: float) -> Column:
 
 
 def block_keys(simhash: Column, size: Column, similarity: float = SIMILARITY) -> Column:
-    """A key per block of the SimHash and class of lengths: within BLOCKS - 1 bits a pair of similar lengths shares one."""
+    """A key per choice of MET blocks of the SimHash and class of lengths: within BLOCKS - MET bits a pair of similar lengths shares one."""
     edges = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
-    blocks = F.array(*[F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) * BLOCKS + k for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))])
-    return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(blocks, lambda b: F.xxhash64(c, b))))
+    blocks = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    chosen = F.array(*[F.xxhash64(F.lit(i), *own) for i, own in enumerate(combinations(blocks, MET))])
+    return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(chosen, lambda b: F.xxhash64(c, b))))
 
 
 def _bits(size: np.ndarray) -> np.ndarray:
@@ -315,7 +318,13 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
             pairs = pairs.select("left", "right").mapInArrow(_close(similarity), "a long, b long").distinct()
             return test(st.save(pairs, "close"))
 
-        links = st.save(test(near), "links")
+        # First each class with one near one; then what is still apart.
+        one = st.save(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one-near")
+        links = st.save(test(one), "links")
+        labels = st.save(components(st, links), "labels")
+        la, lb = (labels.toDF(c, f"label_{c}") for c in "ab")
+        apart = near.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+        links = links.unionByName(st.save(test(apart.join(one, ["a", "b"], "left_anti")), "links"))
         others = find_links(st, large, close, chunked)
         groups = components(st, links if others is None else links.unionByName(others))
         named = st.save(classes.join(groups, "id", "left").select("d1", "d2", "first", "n", F.coalesce("label", "id").alias("label")), "named")

@@ -139,8 +139,8 @@ def candidates(line, other):
     x, y = line_dedup.text_keys([line, other])
     p, q = (int(h) for h in line_dedup.simhashes([line, other]))
     width = 64 // line_dedup.BLOCKS
-    blocks = any((p >> width * k) % 2**width == (q >> width * k) % 2**width for k in range(line_dedup.BLOCKS))
-    return bool(set(x) & set(y)) or blocks
+    blocks = sum((p >> width * k) % 2**width == (q >> width * k) % 2**width for k in range(line_dedup.BLOCKS))
+    return bool(set(x) & set(y)) or blocks >= line_dedup.MET
 
 
 @pytest.mark.parametrize("words", [2, 4, 6, 8, 15, 30, 80])
@@ -200,7 +200,7 @@ def test_hashes_of_like_lengths_within_the_blocks_reach_share_a_key(spark):
 
     rng = np.random.default_rng(5)
     base = rng.integers(-(2**63), 2**63 - 1, 300)
-    near = [int(np.bitwise_xor(x, np.bitwise_or.reduce(np.int64(1) << rng.choice(63, line_dedup.BLOCKS - 1, replace=False)))) for x in base]
+    near = [int(np.bitwise_xor(x, np.bitwise_or.reduce(np.int64(1) << rng.choice(63, line_dedup.BLOCKS - line_dedup.MET, replace=False)))) for x in base]
     sizes = rng.integers(1, 3000, 300)
     rows = [(int(a), int(n), int(b), int(m)) for a, b, n in zip(base, near, sizes, strict=True) for m in (n, -(-9 * n // 10))]
     frame = spark.createDataFrame(rows, "a long, n int, b long, m int")
