@@ -234,6 +234,16 @@ def eval_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.exact_auc(_scored(spark, sf_dir))
 
 
+_SQL_BINNED_AUC = f"""SELECT sum(neg * (above + pos / 2.0::DOUBLE)) / (sum(pos) * sum(neg)) AS auc, sum(neg * pos) / 2 / (sum(pos) * sum(neg)) AS error FROM (
+  SELECT *, coalesce(sum(pos) OVER (ORDER BY bin DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+  FROM (SELECT least(floor(score * 40), 39) AS bin, sum(high_profit) AS pos, sum(1 - high_profit) AS neg FROM {_SQL_SCORED} GROUP BY bin))"""
+
+
+@QUERIES.add("eval_auc_binned", with_views(_SQL_BINNED_AUC, "features"))
+def eval_auc_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.binned_auc(_scored(spark, sf_dir), bins=40)
+
+
 @QUERIES.add("eval_accuracy", with_views(f"SELECT (tp + tn) / (tp + tn + fp + fn) AS accuracy FROM {_SQL_CELLS}", "features"))
 def eval_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.accuracy(_scored(spark, sf_dir))

@@ -9,6 +9,8 @@ from firmweave.operators.features import LABEL
 
 #: Ranges of the score, about equally full of distinct scores; each is ordered by itself.
 RANGES = 256
+#: Bins of the histogram for the binned area.
+BINS = 1000
 
 
 def _is(column: str, value: float) -> Column:
@@ -66,6 +68,26 @@ def exact_auc(df: DataFrame, score: str = "score", label: str = LABEL) -> DataFr
     return _score_folds(df, score, label).select(_auc().alias("auc"))
 
 
+def binned_auc(df: DataFrame, score: str = "score", label: str = LABEL, bins: int = BINS, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """One row: auc from a histogram of the scores per class, and error, by which it is off at most; NULL unless both classes are there.
+
+    ``bins`` equal ranges lie between ``low`` and ``high``; scores beyond them are counted with the first or the last, NULL and NaN scores with none.
+    Each task sends on a row per bin, however many rows and distinct scores there are. Only pairs of one bin are in doubt: they count half,
+    so the error is half their share of all pairs.
+    """
+    place = F.floor((F.col(score).cast("double") - low) / (high - low) * bins)
+    known = df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    counts = known.groupBy(F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).alias("bin")).agg(
+        F.count_if(_is(label, 1.0)).cast("double").alias("pos"), F.count_if(_is(label, 0.0)).cast("double").alias("neg")
+    )
+    above = F.coalesce(F.sum("pos").over(Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    pairs = F.sum("pos") * F.sum("neg")
+    return counts.withColumn("above", above).agg(  # bins rows in one task
+        F.try_divide(F.sum(F.col("neg") * (F.col("above") + F.col("pos") / 2)), pairs).alias("auc"),
+        F.try_divide(F.sum(F.col("neg") * F.col("pos")) / 2, pairs).alias("error"),
+    )
+
+
 def confusion(df: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """One row of tp, fp, tn, fn; only partial sums are shuffled."""
     cells = {"tp": (1.0, 1.0), "fp": (0.0, 1.0), "tn": (0.0, 0.0), "fn": (1.0, 0.0)}

@@ -224,3 +224,19 @@ def test_configs():
 def test_append_then_read_columns(spark, registry, uri):
     append_table(registry, LakeTable("t", uri("lake")))
     assert read_table(spark, LakeTable("default.t", uri("lake"))).count() == registry.count()
+
+
+def test_the_binned_area_is_within_its_error(spark):
+    rng = np.random.default_rng(5)
+    scores = np.concatenate((rng.beta(2, 5, 900), rng.beta(5, 2, 600), [0.0, 1.0, -3.0, 7.0]))
+    labels = np.concatenate((np.zeros(900), np.ones(600), [0.0, 1.0, 0.0, 1.0]))
+    rows = [(float(s), float(y)) for s, y in zip(scores, labels, strict=True)]
+    df = spark.createDataFrame([*rows, (None, 1.0), (float("nan"), 0.0)], "score double, high_profit double").repartition(5)
+    exact = metrics.exact_auc(spark.createDataFrame(rows, "score double, high_profit double")).first().auc
+    errors = []
+    for bins in (1, 10, 100, 1000):
+        found = metrics.binned_auc(df, bins=bins).first()
+        assert abs(found.auc - exact) <= found.error + 1e-12
+        errors.append(found.error)
+    assert errors == sorted(errors, reverse=True) and errors[0] == 0.5 and errors[-1] < 0.002
+    assert metrics.binned_auc(df.where("high_profit = 1")).first().auc is None
