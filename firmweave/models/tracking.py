@@ -1,8 +1,9 @@
 """Model registry kept as tables.
 
 Below one root: ``experiments`` and ``runs`` are Parquet folders that get one row per experiment
-and per run; ``models/<name>/v=<n>`` holds the fitted models in MLlib's own format. Registration
-runs on the driver of one job per model name at a time.
+and per run, each in a folder of its own, so that jobs may write at once; ``models/<name>/v=<n>`` holds the fitted models in MLlib's own
+format. A version belongs to the run whose claim ``models/<name>/claims/<n>`` exists, which only one job can make. A run is recorded
+once its model is saved; one that fails before leaves its version unused.
 """
 
 from __future__ import annotations
@@ -18,14 +19,14 @@ from pyspark.sql import types as T
 
 from firmweave.schemas import EXPERIMENTS, RUNS
 from firmweave.sinks.files import timestamp_text
-from firmweave.storage import exists, join_uri
+from firmweave.storage import child_names, exists, join_uri, publish_text
 
 MODEL_TYPE = "LogisticRegression"
 
 
 def _read(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame:
     if exists(spark, uri):
-        return spark.read.schema(schema).parquet(uri)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(uri)
     return spark.createDataFrame([], schema)
 
 
@@ -35,7 +36,7 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def _append_row(spark: SparkSession, row: dict, uri: str, schema: T.StructType) -> None:
     values = [tuple(row[name] for name in schema.fieldNames())]
-    spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(uri)
+    spark.createDataFrame(values, schema).coalesce(1).write.parquet(join_uri(uri, f"row={uuid.uuid4().hex}"))
 
 
 def setup_experiment(
@@ -51,9 +52,15 @@ def setup_experiment(
     return experiment["experiment_id"]
 
 
-def _latest_version(runs: DataFrame, model_name: str) -> int:
-    found = runs.filter(F.col("model_name") == model_name).agg(F.max("model_version")).first()
-    return found[0] or 0
+def _claim_version(spark: SparkSession, root: str, model_name: str, run_id: str) -> int:
+    """The next version of a model, for this run alone."""
+    claims = join_uri(root, "models", model_name, "claims")
+    while True:
+        taken = [int(n) for n in child_names(spark, claims) if n.isdigit()]
+        runs = read_runs(spark, root).filter(F.col("model_name") == model_name)
+        version = max([*taken, runs.agg(F.max("model_version")).first()[0] or 0]) + 1
+        if publish_text(spark, join_uri(claims, str(version)), run_id):
+            return version
 
 
 def register_model(
@@ -68,12 +75,13 @@ def register_model(
 ) -> str:
     """Save the model as the next version of its name, record the run and return the run id."""
     spark = SparkSession.active()
-    version = _latest_version(read_runs(spark, root), model_name) + 1
+    run_id = uuid.uuid4().hex
+    version = _claim_version(spark, root, model_name, run_id)
     label = version_label or timestamp_text()
     path = join_uri(root, "models", model_name, f"v={version}")
     model.write().save(path)
     run = {
-        "run_id": uuid.uuid4().hex,
+        "run_id": run_id,
         "experiment_id": experiment_id,
         "run_name": f"{model_name}_{label}",
         "model_name": model_name,
@@ -87,7 +95,7 @@ def register_model(
         "model_path": path,
     }
     _append_row(spark, run, join_uri(root, "runs"), RUNS)
-    return run["run_id"]
+    return run_id
 
 
 def load_model(

@@ -1,5 +1,7 @@
 """Splits, fitting, metrics, run records and the jobs."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -240,3 +242,24 @@ def test_the_binned_area_is_within_its_error(spark):
         errors.append(found.error)
     assert errors == sorted(errors, reverse=True) and errors[0] == 0.5 and errors[-1] < 0.002
     assert metrics.binned_auc(df.where("high_profit = 1")).first().auc is None
+
+
+def test_ten_registrations_at_once_have_ten_versions(spark, uri):
+    rows = spark.createDataFrame([(float(i % 2), float(i)) for i in range(20)], "high_profit double, x double")
+    frame = prepare_features(rows.withColumn("corporate_id", F.col("x").cast("string")), ["x"])
+    model = training.train_logistic_regression(frame)[0]
+    failures = []
+
+    def register(k):
+        try:
+            tracking.register_model(model, "m", {"auc": k / 10}, ["x"], uri("tracking"))
+        except Exception as error:  # noqa: BLE001
+            failures.append(error)
+
+    threads = [threading.Thread(target=register, args=(k,)) for k in range(10)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert not failures
+    runs = tracking.read_runs(spark, uri("tracking")).collect()
+    assert sorted(r.model_version for r in runs) == list(range(1, 11)) and len({r.model_path for r in runs}) == 10
+    assert tracking.load_model(spark, uri("tracking"), "m", 7).coefficients == model.coefficients
