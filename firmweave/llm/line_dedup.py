@@ -1,12 +1,11 @@
 """Fuzzy duplicate lines by SimHash.
 
 A line is normalised (case, punctuation, digits to 0) and lines with one digest are one class. Each class has a 64-bit
-SimHash of the character n-grams of its words. The SimHash is cut into BLOCKS blocks; classes of like length that share MET of
-them are candidates, and by the pigeonhole principle that is every pair within BLOCKS - MET bits. (One block alone tells too little: lines of
-one language have many bits in common.) A tenth of a line's characters can move more bits than blocks can bear. Pairs beyond their reach are met
+SimHash of its words, weighted by their lengths, so that the short words which all lines of a language share do not make them alike.
+The SimHash is cut into BLOCKS blocks; classes of like length that share one are candidates, and by the pigeonhole principle that is
+every pair within BLOCKS - 1 bits. A tenth of a line's characters can move more bits than blocks can bear. Pairs beyond their reach are met
 by their text: longer lines by the least of their runs of words, lines under SHORT characters by pieces of characters.
-Candidates within a wider distance, and with pairs of words in common by a sketch of eight minima, are linked if the edit similarity of the
-normalised lines is at least the threshold.
+Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold.
 Of every connected group of classes the earliest line stays.
 """
 
@@ -14,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +24,13 @@ from firmweave.llm.common import Stages, mix64, text_chunks, unused, word_hashes
 from firmweave.llm.linking import SMALL, components, find_links
 
 SIMILARITY = 0.9
-#: Blocks of a SimHash, and how many of them two candidates share: all pairs within BLOCKS - MET bits do.
+#: Blocks of a SimHash: all pairs within BLOCKS - 1 bits share one.
 BLOCKS = 4
-MET = 2
-#: Bits within which a candidate's text is compared; lines under FEW characters move more of them by one edit.
-DISTANCE = 10
+#: Bits within which a candidate's text is compared; lines under FEW characters have too few words for a limit.
+DISTANCE = 16
 FEW = 80
-FEW_DISTANCE = 24
-#: Of the eight minima of a line's pairs of words so many must agree, in lines of FEW characters or more: lines of one language have near SimHashes.
-AGREE = 2
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
 SIZE_STEP = 1.6
-#: Letters of an n-gram of the SimHash, with a blank at either end of a word.
-GRAM = 3
 #: Words of a run, and runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
 RUN = 3
 RUN_KEYS = 3
@@ -70,59 +62,37 @@ def normal_lines(text: str) -> list[bytes]:
     return [(x if x.isascii() else x.decode("latin-1").encode()).strip(b" ") for x in lines]
 
 
-def _counts(bits: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows of 64 zeros and ones, at most 255 rows to a run: eight sums to a machine word."""
-    return np.add.reduceat(bits.view(np.uint64), first, axis=0).view(np.uint8)
-
-
 def simhashes(lines: list[bytes]) -> np.ndarray:
-    """64-bit SimHash of the n-grams of each line's words; a tie of a bit is 0, as for a line without words."""
+    """64-bit SimHash of each line's words, weighted by their bytes; a tie of a bit is 0, as for a line without words."""
     return _hashed(lines)[0]
 
 
-def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """SimHashes, sketches (eight minima over pairs of words, a byte of each), and the keys by runs of words: line numbers and keys."""
+def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """SimHashes, and the keys by runs of words: line numbers and keys."""
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lines], dtype=np.int64)))
     data = np.frombuffer(b"".join(lines), np.uint8)
     starts, ends, first = word_spans(data, offsets)
-    out, sketch = np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
+    out = np.zeros(len(lines), np.uint64)
     full = np.flatnonzero(np.diff(first))
     if not len(full):
-        return out, sketch, np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return out, np.zeros(0, np.int64), np.zeros(0, np.uint64)
     words = word_hashes(data, starts, ends)
-    _, at, word = np.unique(words, return_index=True, return_inverse=True)
-    sizes = ends[at] - starts[at]  # n-grams of " word "
-    base = np.cumsum(sizes + 2) - (sizes + 2)
-    inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    text = np.full(int((sizes + 2).sum()), 32, np.uint8)
-    place = np.repeat(base, sizes) + inner
-    text[place + 1] = data[np.repeat(starts[at], sizes) + inner]
-    codes = np.zeros(len(place), np.uint32)
-    for k in range(GRAM):
-        codes = codes << np.uint32(8) | text[place + k]
-    kinds, kind = np.unique(codes, return_inverse=True)
-    bits = np.unpackbits(mix64(kinds.astype(np.uint64) * _STEP + np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1)
-    edges = np.cumsum(sizes) - sizes
-    of_word = _counts(bits[kind], edges).astype(np.uint16)
-    for w in np.flatnonzero(sizes > 255):
-        of_word[w] = np.minimum(bits[kind[edges[w] : edges[w] + sizes[w]]].sum(0, dtype=np.int64), 65535)
-    grams = np.add.reduceat(sizes[word], first[full])
+    kinds, at, word = np.unique(words, return_index=True, return_inverse=True)
+    sizes = ends[at] - starts[at]
+    bits = np.unpackbits(mix64(kinds + _STEP).view(np.uint8).reshape(-1, 8), axis=1)
+    of_word = bits * np.minimum(sizes, 65535).astype(np.uint16)[:, None]
+    # Sums of 64 lengths, four to a machine word.
+    weights = np.add.reduceat(sizes[word], first[full])
     ones = np.add.reduceat(of_word.view(np.uint64)[word], first[full], axis=0).view(np.uint16).astype(np.int64)
-    for i in np.flatnonzero(grams > 65535):  # more than four sums to a machine word can hold
+    for i in np.flatnonzero(weights > 65535):  # more than four sums to a machine word can hold
         a, b = first[full[i]], first[full[i] + 1]
-        ones[i] = sum(of_word[word[c : min(c + 10_000, b)]].sum(0, dtype=np.int64) for c in range(a, b, 10_000))
-    out[full] = np.packbits(2 * ones > grams[:, None], axis=1).view(np.uint64).reshape(-1)
+        ones[i] = sum((bits[word[c : min(c + 10_000, b)]] * sizes[word[c : min(c + 10_000, b)], None]).sum(0) for c in range(a, b, 10_000))
+    out[full] = np.packbits(2 * ones > weights[:, None], axis=1).view(np.uint64).reshape(-1)
     # Runs of RUN words of one line; a shorter line is one run of what it has.
     counts = np.diff(first)[full]
     size, line = np.repeat(counts, counts), np.repeat(full, counts)
     left = np.repeat(first[1:][full], counts) - np.arange(len(words))
     none = np.uint64(2**64 - 1)
-    pair = mix64(words)
-    pair[:-1] += np.where(left[:-1] > 1, mix64(pair[1:]), np.uint64(0))
-    real = (left > 1) | (size == 1)
-    for k in range(8):
-        least = np.minimum.reduceat(np.where(real, mix64(pair ^ mix64(np.uint64([k + 1]))), none), first[full])
-        sketch[full] |= (least & np.uint64(255)) << np.uint64(8 * k)
     run = words.copy()
     for k in range(1, RUN):
         run[:-k] = mix64(run[:-k]) + np.where(left[:-k] > k, words[k:], np.uint64(0))
@@ -136,7 +106,7 @@ def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         has = (least != none) & (counts > ALL_RUNS)
         numbers.append(full[has])
         keys.append(least[has])
-    return out, sketch, np.concatenate(numbers), np.concatenate(keys)
+    return out, np.concatenate(numbers), np.concatenate(keys)
 
 
 def _pieces(line: str) -> Iterator[int]:
@@ -165,7 +135,7 @@ def _pieces(line: str) -> Iterator[int]:
 
 def text_keys(lines: list[bytes]) -> list[list[int]]:
     """The distinct keys of each normalised line that are made of its text."""
-    return _key_lists([x.decode() for x in lines], *_hashed(lines)[2:]).to_pylist()
+    return _key_lists([x.decode() for x in lines], *_hashed(lines)[1:]).to_pylist()
 
 
 def _key_lists(lines: list[str], numbers: np.ndarray, keys: np.ndarray) -> pa.Array:
@@ -195,24 +165,18 @@ def size_classes(size: Column, similarity: float) -> Column:
 
 
 def block_keys(simhash: Column, size: Column, similarity: float = SIMILARITY) -> Column:
-    """A key per choice of MET blocks of the SimHash and class of lengths: within BLOCKS - MET bits a pair of similar lengths shares one."""
+    """A key per block of the SimHash and class of lengths: within BLOCKS - 1 bits a pair of similar lengths shares one."""
     edges = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
     blocks = [F.shiftrightunsigned(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    chosen = F.array(*[F.xxhash64(F.lit(i), *own) for i, own in enumerate(combinations(blocks, MET))])
-    return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(chosen, lambda b: F.xxhash64(c, b))))
-
-
-def _bits(size: np.ndarray) -> np.ndarray:
-    """Bits within which two lines, the longer one of ``size`` characters, are compared."""
-    return np.where(size < FEW, FEW_DISTANCE, DISTANCE)
+    named = F.array(*[b * BLOCKS + k for k, b in enumerate(blocks)])
+    return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(named, lambda b: F.xxhash64(c, b))))
 
 
-def _near(h1: np.ndarray, n1: np.ndarray, s1: np.ndarray, h2: np.ndarray, n2: np.ndarray, s2: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether lines by SimHash, length and sketch may be similar."""
+def _near(h1: np.ndarray, n1: np.ndarray, h2: np.ndarray, n2: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether lines may be similar by their SimHashes and lengths."""
     longer = np.maximum(n1, n2)
-    near = (np.abs(n1 - n2) <= (1 - similarity) * longer + 1e-9) & (np.bitwise_count((h1 ^ h2).view(np.uint64)) <= _bits(longer))
-    agree = (np.ascontiguousarray(s1 ^ s2).view(np.uint8).reshape(-1, 8) == 0).sum(1) >= AGREE
-    return near & (agree | (longer < FEW))
+    within = (np.bitwise_count((h1 ^ h2).view(np.uint64)) <= DISTANCE) | (longer < FEW)
+    return (np.abs(n1 - n2) <= (1 - similarity) * longer + 1e-9) & within
 
 
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,15 +191,15 @@ def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             at.append(i)
                             number.append(k)
                             lines.append(line)
-            hashes, sketches, numbers, keys = _hashed(lines)
+            hashes, numbers, keys = _hashed(lines)
             texts = [x.decode() for x in lines]
             digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in lines]), np.int64).reshape(-1, 2)
             picked = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
             columns = [
-                *picked.columns, pa.array(number, pa.int32()), pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)), pa.array(sketches.view(np.int64)),
+                *picked.columns, pa.array(number, pa.int32()), pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)),
                 pa.array(digests[:, 0]), pa.array(digests[:, 1]), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "sketch", "d1", "d2", "keys", "line"])
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "d1", "d2", "keys", "line"])
 
 
 def _near_pairs(similarity: float):
@@ -245,12 +209,12 @@ def _near_pairs(similarity: float):
         for batch in batches:
             items = batch.column("items")
             sizes = np.diff(items.offsets.to_numpy())
-            ids, hashes, chars, sketches = (items.flatten().field(k).to_numpy() for k in range(4))
+            ids, hashes, chars = (items.flatten().field(k).to_numpy() for k in range(3))
             left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))  # items of the bucket from here on
             for shift in range(1, int(sizes.max(initial=1))):
                 i = np.flatnonzero(left > shift)
                 j = i + shift
-                i = i[_near(hashes[i], chars[i], sketches[i], hashes[j], chars[j], sketches[j], similarity)]
+                i = i[_near(hashes[i], chars[i], hashes[j], chars[j], similarity)]
                 x, y = ids[i], ids[i + shift]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
@@ -263,12 +227,12 @@ def _close(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                (ids, labels, hashes, sizes, sketches), (ids2, labels2, hashes2, sizes2, sketches2) = (
-                    [batch.column(c)[r].values.field(k).to_numpy() for k in range(5)] for c in ("left", "right")
+                (ids, labels, hashes, sizes), (ids2, labels2, hashes2, sizes2) = (
+                    [batch.column(c)[r].values.field(k).to_numpy() for k in range(4)] for c in ("left", "right")
                 )
                 a, b = [], []
                 for i in range(len(ids)):
-                    near = np.flatnonzero((labels2 != labels[i]) & _near(hashes2, sizes2, sketches2, hashes[i], sizes[i], sketches[i], similarity))
+                    near = np.flatnonzero((labels2 != labels[i]) & _near(hashes2, sizes2, hashes[i], sizes[i], similarity))
                     a.append(np.full(len(near), ids[i]))
                     b.append(ids2[near])
                 a, b = np.concatenate(a), np.concatenate(b)
@@ -287,27 +251,29 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
     with Stages(spark) as st:
         numbered = dict(docs.dtypes).get(row) == "bigint"
         texts = docs.select((F.col(row) if numbered else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-        schema = "row long, doc_id long, line_no int, size int, simhash long, sketch long, d1 long, d2 long, keys array<long>, line string"
+        schema = "row long, doc_id long, line_no int, size int, simhash long, d1 long, d2 long, keys array<long>, line string"
         lines = st.save(texts.mapInArrow(_classed, schema), "lines")
         place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line_no")
-        known = [F.any_value(c).alias(c) for c in ("size", "simhash", "sketch", "keys")]
+        known = [F.any_value(c).alias(c) for c in ("size", "simhash", "keys")]
         classes = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *known)
         classes = st.save(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-        keyed = classes.select("id", "size", "simhash", "sketch", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key"))
+        keyed = classes.select("id", "size", "simhash", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key"))
         met = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
         held = keyed.join(met, "key")
         # A small bucket is a row; a large one stays as rows, since a key may be in any share of all lines.
-        few = held.where(f"k <= {SMALL}").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size", "sketch")).alias("items"))
+        few = held.where(f"k <= {SMALL}").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size")).alias("items"))
         near = st.save(few.select("items").mapInArrow(_near_pairs(similarity), "a long, b long").distinct(), "near")
         large = st.save(held.where(f"k > {SMALL}").select("key", "id"), "large")
         members = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct()
-        held = st.save(classes.select("id", "size", "simhash", "sketch", "d1", "d2").join(st.save(members, "members"), "id"), "candidates")
+        held = st.save(classes.select("id", "size", "simhash", "d1", "d2").join(st.save(members, "members"), "id"), "candidates")
         words = lines.select("d1", "d2", "line").join(held.select("d1", "d2", "id"), ["d1", "d2"]).select("id", "line").dropDuplicates(["id"])
         words = st.save(words, "candidate-lines")
 
         def test(pairs: DataFrame) -> DataFrame:
             """The pairs (a, b) whose lines are similar."""
-            full = pairs.join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
+            # Pairs are small and their comparison is not: they are dealt out evenly.
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            full = pairs.join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b").repartition(parts)
             most = F.floor((1 - similarity) * F.greatest(F.length("la"), F.length("lb")) + 1e-9).cast("int")
             full = full.withColumn("most", most).where(F.abs(F.length("la") - F.length("lb")) <= F.col("most"))
             # With a bound only the cells near the diagonal are filled; -1 stands for beyond it.
@@ -315,21 +281,18 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
 
         def close(pairs: DataFrame) -> DataFrame:
             """The same of pairs that are not known to be near."""
-            hashes = held.select("id", "size", "simhash", "sketch")
+            hashes = held.select("id", "size", "simhash")
             longer = F.greatest("na", "nb")
             within = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * longer + 1e-9
-            bits = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= F.when(longer < FEW, FEW_DISTANCE).otherwise(DISTANCE)
-            apart = F.col("sa").bitwiseXOR(F.col("sb"))
-            agree = sum((F.shiftright(apart, 8 * k).bitwiseAND(F.lit(255)) == 0).cast("int") for k in range(8)) >= AGREE
-            pairs = pairs.join(hashes.toDF("a", "na", "ha", "sa"), "a").join(hashes.toDF("b", "nb", "hb", "sb"), "b")
-            pairs = pairs.where(within & bits & (agree | (longer < FEW))).select("a", "b")
+            bits = (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= DISTANCE) | (longer < FEW)
+            pairs = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within & bits).select("a", "b")
             return test(st.save(pairs, "within"))
 
         def chunked(rows: DataFrame) -> DataFrame:
             chunks = st.save(rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "chunks")
-            items = rows.join(held.select("id", "size", "simhash", "sketch"), "id").join(chunks, "key")
+            items = rows.join(held.select("id", "size", "simhash"), "id").join(chunks, "key")
             items = items.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(7)), "chunks"))
-            packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash", "size", "sketch")).alias("items")), "packs")
+            packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash", "size")).alias("items")), "packs")
             odd = packs.where("not main").select("key", F.col("chunk").alias("c"), F.col("items").alias("left"))
             pairs = odd.join(packs.withColumnRenamed("items", "right"), "key").where("main or chunk <= c")
             pairs = pairs.select("left", "right").mapInArrow(_close(similarity), "a long, b long").distinct()
