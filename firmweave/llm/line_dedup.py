@@ -26,9 +26,9 @@ from firmweave.llm.linking import SMALL, components, find_links
 SIMILARITY = 0.9
 #: Blocks of a SimHash: all pairs within BLOCKS - 1 bits share one.
 BLOCKS = 4
-#: Bits within which a candidate's text is compared; lines under FEW characters have too few words for a limit.
+#: Bits within which a candidate's text is compared, by the longer line's characters: below the bound, so many.
+DISTANCES = ((20, 64), (80, 26))
 DISTANCE = 16
-FEW = 80
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
 SIZE_STEP = 1.6
 #: Words of a run, and runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
@@ -175,7 +175,10 @@ def block_keys(simhash: Column, size: Column, similarity: float = SIMILARITY) ->
 def _near(h1: np.ndarray, n1: np.ndarray, h2: np.ndarray, n2: np.ndarray, similarity: float) -> np.ndarray:
     """Whether lines may be similar by their SimHashes and lengths."""
     longer = np.maximum(n1, n2)
-    within = (np.bitwise_count((h1 ^ h2).view(np.uint64)) <= DISTANCE) | (longer < FEW)
+    bits = np.full(np.shape(longer), DISTANCE)
+    for bound, distance in DISTANCES[::-1]:
+        bits[longer < bound] = distance
+    within = np.bitwise_count((h1 ^ h2).view(np.uint64)) <= bits
     return (np.abs(n1 - n2) <= (1 - similarity) * longer + 1e-9) & within
 
 
@@ -284,7 +287,10 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
             hashes = held.select("id", "size", "simhash")
             longer = F.greatest("na", "nb")
             within = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * longer + 1e-9
-            bits = (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= DISTANCE) | (longer < FEW)
+            most = F.lit(DISTANCE)
+            for bound, distance in DISTANCES[::-1]:
+                most = F.when(longer < bound, distance).otherwise(most)
+            bits = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= most
             pairs = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within & bits).select("a", "b")
             return test(st.save(pairs, "within"))
 

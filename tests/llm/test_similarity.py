@@ -105,7 +105,8 @@ def edits(a, b):
 
 
 def limit(a, b):
-    return 64 if max(len(a.decode()), len(b.decode())) < line_dedup.FEW else line_dedup.DISTANCE
+    size = max(len(a.decode()), len(b.decode()))
+    return next((d for bound, d in line_dedup.DISTANCES if size < bound), line_dedup.DISTANCE)
 
 
 @pytest.mark.parametrize("small", [24, 3])
@@ -174,7 +175,8 @@ def edits(a, b):
 
 
 def limit(a, b):
-    return 64 if max(len(a.decode()), len(b.decode())) < line_dedup.FEW else line_dedup.DISTANCE
+    size = max(len(a.decode()), len(b.decode()))
+    return next((d for bound, d in line_dedup.DISTANCES if size < bound), line_dedup.DISTANCE)
 
 
 def agree(x, y, a, b):
