@@ -28,7 +28,7 @@ SIMILARITY = 0.9
 BLOCKS = 4
 #: Bits within which a candidate's text is compared, by the longer line's characters: below the bound, so many.
 DISTANCES = ((20, 64), (80, 26))
-DISTANCE = 16
+DISTANCE = 12
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
 SIZE_STEP = 1.6
 #: Words of a run, and runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
