@@ -27,7 +27,7 @@ SIMILARITY = 0.9
 #: Blocks of a SimHash: all pairs within BLOCKS - 1 bits share one.
 BLOCKS = 4
 #: Bits within which a candidate's text is compared, by the longer line's characters: below the bound, so many.
-DISTANCES = ((20, 64), (80, 26))
+DISTANCES = ((40, 64), (80, 26))
 DISTANCE = 12
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
 SIZE_STEP = 1.6
