@@ -48,9 +48,11 @@ def _purchases(spark: SparkSession, sf_dir: str, *columns: Column | str) -> Data
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
 
 
-def _hundredths(column: str) -> Column:
-    """A value of two decimals as a whole number, which adds up exactly."""
-    return F.rint(F.col(column) * 100).cast("bigint")
+def hundredths(column: str) -> Column:
+    """A value as a whole number of hundredths, which adds up exactly; halves of one go away from zero, as SQL's DECIMAL rounds a double."""
+    exact = F.col(column) * 100
+    half = F.abs(exact - F.rint(exact)) == 0.5
+    return F.when(half, exact + F.signum(exact) / 2).otherwise(F.rint(exact)).cast("bigint")
 
 
 def _parts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
@@ -60,7 +62,7 @@ def _parts(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 def _top_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers by spend. The rank bound lets Spark cut each task's rows before the shuffle."""
     spend = (
-        _purchases(spark, sf_dir, "l_suppkey", _hundredths("l_extendedprice").alias("cents"))
+        _purchases(spark, sf_dir, "l_suppkey", hundredths("l_extendedprice").alias("cents"))
         .groupBy("ck", "l_suppkey")
         .agg(F.sum("cents").alias("spend"))
         .join(table(spark, sf_dir, "supplier", "s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -97,7 +99,7 @@ def _finances(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_brand = (
         _purchases(
             spark, sf_dir, "l_partkey",
-            _hundredths("l_extendedprice").alias("cents"), _hundredths("l_discount").alias("percent"),
+            hundredths("l_extendedprice").alias("cents"), hundredths("l_discount").alias("percent"),
         )
         .join(_parts(spark, sf_dir, "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("ck", "p_brand")

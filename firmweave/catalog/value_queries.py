@@ -6,12 +6,14 @@ meets every shape at any scale.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from firmweave.catalog import duck
-from firmweave.catalog.fixtures import DATE, customers_with_place, decorated_name, raw_address, table
+from firmweave.catalog.fixtures import DATE, customers_with_place, decorated_name, hundredths, raw_address, table
 from firmweave.catalog.query import QuerySet
 from firmweave.functions import lists, numbers, text
 
@@ -343,7 +345,7 @@ _SQL_NUMBER_TEXT = _sql_case(
 @QUERIES.add("to_number", f"SELECT o_orderkey, {duck.to_number('v')} AS number "
                           f"FROM (SELECT o_orderkey, {_SQL_NUMBER_TEXT} AS v FROM orders)")
 def to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    price = (hundredths("o_totalprice").cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)").cast("string")
     shapes = [
         F.concat(F.lit("  "), price, F.lit("\t")),
         F.concat(price, F.lit("e-2")),
