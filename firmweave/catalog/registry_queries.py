@@ -211,7 +211,7 @@ def resolve_entities_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @QUERIES.add("harmonize_blank_names", with_views(f"SELECT {REGISTRY_COLUMNS} FROM hard_registry", "hard_registry"))
 def harmonize_blank_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return harmonize(resolve_entities(*_hard_sources(spark, sf_dir)), DATE)
+    return build_registry(fixtures.hard_source1(spark, sf_dir), fixtures.hard_source2(spark, sf_dir), DATE)
 
 
 _FIRST = "substr(corporate_id, 1, 1)"

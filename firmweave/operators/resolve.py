@@ -27,8 +27,10 @@ HOT_ROWS = 1_000_000
 #: Hot keys of a side at most, and keys that the sketch keeps count of: any key with more than its rows / HOT_TRACKED is among them.
 HOT_KEYS = 1_000
 HOT_TRACKED = 10_000
+#: Parts of either side that a job cuts the blank key into, without counting it: it is the one key known to be hot on both.
+BLANK_PARTS = 16
 
-_ROW, _COLUMN = "_grid_row", "_grid_column"
+_ROW, _COLUMN, _ID = "_grid_row", "_grid_column", "_pair_id"
 
 
 def heavy_keys(df: DataFrame, hot_rows: int) -> DataFrame:
@@ -49,12 +51,21 @@ def gridded(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame
     hot = F.broadcast(sides[0].join(sides[1], NAME_KEY, "full_outer"))  # a row per hot key, 2 * HOT_KEYS at most
     rows, columns = (F.coalesce(F.col(c), F.lit(1)) for c in ("_rows", "_columns"))
 
-    def cut(df: DataFrame, own: str, parts: Column, other: str, repeats: Column) -> DataFrame:
-        part = F.pmod(F.xxhash64(*df.columns), parts).cast("int")
-        met = df.join(hot, NAME_KEY, "left").withColumns({own: part, other: F.explode(F.sequence(F.lit(0), repeats - 1))})
-        return met.drop("_rows", "_columns")
+    met = [df.join(hot, NAME_KEY, "left") for df in (left, right)]
+    cells = _cut(met[0], left.columns, _ROW, rows, _COLUMN, columns), _cut(met[1], right.columns, _COLUMN, columns, _ROW, rows)
+    return cells[0].drop("_rows", "_columns"), cells[1].drop("_rows", "_columns")
 
-    return cut(left, _ROW, rows, _COLUMN, columns), cut(right, _COLUMN, columns, _ROW, rows)
+
+def _cut(df: DataFrame, columns: list[str], own: str, parts: Column, other: str, repeats: Column) -> DataFrame:
+    """Each row in the part of its own that its columns say, once for each part of the other side."""
+    part = F.when(parts > 1, F.pmod(F.xxhash64(*columns), parts)).otherwise(F.lit(0)).cast("int")
+    return df.withColumns({own: part, other: F.explode(F.sequence(F.lit(0), repeats - 1))})
+
+
+def blank_gridded(left: DataFrame, right: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
+    """As ``gridded``, but the blank key alone is cut, into ``parts`` on either side, and no key is counted."""
+    count = F.when(F.col(NAME_KEY) == "", F.lit(parts)).otherwise(F.lit(1))
+    return _cut(left, left.columns, _ROW, count, _COLUMN, count), _cut(right, right.columns, _COLUMN, count, _ROW, count)
 
 
 def blank_rows(df: DataFrame) -> DataFrame:
@@ -63,7 +74,7 @@ def blank_rows(df: DataFrame) -> DataFrame:
 
 
 def resolve_entities(
-    s1: DataFrame, s2: DataFrame, drop_blank_keys: bool = False, hot_rows: int | None = None
+    s1: DataFrame, s2: DataFrame, drop_blank_keys: bool = False, hot_rows: int | None = None, blank_parts: int = 0
 ) -> DataFrame:
     """Every pair of cleaned rows with the same name key, and its id.
 
@@ -71,16 +82,22 @@ def resolve_entities(
     rule says; ``drop_blank_keys`` leaves them out (``blank_rows`` gives them). Keys that hold ``hot_rows`` rows or
     more on either side are cut into a grid of parts (None: no key is, and the keys are not counted); else the join strategy is the planner's: it
     broadcasts a side whose size is under its threshold, else sorts and merges, and adaptive execution splits large partitions.
+    The pairs of the blank key grow with the square of its rows, which the size of a partition does not show: ``blank_parts`` cuts each side of it
+    into so many parts. With ``hot_rows`` it is counted and cut as the others are.
     """
     left, right = with_keys(s1, address=True), with_keys(s2, address=False)
     if drop_blank_keys:
         left, right = left.filter(F.col(NAME_KEY) != ""), right.filter(F.col(NAME_KEY) != "")
     clashing = (set(left.columns) & set(right.columns)) - {NAME_KEY}
     left, right, on = _suffixed(left, clashing, "s1"), _suffixed(right, clashing, "s2"), [NAME_KEY]
+    # The id hangs on the left row alone: one per row, however many pairs it has.
+    left = left.withColumn(_ID, corporate_id(F.col(NAME_KEY), F.col(ADDRESS_KEY)))
     if hot_rows:
         left, right, on = *gridded(left, right, hot_rows), [NAME_KEY, _ROW, _COLUMN]
+    elif blank_parts and not drop_blank_keys:
+        left, right, on = *blank_gridded(left, right, blank_parts), [NAME_KEY, _ROW, _COLUMN]
     joined = left.join(right, on, "inner").drop(_ROW, _COLUMN)
-    return joined.withColumn("corporate_id", corporate_id(F.col(NAME_KEY), F.col(ADDRESS_KEY)))
+    return joined.withColumn("corporate_id", F.col(_ID)).drop(_ID)
 
 
 def _key_counts(df: DataFrame, raw_name: str, side: str) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from firmweave.config import EtlConfig
 from firmweave.lake import LakeTable, load_with_fallback
 from firmweave.operators.clean import clean_source1, clean_source2
-from firmweave.operators.harmonize import harmonize
+from firmweave.operators.harmonize import harmonize, prepared
 from firmweave.operators.quality import quality_report, stage_counts
-from firmweave.operators.resolve import blank_rows, resolve_entities
+from firmweave.operators.resolve import BLANK_PARTS, blank_rows, resolve_entities
 from firmweave.sinks.files import load_dataset, load_registry, timestamp_text
 from firmweave.sources.files import ReadOptions, extract_source1, extract_source2, read_parquet
 from firmweave.storage import stage
@@ -35,7 +35,8 @@ def build_registry(
     drop_blank_keys: bool = False,
 ) -> DataFrame:
     """Clean, match and harmonise as one lazy plan, with one join in it."""
-    resolved = resolve_entities(clean_source1(source1), clean_source2(source2), drop_blank_keys)
+    sides = prepared(clean_source1(source1)), prepared(clean_source2(source2))
+    resolved = resolve_entities(*sides, drop_blank_keys, blank_parts=BLANK_PARTS)
     return harmonize(resolved, processed_date)
 
 
@@ -66,7 +67,9 @@ def run_etl(spark: SparkSession, conf: EtlConfig) -> EtlResult:
     if conf.drop_blank_keys:  # what the match leaves out is kept where it can be looked at
         for name, rows in (("source1_unnamed", cleaned1), ("source2_unnamed", cleaned2)):
             blank_uris[name] = load_dataset(blank_rows(rows), conf.output_uri, name, conf.output_format, timestamp)
-    resolved = resolve_entities(cleaned1, cleaned2, conf.drop_blank_keys, conf.hot_rows)
+    # What is saved of the pairs is what the match makes; else the sides bring along what the registry takes from them.
+    sides = (cleaned1, cleaned2) if conf.save_intermediate else (prepared(cleaned1), prepared(cleaned2))
+    resolved = resolve_entities(*sides, conf.drop_blank_keys, conf.hot_rows, BLANK_PARTS)
     resolved = _checkpoint(resolved, "entities_resolved", conf, timestamp, uris)
     registry = harmonize(resolved, conf.processed_date)
 

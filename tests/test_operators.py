@@ -312,3 +312,34 @@ def test_rows_without_a_name_are_set_aside(spark):
 
     rows = spark.createDataFrame([("A",), (None,), (" -.",)], "corporate_name_clean string")
     assert resolve.blank_rows(rows).count() == 2
+
+
+def test_the_blank_key_is_cut_without_being_counted(spark):
+    """The pairs of rows without a name are dealt to many tasks; pairs and registry are those of the plain join."""
+    from firmweave.operators import resolve
+    from firmweave.operators.clean import clean_source1, clean_source2
+    from firmweave.operators.harmonize import harmonize, prepared
+
+    left = spark.createDataFrame(
+        [(None if i % 2 else f"n{i}", f" a {i}", ["x", "none", f" {i}"], ["s"]) for i in range(400)],
+        "corporate_name_S1 string, address string, activity_places array<string>, top_suppliers array<string>",
+    )
+    right = spark.createDataFrame(
+        [(" - " if i < 200 else "nan" if i == 200 else f"n{i}", ["['b' 'c']"], float(i), 1.0) for i in range(400)],
+        "corporate_name_S2 string, main_customers array<string>, revenue double, profit double",
+    )
+    s1, s2 = clean_source1(left), clean_source2(right)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = harmonize(resolve.resolve_entities(s1, s2), "2026-01-15")
+        cut = harmonize(resolve.resolve_entities(prepared(s1), prepared(s2), blank_parts=resolve.BLANK_PARTS), "2026-01-15")
+        largest = [max(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()) for df in (plain, cut)]
+        rows = [sorted(map(tuple, df.collect()), key=repr) for df in (plain, cut)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert rows[0] == rows[1] and len(rows[0]) == 200 * 200 + 99
+    assert largest[0] >= 40_000 and largest[1] < 16_000
+    assert plain.schema == cut.schema
