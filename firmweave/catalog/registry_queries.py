@@ -23,7 +23,7 @@ from firmweave.schemas import REGISTRY, SOURCE1, SOURCE2
 from firmweave.sinks.files import load_dataset, load_registry, prepare_for_export, write_dataset
 from firmweave.sources import files
 from firmweave.sources.json_arrays import read_json_array
-from firmweave.storage import join_uri, scratch_dir
+from firmweave.storage import join_uri, scratch_dir, stage
 
 QUERIES = QuerySet()
 
@@ -98,7 +98,7 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one top-level array, cut into records by the reader that several tasks share."""
     uri = scratch_dir(spark, "src_json_array")
-    write_json_arrays(fixtures.source2(spark, sf_dir), uri)
+    write_json_arrays(stage(fixtures.source2(spark, sf_dir), "derived2"), uri)
     return flat(read_json_array(spark, files.json_array_files(spark, uri)[1], SOURCE2))
 
 
@@ -567,8 +567,9 @@ def write_json_arrays(rows: DataFrame, uri: str, array_rows: int = ARRAY_ROWS) -
 def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON in both layouts in one folder on the way in, JSON out."""
     uris = {}
-    for number, rows in ((1, fixtures.source1(spark, sf_dir)), (2, fixtures.source2(spark, sf_dir))):
+    for number, derived in ((1, fixtures.source1(spark, sf_dir)), (2, fixtures.source2(spark, sf_dir))):
         uris[f"source{number}_uri"] = uri = scratch_dir(spark, f"source{number}")
+        rows = stage(derived, f"derived{number}")  # read three times below
         name = F.col(f"corporate_name_S{number}")
         rows.filter(F.crc32(name) % 2 == 0).write.json(uri, ignoreNullFields=False)
         # The other half as top-level arrays of ARRAY_ROWS rows or so: text files of their own in the same folder.
