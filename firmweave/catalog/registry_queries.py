@@ -514,8 +514,11 @@ def table_ident(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the job -----------------------------------------------------------------------------------
 
 
-def _etl(spark: SparkSession, sf_dir: str, **settings) -> EtlResult:
-    uris = {f"{name}_uri": uri for name, (uri, _) in source_files(spark, sf_dir).items()}
+def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    return {f"{name}_uri": uri for name, (uri, _) in source_files(spark, sf_dir).items()}
+
+
+def _etl(spark: SparkSession, uris: dict[str, str], **settings) -> EtlResult:
     output = scratch_dir(spark, "processed")
     return run_etl(
         spark, EtlConfig(**uris, output_uri=output, processed_date=DATE, timestamp=STAMP, **settings)
@@ -525,26 +528,26 @@ def _etl(spark: SparkSession, sf_dir: str, **settings) -> EtlResult:
 @QUERIES.add("etl_job", SQL_REGISTRY)
 def etl_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
-    _etl(spark, sf_dir, table_enabled=True, table_root=root, table_mode="upsert")
+    _etl(spark, _inputs(spark, sf_dir), table_enabled=True, table_root=root, table_mode="upsert")
     return read_table(spark, LakeTable(EtlConfig.table_name, root))
 
 
 @QUERIES.add("etl_job_append", with_views(
     f"SELECT {REGISTRY_COLUMNS} FROM registry UNION ALL SELECT {REGISTRY_COLUMNS} FROM registry", "registry"))
 def etl_job_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The default mode, run twice into a partitioned table."""
-    root = scratch_dir(spark, "lake")
+    """The default mode, run twice over the same input files into a partitioned table."""
+    root, uris = scratch_dir(spark, "lake"), _inputs(spark, sf_dir)
     for _ in range(2):
-        _etl(spark, sf_dir, table_enabled=True, table_root=root, partition_key="processed_date")
+        _etl(spark, uris, table_enabled=True, table_root=root, partition_key="processed_date")
     return read_table(spark, LakeTable(EtlConfig.table_name, root)).select(*REGISTRY.fieldNames())
 
 
 @QUERIES.add("etl_job_retried", with_views(f"SELECT {REGISTRY_COLUMNS} FROM registry", "registry"))
 def etl_job_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default mode, run again under the same name as a scheduler does after a failure: its rows are there once."""
-    root = scratch_dir(spark, "lake")
+    root, uris = scratch_dir(spark, "lake"), _inputs(spark, sf_dir)
     for _ in range(2):
-        _etl(spark, sf_dir, table_enabled=True, table_root=root, batch="scheduled 2026-01-15")
+        _etl(spark, uris, table_enabled=True, table_root=root, batch="scheduled 2026-01-15")
     return read_table(spark, LakeTable(EtlConfig.table_name, root))
 
 
@@ -591,7 +594,7 @@ def etl_job_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "registry"))
 def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a run, over the files that it read and wrote."""
-    return _etl(spark, sf_dir).report.withColumn("value", F.col("value").cast("bigint"))
+    return _etl(spark, _inputs(spark, sf_dir)).report.withColumn("value", F.col("value").cast("bigint"))
 
 
 @QUERIES.add("stage_counts", with_views(
@@ -601,7 +604,7 @@ def etl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), "registry"))
 def query_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted over the files that the job read and wrote."""
-    return _etl(spark, sf_dir).counts
+    return _etl(spark, _inputs(spark, sf_dir)).counts
 
 
 _SQL_CHECKPOINTS = (
@@ -623,7 +626,7 @@ _SQL_CHECKPOINTS = (
     ), "resolved"))
 def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the three intermediate datasets hold."""
-    result, out = _etl(spark, sf_dir, save_intermediate=True), None
+    result, out = _etl(spark, _inputs(spark, sf_dir), save_intermediate=True), None
     for stage, _, columns in _SQL_CHECKPOINTS:
         rows = flat(files.read_parquet(spark, result.intermediate_uris[stage]))
         picked = [(F.lit(None).cast("string") if c is None else F.col(c)).alias(f"c{i}") for i, c in enumerate(columns)]
