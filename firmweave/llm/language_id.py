@@ -24,6 +24,8 @@ ORDER = 4
 DISCOUNT = 0.75
 #: Labelled texts that the models are fitted on: an equal share for each language, those of the smallest hashes.
 SAMPLE_TEXTS = 40_000
+#: All hashes are counted in slices by so many leading bits, to find where the shares end.
+SLICE_BITS = 12
 #: Deviations (from the quartiles, LEAST_SPREAD at least) beyond the median at which a text is rejected, and held-out training texts that
 #: a language's length class, or a language, needs for a limit of its own; below, that of the language or of all of them holds.
 REJECT_AT = 12.0
@@ -179,10 +181,17 @@ def sample(st: Stages, docs: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
     rows = docs.select("text", "lang").where("lang is not null and text is not null").withColumn("hash", F.xxhash64("text"))
     hashes = st.save(rows.groupBy("lang", "hash").agg(F.count("*").alias("n")), "text-hashes")
     languages = hashes.select("lang").distinct().count()
+    share = max(1, texts // max(1, languages))
+    # Only hashes up to the slice in which a language's share ends are ranked, and no text is shuffled.
+    slices = hashes.groupBy("lang", F.shiftright("hash", 64 - SLICE_BITS).alias("slice")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("lang").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).where(F.col("before") < share)
+    ends = slices.groupBy("lang").agg(F.max("slice").alias("end"))  # a row per language, as below
+    low = hashes.join(F.broadcast(ends), "lang").where(F.shiftright("hash", 64 - SLICE_BITS) <= F.col("end"))
     by_hash = Window.partitionBy("lang").orderBy("hash")
-    ranked = hashes.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= max(1, texts // max(1, languages)))
-    least = ranked.groupBy("lang").agg(F.max("hash").alias("last"))  # a row per language
-    return st.save(rows.join(least, "lang").where("hash <= last").select("text", "lang"), "sample")
+    ranked = low.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= share)
+    least = st.save(ranked.groupBy("lang").agg(F.max("hash").alias("last")), "least-hashes")
+    return st.save(rows.join(F.broadcast(least), "lang").where("hash <= last").select("text", "lang"), "sample")
 
 
 def fit(st: Stages, taught: DataFrame) -> Model | None:
