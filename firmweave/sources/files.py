@@ -67,9 +67,9 @@ def json_array_files(spark: SparkSession, uri: str) -> tuple[list[str], list[str
     # Cut at braces, a row is no longer than a record, also where a file is one line.
     lines = spark.read.text(uri, lineSep=CUT).select("value", "_metadata.file_path", "_metadata.file_block_start")
     # The first split of a file is read in order by one task, so its first row is the file's first.
-    first = lines.filter((F.col("file_block_start") == 0) & F.col("value").rlike(r"\S")).groupBy("file_path")
-    first = first.agg(F.first(F.ltrim(F.translate(F.substring("value", 1, 4096), "\ufeff\t", "  "))).alias("start"))
-    kinds = first.select("file_path", F.col("start").startswith("[").alias("array")).collect()
+    mark = F.regexp_extract("value", r"[^\s\x{feff}]", 0)
+    first = lines.filter(F.col("file_block_start") == 0).withColumn("mark", mark).filter("mark <> ''").groupBy("file_path")
+    kinds = first.agg((F.first("mark") == "[").alias("array")).collect()
     jvm = spark._jvm
 
     def path(text: str) -> str:

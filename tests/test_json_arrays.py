@@ -64,3 +64,15 @@ def test_what_is_not_one_whole_array_is_refused(spark, tmp_path, text):
     schema = spark.createDataFrame([], SCHEMA).schema
     with pytest.raises(Exception, match="not one whole|MALFORMED|Malformed|FAILFAST"):
         json_arrays.read_json_array(spark, [str(tmp_path / "a.json")], schema).collect()
+
+
+def test_the_layout_follows_the_first_character_that_is_not_blank(spark, uri, tmp_path):
+    (tmp_path / "j").mkdir()
+    for k, blank in enumerate(["\r\n", "\n\t\n ", "﻿\n", " \n" * 3000]):
+        (tmp_path / f"j/a{k}.json").write_text(blank + "[\n" + json.dumps({"n": k}) + "]", encoding="utf-8", newline="")
+        (tmp_path / f"j/l{k}.json").write_text("\n" * k + json.dumps({"n": 10 + k, "l": ["["]}), encoding="utf-8", newline="")
+    lines, arrays = json_array_files(spark, uri("j"))
+    assert sorted(p.rsplit("/", 1)[1] for p in arrays) == [f"a{k}.json" for k in range(4)]
+    assert len(lines) == 4
+    found = read_json(spark, uri("j"), spark.createDataFrame([], "n long, l array<string>").schema)
+    assert sorted(r.n for r in found.collect()) == [0, 1, 2, 3, 10, 11, 12, 13]
