@@ -3,7 +3,8 @@
 A line is normalised (case, punctuation, digits to 0) and lines with one digest are one class. Each class has a 64-bit
 SimHash of its words, weighted by their lengths, so that the short words which all lines of a language share do not make them alike.
 The SimHash is cut into BLOCKS blocks; classes of like length that share one are candidates, and by the pigeonhole principle that is
-every pair within BLOCKS - 1 bits. A tenth of a line's characters can move more bits than blocks can bear. Pairs beyond their reach are met
+every pair within BLOCKS - 1 bits. Blocks are long, since lines that meet by chance grow with the square of all lines. A tenth of a line's
+characters moves more bits than blocks can bear, so most pairs are met
 by their text: longer lines by the least of their runs of words, lines under SHORT characters by pieces of characters.
 Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold.
 Of every connected group of classes the earliest line stays.
@@ -25,16 +26,19 @@ from firmweave.llm.linking import SMALL, components, find_links
 
 SIMILARITY = 0.9
 #: Blocks of a SimHash: all pairs within BLOCKS - 1 bits share one.
-BLOCKS = 4
+BLOCKS = 2
 #: Bits within which a candidate's text is compared, by the longer line's characters: below the bound, so many.
 DISTANCES = ((40, 64), (80, 26))
-DISTANCE = 12
+DISTANCE = 14
 #: Lengths of a class of lengths differ by less than this factor; a line is looked up in its own and, near the edge, in the next one.
 SIZE_STEP = 1.6
-#: Words of a run, and runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
-RUN = 3
-RUN_KEYS = 3
-ALL_RUNS = 16
+#: Words of a run: RUN, or so many more, up to RUN_MOST, that it has RUN_BYTES, as runs of short words are in any line.
+RUN = 2
+RUN_MOST = 6
+RUN_BYTES = 16
+#: Runs (the least in each of so many parts of all hashes) by which a line is met; up to ALL_RUNS words, by all of them.
+RUN_KEYS = 6
+ALL_RUNS = 8
 #: Lines of fewer characters have keys by pieces of characters, such that no pair within a tenth of the longer one is missed.
 SHORT = 40
 #: Classes of a chunk, about, where what is left of a large bucket is compared.
@@ -88,16 +92,22 @@ def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b = first[full[i]], first[full[i] + 1]
         ones[i] = sum((bits[word[c : min(c + 10_000, b)]] * sizes[word[c : min(c + 10_000, b)], None]).sum(0) for c in range(a, b, 10_000))
     out[full] = np.packbits(2 * ones > weights[:, None], axis=1).view(np.uint64).reshape(-1)
-    # Runs of RUN words of one line; a shorter line is one run of what it has.
+    # Runs of words of one line; a line without one is one run of what it has.
     counts = np.diff(first)[full]
     size, line = np.repeat(counts, counts), np.repeat(full, counts)
     left = np.repeat(first[1:][full], counts) - np.arange(len(words))
     none = np.uint64(2**64 - 1)
-    run = words.copy()
-    for k in range(1, RUN):
-        run[:-k] = mix64(run[:-k]) + np.where(left[:-k] > k, words[k:], np.uint64(0))
+    run, own = words.copy(), ends - starts
+    letters, whole = own.copy(), np.zeros(len(words), bool)
+    for k in range(1, RUN_MOST):
+        at = np.flatnonzero(~whole & (left > k))
+        run[at] = mix64(run[at]) + words[at + k]
+        letters[at] += own[at + k]
+        if k + 1 >= RUN:
+            whole[at] = letters[at] >= RUN_BYTES
+    whole |= left >= RUN_MOST
+    whole |= (left == size) & ~np.repeat(np.logical_or.reduceat(whole, first[full]), counts)
     run = mix64(run + _STEP)
-    whole = (left >= RUN) | (left == size) & (size < RUN)
     every = whole & (size <= ALL_RUNS)
     numbers, keys = [line[every]], [run[every]]
     part = run % np.uint64(RUN_KEYS)
@@ -183,26 +193,30 @@ def _near(h1: np.ndarray, n1: np.ndarray, h2: np.ndarray, n2: np.ndarray, simila
 
 
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All there is to know of every line, from one pass over the texts."""
+    """All there is to know of every line, from one pass over the texts; what its class shares, of the class's first line in a chunk only."""
     for batch in batches:
         for a, b, _, _ in text_chunks(batch):
-            at, number, lines = [], [], []
+            at, number, own, classes = [], [], [], {}
             for i, text in enumerate(batch.column("text").slice(a, b - a).to_pylist(), a):
                 if text:
                     for k, line in enumerate(normal_lines(text)):
                         if line:
                             at.append(i)
                             number.append(k)
-                            lines.append(line)
+                            own.append(classes.setdefault(line, len(classes)))
+            lines, own = list(classes), np.array(own, np.int64)
             hashes, numbers, keys = _hashed(lines)
             texts = [x.decode() for x in lines]
-            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in lines]), np.int64).reshape(-1, 2)
-            picked = batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64()))
+            digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x) for x in lines]), np.int64).reshape(-1, 2)[own]
+            seen = np.ones(len(own), bool)
+            seen[np.unique(own, return_index=True)[1]] = False
+            known = pa.array(own, mask=seen)
+            shared = (pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()))
             columns = [
-                *picked.columns, pa.array(number, pa.int32()), pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)),
-                pa.array(digests[:, 0]), pa.array(digests[:, 1]), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()),
+                *batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64())).columns, pa.array(number, pa.int32()),
+                pa.array(digests[:, 0]), pa.array(digests[:, 1]), *[x.take(known) for x in shared],
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "size", "simhash", "d1", "d2", "keys", "line"])
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "id", "rest", "size", "simhash", "keys", "line"])
 
 
 def _near_pairs(similarity: float):
@@ -254,22 +268,23 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
     with Stages(spark) as st:
         numbered = dict(docs.dtypes).get(row) == "bigint"
         texts = docs.select((F.col(row) if numbered else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-        schema = "row long, doc_id long, line_no int, size int, simhash long, d1 long, d2 long, keys array<long>, line string"
+        # A class goes by the first half of its digest; lines that are not linked to others are told apart by both halves.
+        schema = "row long, doc_id long, line_no int, id long, rest long, size int, simhash long, keys array<long>, line string"
         lines = st.save(texts.mapInArrow(_classed, schema), "lines")
-        place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line_no")
-        known = [F.any_value(c).alias(c) for c in ("size", "simhash", "keys")]
-        classes = lines.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n"), *known)
-        classes = st.save(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
-        keyed = classes.select("id", "size", "simhash", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key"))
-        met = keyed.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-        held = keyed.join(met, "key")
+        firsts = lines.where("size is not null")
+        # Keys are shuffled once, for their counts and for the rows of those that two classes have.
+        keyed = firsts.select("id", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key")).repartition("key")
+        met = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
+        shared = st.save(keyed.join(met.hint("shuffle_hash"), "key").select("key", "id").distinct(), "shared")
+        held = firsts.select("id", "size", "simhash").join(shared.select("id").distinct(), "id").dropDuplicates(["id"])
+        held = st.save(held, "candidates")
+        counted = st.save(shared.join(shared.groupBy("key").agg(F.count("*").alias("k")), "key"), "counted")
         # A small bucket is a row; a large one stays as rows, since a key may be in any share of all lines.
-        few = held.where(f"k <= {SMALL}").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size")).alias("items"))
+        few = counted.where(f"k <= {SMALL}").join(held, "id").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size")).alias("items"))
         near = st.save(few.select("items").mapInArrow(_near_pairs(similarity), "a long, b long").distinct(), "near")
-        large = st.save(held.where(f"k > {SMALL}").select("key", "id"), "large")
+        large = counted.where(f"k > {SMALL}").select("key", "id")
         members = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct()
-        held = st.save(classes.select("id", "size", "simhash", "d1", "d2").join(st.save(members, "members"), "id"), "candidates")
-        words = lines.select("d1", "d2", "line").join(held.select("d1", "d2", "id"), ["d1", "d2"]).select("id", "line").dropDuplicates(["id"])
+        words = firsts.select("id", "line").join(st.save(members, "members"), "id").dropDuplicates(["id"])
         words = st.save(words, "candidate-lines")
 
         def test(pairs: DataFrame) -> DataFrame:
@@ -313,10 +328,13 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
         links = links.unionByName(st.save(test(apart.join(one, ["a", "b"], "left_anti")), "links"))
         others = find_links(st, large, close, chunked)
         groups = components(st, links if others is None else links.unionByName(others))
-        named = st.save(classes.join(groups, "id", "left").select("d1", "d2", "first", "n", F.coalesce("label", "id").alias("label")), "named")
-        firsts = named.groupBy("label").agg(F.min("first").alias("m"), F.sum("n").alias("occurrences")).where("occurrences > 1")
-        kept = st.save(named.select("d1", "d2", "label").join(st.save(firsts, "firsts"), "label").select("d1", "d2", "m", "occurrences"), "kept")
-        out = lines.select("row", "doc_id", "line_no", "d1", "d2").join(kept, ["d1", "d2"])
+        named = lines.select("row", "doc_id", "line_no", "id", "rest").join(groups, "id", "left").withColumn("rest", F.when(F.col("label").isNull(), F.col("rest")))
+        named = named.select("row", "doc_id", "line_no", F.coalesce("label", "id").alias("label"), F.coalesce("rest", F.lit(0)).alias("rest"))
+        named = st.save(named, "named")
+        several = named.groupBy("label", "rest").agg(F.count("*").alias("occurrences")).where("occurrences > 1")
+        repeated = st.save(named.join(several, ["label", "rest"]), "repeated")
+        place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "line_no")
+        out = repeated.join(repeated.groupBy("label", "rest").agg(F.min(place).alias("m")), ["label", "rest"])
         out = out.where("row <> m.row or line_no <> m.line_no")
         number = F.col("line_no").cast("long").alias("line_no")
         return st.save(
