@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmweave.llm.common import Stages, mix64, text_chunks, unused, word_hashes, word_spans
+from firmweave.llm.edits import within
 from firmweave.llm.linking import SMALL, components, find_links
 
 SIMILARITY = 0.9
@@ -258,6 +259,19 @@ def _close(similarity: float):
     return run
 
 
+def _similar(similarity: float):
+    """The pairs whose lines are similar by edits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("la").to_pylist(), batch.column("lb").to_pylist()
+            longer = np.array([max(len(x), len(y)) for x, y in zip(left, right, strict=True)], np.int64)
+            near = within(left, right, ((1 - similarity) * longer + 1e-9).astype(np.int64))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return run
+
+
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "row") -> DataFrame:
     """A row per line to remove: row, doc_id, line_no, kept_doc_id, kept_line_no, occurrences (lines of the group).
 
@@ -289,13 +303,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
 
         def test(pairs: DataFrame) -> DataFrame:
             """The pairs (a, b) whose lines are similar."""
-            # Pairs are small and their comparison is not: they are dealt out evenly.
-            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            full = pairs.join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b").repartition(parts)
-            most = F.floor((1 - similarity) * F.greatest(F.length("la"), F.length("lb")) + 1e-9).cast("int")
-            full = full.withColumn("most", most).where(F.abs(F.length("la") - F.length("lb")) <= F.col("most"))
-            # With a bound only the cells near the diagonal are filled; -1 stands for beyond it.
-            return full.where("levenshtein(la, lb, most) >= 0").select("a", "b")
+            full = pairs.join(words.toDF("a", "la"), "a").join(words.toDF("b", "lb"), "b")
+            return full.select("a", "b", "la", "lb").mapInArrow(_similar(similarity), "a long, b long")
 
         def close(pairs: DataFrame) -> DataFrame:
             """The same of pairs that are not known to be near."""
