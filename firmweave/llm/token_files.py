@@ -61,34 +61,35 @@ def decode_block(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 
 def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 16-bit, the end id included) and their crc32 of every whole text."""
+    """doc_id, n_tokens, ids (little-endian unsigned 16-bit, the end id included) and their crc32 of every whole text; and a row per task
+    that has nothing but ``seen``, how often each id occurs in the task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder.of_worker(tokenizer), np.array([end_id], "<u2").tobytes()
+        total = np.zeros(65536, np.int64)
         for batch in batches:
             for a, b, _, _ in text_chunks(batch):
-                ids = [x + end for x in encoder.encode_all(batch.column("text").slice(a, b - a).to_pylist())]
+                texts = batch.column("text").slice(a, b - a).cast(pa.binary())
+                ids = [x + end for x in encoder.encode_all(texts.to_pylist())]
+                total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=65536)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
                         pa.array([len(x) // 2 for x in ids], pa.int64()),
                         pa.array(list(map(zlib.crc32, ids)), pa.int64()),
                         pa.array(ids, pa.binary()),
+                        pa.nulls(b - a, kind),
                     ],
-                    names=["doc_id", "n_tokens", "crc", "ids"],
+                    names=["doc_id", "n_tokens", "crc", "ids", "seen"],
                 )
+        some = np.flatnonzero(total)
+        seen = [[{"id": i, "n": n} for i, n in zip(some.tolist(), total[some].tolist(), strict=True)]]
+        nulls = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*nulls, pa.array(seen, kind)], names=["doc_id", "n_tokens", "crc", "ids", "seen"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, crc long, ids binary")
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(65536, np.int64)
-    for batch in batches:
-        for a in range(0, batch.num_rows, 1000):
-            ids = b"".join(batch.column("ids").slice(a, 1000).to_pylist())
-            total += np.bincount(np.frombuffer(ids, "<u2"), minlength=65536)
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
+    schema = "doc_id long, n_tokens long, crc long, ids binary, seen array<struct<id:long,n:long>>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def _joined(rank_of: np.ndarray):
@@ -132,7 +133,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2) ->
     spark = docs.sparkSession
     with Stages(spark) as st:
         rows = st.save(token_rows(docs, tokenizer, end_id), "token-ids")
-        counts = rows.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        counts = rows.where("n_tokens is null").select(F.inline("seen")).groupBy("id").agg(F.sum("n").alias("n"))
         by_count = sorted(counts.collect(), key=lambda r: (-r.n, r.id))  # at most 65,536 ids
         ids = np.array([r.id for r in by_count], np.int64)
         rank_of = np.zeros(65536, np.uint32)
@@ -142,7 +143,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 2) ->
         # The range shuffle looks at its input twice, so that is what is written already; documents are coded once, after it.
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         order = ["doc_id", "n_tokens", "crc"]
-        dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
+        dealt = rows.where("n_tokens is not null").drop("seen").repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "ids")
         blocks = dealt.mapInArrow(_joined(rank_of), "block long, doc_ids array<long>, sizes array<long>, control binary, data binary")
         blocks.withColumn("shard", F.spark_partition_id()).write.mode("overwrite").option("compression", "none").parquet(join_uri(uri, "blocks"))
 

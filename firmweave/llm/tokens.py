@@ -104,6 +104,10 @@ class WordEncoder:
             self.parts.clear()
         split, other, parts = [], [], set()
         for word in missing:
+            if word.isalpha():  # of ASCII letters, as most are
+                split.append((word, letters := word.lower().decode(), ""))
+                parts.add(letters)
+                continue
             text = word.decode()
             plain = _PLAIN.fullmatch(text)
             if plain:
@@ -119,22 +123,25 @@ class WordEncoder:
             self.words[word] = self.parts[letters] + (self.parts[marks] if marks else b"")
         self.words.update(zip([w for w, _ in other], self._library([t for _, t in other]), strict=True))
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 16-bit values; a null text is empty."""
+    def encode_all(self, texts: list[str | bytes | None]) -> list[bytes]:
+        """Ids of each text (or its UTF-8 bytes) as little-endian unsigned 16-bit values; a null text is empty."""
         if not self.by_word:
-            return self._library([t or "" for t in texts])
+            return self._library([(t.decode() if isinstance(t, bytes) else t) or "" for t in texts])
         gc.disable()  # the many small objects here are freed by count
         self.words.missed = missed = []
-        split = [list(map(self.words.__getitem__, t.encode().split())) if t else [] for t in texts]
+        split, misses = [], [0]
+        for t in texts:
+            split.append(list(map(self.words.__getitem__, (t if isinstance(t, bytes) else t.encode()).split())) if t else [])
+            misses.append(len(missed))
         if missed:
             fresh = set(missed)
             self._learn(list(fresh))
-            known, left = self.words, iter(missed)
-            for ids in split:
+            known = self.words
+            for ids, first, end in zip(split, misses[:-1], misses[1:], strict=True):
                 at = -1
-                for _ in range(ids.count(None)):
+                for word in missed[first:end]:
                     at = ids.index(None, at + 1)
-                    ids[at] = known[next(left)]
+                    ids[at] = known[word]
         out = [b"".join(ids) for ids in split]
         gc.enable()
         return out

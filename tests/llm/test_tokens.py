@@ -120,3 +120,12 @@ def test_a_vocabulary_without_word_ends_goes_to_the_library():
     encoder, whole = WordEncoder(other), Tokenizer.from_file(other)
     assert not encoder.by_word and WordEncoder(PATH).by_word
     assert encoder.encode_all(texts) == [np.array(whole.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+
+def test_utf8_bytes_have_the_ids_of_their_text():
+    encoder = WordEncoder(PATH)
+    texts = ["Plain WORDS and, marks! 12 a1b", "déjà vu ÀB,\x85x\xa0y 日本語 \U0001f600", "", None, "again Plain vu plain", "ſ ß İ don't"]
+    found = encoder.encode_all([t.encode() if t is not None else None for t in texts])
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in found] == whole
+    assert encoder.encode_all(texts) == found
