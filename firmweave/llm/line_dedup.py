@@ -6,7 +6,9 @@ The SimHash is cut into BLOCKS blocks; classes of like length that share one are
 every pair within BLOCKS - 1 bits. Blocks are long, since lines that meet by chance grow with the square of all lines. A tenth of a line's
 characters moves more bits than blocks can bear, so most pairs are met
 by their text: longer lines by the least of their runs of words, lines under SHORT characters by pieces of characters.
-Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold.
+Candidates within a wider distance are linked if the edit similarity of the normalised lines is at least the threshold. Shorter lines
+also have the parities of their pairs of neighbouring characters, of which an edit changes four at most, so that few of the
+candidates that have nothing in common but a key have to be compared.
 Of every connected group of classes the earliest line stays.
 """
 
@@ -42,8 +44,13 @@ RUN_KEYS = 6
 ALL_RUNS = 8
 #: Lines of fewer characters have keys by pieces of characters, such that no pair within a tenth of the longer one is missed.
 SHORT = 40
+#: Lines of fewer characters have parities; those of longer ones are as different by chance as they may be by edits.
+PARITIES = 80
 #: Classes of a chunk, about, where what is left of a large bucket is compared.
 CHUNK = 2048
+#: Rows of a chunk that are held against another chunk, and candidates that are compared together, about.
+BLOCK = 256
+PENDING = 50_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _GAPS = re.compile(r"[\W_]+")
@@ -183,14 +190,31 @@ def block_keys(simhash: Column, size: Column, similarity: float = SIMILARITY) ->
     return F.flatten(F.transform(size_classes(size, similarity), lambda c: F.transform(named, lambda b: F.xxhash64(c, b))))
 
 
-def _near(h1: np.ndarray, n1: np.ndarray, h2: np.ndarray, n2: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether lines may be similar by their SimHashes and lengths."""
+def parities(lines: list[str]) -> np.ndarray:
+    """64 bits of each line of under PARITIES characters: which kinds of pairs of neighbouring characters it has an odd number of. Others: 0."""
+    sizes = np.array([len(x) for x in lines], np.int64)
+    out, own = np.zeros(len(lines), np.uint64), np.flatnonzero((sizes > 0) & (sizes < PARITIES))
+    if len(own):
+        codes = np.frombuffer("".join([lines[i] for i in own.tolist()]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        ends = np.cumsum(sizes[own])
+        bits = np.zeros(len(codes), np.uint64)
+        bits[:-1] = np.uint64(1) << ((codes[:-1] << np.uint64(21) | codes[1:]) * _STEP >> np.uint64(58))
+        bits[ends - 1] = 0
+        out[own] = np.bitwise_xor.reduceat(bits, ends - sizes[own])
+    return out
+
+
+def _near(one: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...], similarity: float) -> np.ndarray:
+    """Whether lines may be similar by their SimHashes, lengths and parities."""
+    (h1, n1, p1), (h2, n2, p2) = one, other
     longer = np.maximum(n1, n2)
+    most = (1 - similarity) * longer + 1e-9
     bits = np.full(np.shape(longer), DISTANCE)
     for bound, distance in DISTANCES[::-1]:
         bits[longer < bound] = distance
     within = np.bitwise_count((h1 ^ h2).view(np.uint64)) <= bits
-    return (np.abs(n1 - n2) <= (1 - similarity) * longer + 1e-9) & within
+    within &= (longer >= PARITIES) | (np.bitwise_count((p1 ^ p2).view(np.uint64)) <= 4 * most.astype(np.int64))
+    return (np.abs(n1 - n2) <= most) & within
 
 
 def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,12 +236,12 @@ def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = np.ones(len(own), bool)
             seen[np.unique(own, return_index=True)[1]] = False
             known = pa.array(own, mask=seen)
-            shared = (pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()))
+            shared = (pa.array([len(x) for x in texts], pa.int32()), pa.array(hashes.view(np.int64)), pa.array(parities(texts).view(np.int64)), _key_lists(texts, numbers, keys), pa.array(texts, pa.string()))
             columns = [
                 *batch.select(["row", "doc_id"]).take(pa.array(at, pa.int64())).columns, pa.array(number, pa.int32()),
                 pa.array(digests[:, 0]), pa.array(digests[:, 1]), *[x.take(known) for x in shared],
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "id", "rest", "size", "simhash", "keys", "line"])
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "line_no", "id", "rest", "size", "simhash", "parity", "keys", "line"])
 
 
 def _near_pairs(similarity: float):
@@ -227,34 +251,107 @@ def _near_pairs(similarity: float):
         for batch in batches:
             items = batch.column("items")
             sizes = np.diff(items.offsets.to_numpy())
-            ids, hashes, chars = (items.flatten().field(k).to_numpy() for k in range(3))
+            ids, *known = (items.flatten().field(k).to_numpy() for k in range(4))
             left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))  # items of the bucket from here on
             for shift in range(1, int(sizes.max(initial=1))):
                 i = np.flatnonzero(left > shift)
                 j = i + shift
-                i = i[_near(hashes[i], chars[i], hashes[j], chars[j], similarity)]
+                i = i[_near([v[i] for v in known], [v[j] for v in known], similarity)]
                 x, y = ids[i], ids[i + shift]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return run
 
 
-def _close(similarity: float):
-    """Near pairs of two chunks that differ in label."""
+def _first_met(keys: np.ndarray, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of rows share no key (a row of ``keys`` each, 0 where there is none) below the one under which they meet here."""
+    out = np.zeros(len(a), bool)
+    step = max(1, 4_000_000 // keys.shape[1] ** 2)
+    for k in range(0, len(a), step):
+        x, y = keys[a[k : k + step]], keys[b[k : k + step]]
+        below = (x < key[a[k : k + step]][:, None]) & (x != 0)
+        out[k : k + step] = ~((x[:, :, None] == y[:, None, :]) & below[:, :, None]).any((1, 2))
+    return out
+
+
+def _tied(similarity: float):
+    """Links (a, b) that bring rows of different labels together, out of rows that are sorted by (key, i, j): left ones against right ones.
+
+    Every pair that may be similar is compared unless other links tie its labels by then. So near copies of each other cost about
+    a comparison each, the likeliest first, and the links are at most as many as the labels."""
+
+    def compared(rows: pa.Table) -> pa.RecordBatch:
+        key, i, j, id_, simhash, size, parity = (rows.column(c).to_numpy() for c in ("key", "i", "j", "id", "simhash", "size", "parity"))
+        left, right = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+        lines, known = rows.column("line").combine_chunks(), (simhash, size, parity)
+        lists = rows.column("keys").combine_chunks()
+        counts = np.diff(lists.offsets.to_numpy())
+        keys = np.zeros((len(key), int(counts.max())), np.int64)
+        keys[np.arange(keys.shape[1]) < counts[:, None]] = lists.flatten().to_numpy()
+        labels, label = np.unique(rows.column("label").to_numpy(), return_inverse=True)
+        root, links = np.arange(len(labels)), []
+
+        def settle(a: np.ndarray, b: np.ndarray) -> None:
+            nonlocal root
+            by = np.lexsort((np.bitwise_count((simhash[a] ^ simhash[b]).view(np.uint64)), a))
+            a, b, most = a[by], b[by], 1
+            while len(a):
+                apart = root[label[a]] != root[label[b]]
+                a, b = a[apart], b[apart]
+                rank = np.arange(len(a)) - np.searchsorted(a, a)
+                x, y = a[rank < most], b[rank < most]
+                a, b, most = a[rank >= most], b[rank >= most], 2 * most
+                bound = ((1 - similarity) * np.maximum(size[x], size[y]) + 1e-9).astype(np.int64)
+                near = within(lines.take(pa.array(x)).to_pylist(), lines.take(pa.array(y)).to_pylist(), bound)
+                for p, q in zip(x[near].tolist(), y[near].tolist(), strict=True):
+                    r, t = label[p], label[q]
+                    while root[r] != r:
+                        r = root[r]
+                    while root[t] != t:
+                        t = root[t]
+                    if r != t:
+                        root[max(r, t)] = min(r, t)
+                        links.append((p, q))
+                while (root[root] != root).any():
+                    root = root[root]
+
+        starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for start, end in zip(starts, np.append(starts[1:], len(key)), strict=True):
+            ours, theirs = (start + np.flatnonzero(side[start:end]) for side in (left, right))
+            for k in range(0, len(ours), BLOCK):
+                x, y = ours[k : k + BLOCK, None], theirs[None]
+                fits = (root[label[x]] != root[label[y]]) & ((x < y) | ~(right[x] & left[y]))
+                fits &= _near([v[x] for v in known], [v[y] for v in known], similarity)
+                a, b = np.nonzero(fits)
+                a, b = ours[k : k + BLOCK][a], theirs[b]
+                first = _first_met(keys, key, a, b)
+                held.append((a[first], b[first]))
+                if sum(len(v) for v, _ in held) >= PENDING:
+                    settle(*(np.concatenate(v) for v in zip(*held, strict=True)))
+                    held = []
+        if held:
+            settle(*(np.concatenate(v) for v in zip(*held, strict=True)))
+        a, b = (id_[np.array([link[c] for link in links], np.int64)] for c in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
         for batch in batches:
-            for r in range(batch.num_rows):
-                (ids, labels, hashes, sizes), (ids2, labels2, hashes2, sizes2) = (
-                    [batch.column(c)[r].values.field(k).to_numpy() for k in range(4)] for c in ("left", "right")
-                )
-                a, b = [], []
-                for i in range(len(ids)):
-                    near = np.flatnonzero((labels2 != labels[i]) & _near(hashes2, sizes2, hashes[i], sizes[i], similarity))
-                    a.append(np.full(len(near), ids[i]))
-                    b.append(ids2[near])
-                a, b = np.concatenate(a), np.concatenate(b)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            rows = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
+            if not rows.num_rows:
+                continue
+            # The last group may go on in the next batch.
+            other = np.zeros(rows.num_rows, bool)
+            for c in ("key", "i", "j"):
+                value = rows.column(c).to_numpy()
+                other |= value != value[-1]
+            last = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if last:
+                yield compared(rows.slice(0, last))
+            kept = rows.slice(last)
+        if kept is not None and kept.num_rows:
+            yield compared(kept)
 
     return run
 
@@ -283,18 +380,18 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
         numbered = dict(docs.dtypes).get(row) == "bigint"
         texts = docs.select((F.col(row) if numbered else F.monotonically_increasing_id()).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
         # A class goes by the first half of its digest; lines that are not linked to others are told apart by both halves.
-        schema = "row long, doc_id long, line_no int, id long, rest long, size int, simhash long, keys array<long>, line string"
+        schema = "row long, doc_id long, line_no int, id long, rest long, size int, simhash long, parity long, keys array<long>, line string"
         lines = st.save(texts.mapInArrow(_classed, schema), "lines")
         firsts = lines.where("size is not null")
         # Keys are shuffled once, for their counts and for the rows of those that two classes have.
         keyed = firsts.select("id", F.explode(F.concat(block_keys(F.col("simhash"), F.col("size"), similarity), "keys")).alias("key")).repartition("key")
         met = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
         shared = st.save(keyed.join(met.hint("shuffle_hash"), "key").select("key", "id").distinct(), "shared")
-        held = firsts.select("id", "size", "simhash").join(shared.select("id").distinct(), "id").dropDuplicates(["id"])
+        held = firsts.select("id", "size", "simhash", "parity").join(shared.select("id").distinct(), "id").dropDuplicates(["id"])
         held = st.save(held, "candidates")
         counted = st.save(shared.join(shared.groupBy("key").agg(F.count("*").alias("k")), "key"), "counted")
         # A small bucket is a row; a large one stays as rows, since a key may be in any share of all lines.
-        few = counted.where(f"k <= {SMALL}").join(held, "id").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size")).alias("items"))
+        few = counted.where(f"k <= {SMALL}").join(held, "id").groupBy("key").agg(F.collect_list(F.struct("id", "simhash", "size", "parity")).alias("items"))
         near = st.save(few.select("items").mapInArrow(_near_pairs(similarity), "a long, b long").distinct(), "near")
         large = counted.where(f"k > {SMALL}").select("key", "id")
         members = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).unionByName(large.select("id")).distinct()
@@ -308,25 +405,34 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, row: str = "r
 
         def close(pairs: DataFrame) -> DataFrame:
             """The same of pairs that are not known to be near."""
-            hashes = held.select("id", "size", "simhash")
+            hashes = held.select("id", "size", "simhash", "parity")
             longer = F.greatest("na", "nb")
-            within = F.abs(F.col("na") - F.col("nb")) <= (1 - similarity) * longer + 1e-9
+            edits = (1 - similarity) * longer + 1e-9
+            within = F.abs(F.col("na") - F.col("nb")) <= edits
             most = F.lit(DISTANCE)
             for bound, distance in DISTANCES[::-1]:
                 most = F.when(longer < bound, distance).otherwise(most)
             bits = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= most
-            pairs = pairs.join(hashes.toDF("a", "na", "ha"), "a").join(hashes.toDF("b", "nb", "hb"), "b").where(within & bits).select("a", "b")
+            odd = (longer >= PARITIES) | (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 4 * F.floor(edits))
+            pairs = pairs.join(hashes.toDF("a", "na", "ha", "pa"), "a").join(hashes.toDF("b", "nb", "hb", "pb"), "b").where(within & bits & odd).select("a", "b")
             return test(st.save(pairs, "within"))
 
         def chunked(rows: DataFrame) -> DataFrame:
-            chunks = st.save(rows.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")), "chunks")
-            items = rows.join(held.select("id", "size", "simhash"), "id").join(chunks, "key")
-            items = items.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(7)), "chunks"))
-            packs = st.save(items.groupBy("key", "main", "chunk").agg(F.collect_list(F.struct("id", "label", "simhash", "size")).alias("items")), "packs")
-            odd = packs.where("not main").select("key", F.col("chunk").alias("c"), F.col("items").alias("left"))
-            pairs = odd.join(packs.withColumnRenamed("items", "right"), "key").where("main or chunk <= c")
-            pairs = pairs.select("left", "right").mapInArrow(_close(similarity), "a long, b long").distinct()
-            return test(st.save(pairs, "close"))
+            """Links between rows of one key that differ in label. The rows that are not main are cut into chunks, and so are the main ones; each chunk of
+            the first meets itself, those before it and all of the second, unless all rows of a key are few enough to meet at once."""
+            sizes = rows.groupBy("key").agg(*[F.greatest(F.ceil(F.count(F.when(c, 1)) / CHUNK), F.lit(1)).cast("int").alias(n) for c, n in ((~F.col("main"), "odd"), (F.col("main"), "most"))], (F.count("*") <= CHUNK).alias("once"))
+            known = rows.groupBy("id").agg(F.collect_set("key").alias("keys"))
+            items = rows.join(st.save(sizes, "chunks"), "key")
+            items = items.withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.when(F.col("main"), F.col("most")).otherwise(F.col("odd"))).cast("int"))
+            meets = F.expr(
+                """case when once then array(struct(0 as i, 0 as j, not main as left, true as right))
+                when main then transform(sequence(0, odd - 1), i -> struct(i, -1 - own as j, false as left, true as right))
+                else concat(transform(sequence(0, odd - 1), o -> struct(greatest(own, o) as i, least(own, o) as j, own >= o as left, own <= o as right)),
+                    transform(sequence(1, most), m -> struct(own as i, -m as j, true as left, false as right))) end"""
+            )
+            items = items.select("key", "id", "label", F.explode(meets).alias("m")).select("key", "m.*", "id", "label")
+            items = items.join(held.select("id", "size", "simhash", "parity"), "id").join(known, "id").join(words, "id")
+            return items.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_tied(similarity), "a long, b long")
 
         # First each class with one near one; then what is still apart.
         one = st.save(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one-near")
