@@ -483,7 +483,8 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out, pa.string())], names=[*names, "text"])
 
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-        out = rows.join(st.save(numbers, "gone"), row, "left").select(*names, "text", gone).mapInArrow(run, f"{schema}, text string")
+        # The texts are shuffled at any size, so that what is moved grows with them alone, and are not sorted.
+        out = rows.join(st.save(numbers, "gone").hint("shuffle_hash"), row, "left").select(*names, "text", gone).mapInArrow(run, f"{schema}, text string")
         if "n_chars" in docs.columns:
             out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
         return st.save(out.select(docs.columns), "line-deduplicated", keep=True)

@@ -63,3 +63,17 @@ def test_copies_are_found_across_chunks(docs, monkeypatch):
     rows = [(i, text[:20] + "".join(rng.choice(list("xyz"), 5)) + text[25:]) for i in range(40)]
     found = line_dedup.removed_lines(docs(rows)).collect()
     assert {(r.kept_doc_id, r.occurrences) for r in found} == {(0, 40)} and len(found) == 39
+
+
+def test_texts_are_joined_alike_at_any_size(docs, monkeypatch):
+    plans, save = [], line_dedup.Stages.save
+
+    def saved(self, df, purpose, keep=False):
+        if purpose == "line-deduplicated":
+            plans.append(df._jdf.queryExecution().toString())
+        return save(self, df, purpose, keep)
+
+    monkeypatch.setattr(line_dedup.Stages, "save", saved)
+    left = line_dedup.dedup_lines(docs([(1, "one line here\nand another"), (2, "one line here"), (3, None)]))
+    assert {r.doc_id: r.text for r in left.collect()} == {1: "one line here\nand another", 2: "", 3: None}
+    assert "ShuffledHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
