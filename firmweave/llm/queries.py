@@ -77,7 +77,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("long"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     docs = docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
-    out = language_id.identify(docs, docs.where("not held_out"))
+    out = language_id.identify(docs, docs.where("not held_out"), among=~F.col("held_out"))
     return out.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
